@@ -228,13 +228,16 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
     Equal values are folded to counts, the running count finds the two rows the
     percentile lies between, and only those reach the final grouping.
     """
+    if not keys:
+        whole = exact_percentile(df.withColumn("_whole", F.lit(0)), ["_whole"], value, p, name)
+        return whole.drop("_whole")
     keys = list(keys)
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
     ranked = scan(counts, keys, [F.col(value).asc()], running_sum("_upto", F.col("_n")))
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     place = F.lit(p) * (F.col("_total") - 1)
     lower, upper = F.floor(place), F.ceil(place)
-    placed = ranked.join(totals, keys) if keys else ranked.join(F.broadcast(totals))
+    placed = ranked.join(totals, keys)
     near = placed.filter((F.col("_upto") > lower) & (F.col("_upto") - F.col("_n") <= upper))
     low = F.min(value).cast("double")
     high = F.max(value).cast("double")
