@@ -54,10 +54,15 @@ def month_number(month: Column, first: Column) -> Column:
 def to_utc(wall: Column, zone: str) -> Column:
     """UTC wall time of a local wall time (both without zone).
 
-    A local time that a spring change skips moves forward by the gap; one that an autumn
-    change repeats takes the first of its two moments.
+    A local time that a spring change skips is read with the offset before the change; one
+    that an autumn change repeats is read with the offset after it.
     """
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    first = F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
+    moment = first
+    for shift in ("INTERVAL 30 MINUTES", "INTERVAL 60 MINUTES"):  # the sizes a clock goes back by
+        second = first + F.expr(shift)
+        moment = F.when(F.convert_timezone(F.lit("UTC"), F.lit(zone), second) == wall, second).otherwise(moment)
+    return moment
 
 
 def iso_parts(ts: Column) -> Sequence[Column]:

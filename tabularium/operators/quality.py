@@ -122,7 +122,7 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], sums: Sequence[st
     marks = a.select(*keys, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
         b.select(*keys, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
     seen = marks.groupBy(*keys).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
-    gaps = seen.agg(F.count_if("_b = 0").alias("missing_keys"), F.count_if("_a = 0").alias("extra_keys"))
+    gaps = seen.agg(F.count_if(F.col("_b") == 0).alias("missing_keys"), F.count_if(F.col("_a") == 0).alias("extra_keys"))
     sides = [side(a, "source"), side(b, "target"), gaps]
     # three one-row frames, joined on a constant
     one = reduce(lambda x, y: x.join(y, "_one"), [s.withColumn("_one", F.lit(1)) for s in sides]).drop("_one")
