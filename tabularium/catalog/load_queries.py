@@ -1 +1,191 @@
+"""Batch load queries."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabularium.catalog.quality_queries import ORDER_VERSIONS, dirty_events, event_rules, order_versions
+from tabularium.catalog.registry import query
+from tabularium.functions import text
+from tabularium.operators import quality as Q
+from tabularium.plans import loads as L
+from tabularium.tables import Tables, dbl, money
+
+CUT = "1998-01-01"
+
+
+def ntz(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+def halves(t: Tables):
+    """Orders loaded before the cut, and the whole source."""
+    src = t.orders.select("order_id", "customer_id", "order_status", "purchased_at", "amount")
+    return src.filter(F.col("purchased_at") < ntz(CUT)), src
+
+
+def plain(df):
+    return df.withColumn("amount", dbl("amount"))
+
+
+@query("e1_land", "ord", """SELECT order_id, order_status, 'batch-1' AS batch_id, 'orders' AS source_name, md5(concat_ws('|', CAST(order_id AS VARCHAR), order_status)) AS source_hash FROM ord""")
+def land(t: Tables):
+    return L.land(t.orders.select("order_id", "order_status"), "batch-1", "orders", ["order_id", "order_status"])
+
+
+def order_text(t: Tables):
+    p = F.col("priority")
+    return t.orders.select(
+        F.when(p == "1-URGENT", "  ").otherwise(F.concat(F.lit(" "), F.col("order_id").cast("string"), F.lit(" "))).alias("order_id"),
+        F.concat(F.lit(" "), "order_status").alias("order_status"),
+        F.when(p == "2-HIGH", "unknown").otherwise(F.date_format("purchased_at", "yyyy-MM-dd HH:mm:ss")).alias("purchased_at"),
+        F.col("amount").cast("string").alias("amount"))
+
+
+def typed_orders(df):
+    at = text.clean_text(F.col("purchased_at"))
+    return df.select(text.clean_text(F.col("order_id")).try_cast("bigint").alias("order_id"), F.lower(text.clean_text(F.col("order_status"))).alias("order_status"),
+                     F.when(at.rlike(text.DATE_SHAPE), at.try_cast("timestamp_ntz")).alias("purchased_at"), F.col("amount").try_cast("decimal(18,2)").alias("amount"))
+
+
+def order_rules():
+    return [Q.Rule("key_missing", "critical", F.col("order_id").isNull()), Q.Rule("date_bad", "critical", F.col("purchased_at").isNull())]
+
+
+@query("e2_stage", "ord", """SELECT 'accepted' AS outcome, order_id, lower(order_status) AS order_status, purchased_at, CAST(amount AS DOUBLE) AS amount, NULL AS reason FROM ord WHERE priority NOT IN ('1-URGENT', '2-HIGH')
+    UNION ALL SELECT 'rejected', CASE WHEN priority = '1-URGENT' THEN NULL ELSE order_id END, NULL, NULL, NULL, CASE WHEN priority = '1-URGENT' THEN 'key_missing' ELSE 'date_bad' END FROM ord WHERE priority IN ('1-URGENT', '2-HIGH')""")
+def stage(t: Tables):
+    ok, bad = Q.split_valid(typed_orders(order_text(t)), order_rules(), "order_id", "batch-1")
+    good = plain(ok).select(F.lit("accepted").alias("outcome"), "*", F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(bad.select(F.lit("rejected").alias("outcome"), F.col("business_key").cast("bigint").alias("order_id"), "reason"), allowMissingColumns=True)
+
+
+@query("e3_insert_new", "ord", "SELECT order_id, customer_id, order_status, purchased_at, CAST(amount AS DOUBLE) AS amount FROM ord")
+def insert_new(t: Tables):
+    target, src = halves(t)
+    return plain(L.insert_new(L.insert_new(target, src, "order_id"), src, "order_id"))
+
+
+@query("e4_merge", "ord", f"""WITH t AS (SELECT * FROM ord WHERE purchased_at < TIMESTAMP '{CUT}'), s AS (SELECT order_id, customer_id, CASE WHEN priority = '1-URGENT' THEN 'X' ELSE order_status END AS order_status, purchased_at, amount FROM ord WHERE order_status <> 'P')
+    SELECT COALESCE(s.order_id, t.order_id) AS order_id, COALESCE(s.customer_id, t.customer_id) AS customer_id, COALESCE(s.order_status, t.order_status) AS order_status, COALESCE(s.purchased_at, t.purchased_at) AS purchased_at, CAST(COALESCE(s.amount, t.amount) AS DOUBLE) AS amount,
+    CASE WHEN t.order_id IS NULL THEN 'inserted' WHEN s.order_id IS NOT NULL AND s.order_status <> t.order_status THEN 'updated' ELSE 'kept' END AS action FROM t FULL JOIN s ON s.order_id = t.order_id""")
+def merge(t: Tables):
+    target, src = halves(t)
+    urgent = t.orders.filter("priority = '1-URGENT'").select("order_id", F.lit(True).alias("urgent"))
+    changed = src.filter("order_status <> 'P'").join(urgent, "order_id", "left").withColumn(
+        "order_status", F.when(F.col("urgent"), "X").otherwise(F.col("order_status"))).drop("urgent")
+    return plain(L.merge(target, changed, "order_id", ["customer_id", "order_status", "purchased_at", "amount"], note="action"))
+
+
+@query("e5_reload_slice", "ord", f"""SELECT order_id, order_status, purchased_at, CAST(CASE WHEN purchased_at >= TIMESTAMP '1997-05-01' AND purchased_at < TIMESTAMP '1997-06-01' THEN amount + 10 ELSE amount END AS DOUBLE) AS amount FROM ord""")
+def reload_slice(t: Tables):
+    rows = t.orders.select("order_id", "order_status", "purchased_at", "amount")
+    src = rows.withColumn("amount", money(F.col("amount") + 10))
+    return plain(L.reload_slice(rows, src, "purchased_at", ntz("1997-05-01"), ntz("1997-06-01")))
+
+
+@query("e6_full_refresh", "ord", """SELECT COUNT(*) AS source_rows, COUNT(*) AS target_rows, CAST(SUM(amount) AS DOUBLE) AS source_amount, CAST(SUM(amount) AS DOUBLE) AS target_amount, 0::BIGINT AS missing_keys, 0::BIGINT AS extra_keys, true AS equal FROM ord""")
+def full_refresh(t: Tables):
+    _, report = L.full_refresh(t.orders, ["order_id"], ["amount"], ["order_id", "customer_id", "order_status"])
+    return report.drop("source_checksum", "target_checksum")
+
+
+@query("e7_increment", "", """WITH m AS (SELECT max(ts) AS last_at, max(event_id) AS last_id FROM events WHERE ts < TIMESTAMP '2024-01-20') SELECT 'tuple' AS form, event_id FROM events, m WHERE (ts, event_id) > (last_at, last_id)
+    UNION ALL SELECT 'with_late', event_id FROM events, m WHERE ts > last_at OR event_id > last_id""")
+def increment(t: Tables):
+    rows = t.events.select("event_id", "ts")
+    mark = L.mark_of(rows.filter(F.col("ts") < ntz("2024-01-20")), "ts", "event_id")
+    a = L.increment(rows, mark, "ts", "event_id").select(F.lit("tuple").alias("form"), "event_id")
+    return a.unionByName(L.increment(rows, mark, "ts", "event_id", late=True).select(F.lit("with_late").alias("form"), "event_id"))
+
+
+@query("e8_advance_mark", "", """SELECT 'failed' AS run, max(ts) AS last_at, max(event_id) AS last_id FROM events WHERE ts < TIMESTAMP '2024-01-20' UNION ALL SELECT 'succeeded', max(ts), max(event_id) FROM events""")
+def advance_mark(t: Tables):
+    rows = t.events.select("event_id", "ts")
+    mark = L.mark_of(rows.filter(F.col("ts") < ntz("2024-01-20")), "ts", "event_id")
+    batch = L.increment(rows, mark, "ts", "event_id")
+    runs = [L.advance(mark, batch, "ts", "event_id", ok).select(F.lit(n).alias("run"), "*") for n, ok in (("failed", False), ("succeeded", True))]
+    return runs[0].unionByName(runs[1])
+
+
+@query("e9_late_overlap", "", """WITH seen AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'signup'), w AS (SELECT max(ts) AS wm FROM seen) SELECT event_id, ts, event_type FROM seen UNION ALL
+    SELECT event_id, ts, event_type FROM events, w WHERE ts >= wm - INTERVAL 2 DAY AND event_id NOT IN (SELECT event_id FROM seen)""")
+def late_overlap(t: Tables):
+    src = t.events.select("event_id", "ts", "event_type")
+    seen = src.filter((F.col("ts") < ntz("2024-01-20")) & (F.col("event_type") != "signup"))  # signups arrive late
+    return L.increment_overlap(seen, src, "ts", "event_id", F.expr("INTERVAL 2 DAYS"))
+
+
+@query("e10_run_log")
+def run_log(t: Tables):
+    def quality(): return Q.split_valid(dirty_events(t), event_rules(), "event_id", "run-1")
+    def mart(): return quality()[0].groupBy("day").agg(F.count(F.lit(1)).alias("n")), None
+    return L.run_log(t.spark, "run-1", [L.Stage("raw", lambda: (dirty_events(t), None)), L.Stage("quality", quality), L.Stage("mart", mart)])
+
+
+@query("e11_update", "ord cust", """SELECT o.order_id, CASE WHEN o.order_status = 'P' THEN 'O' ELSE o.order_status END AS order_status, CAST(CASE WHEN c.state = 'FRANCE' OR c.city = 'MACHINERY' THEN ROUND(o.amount * CAST(0.9 AS DECIMAL(2,1)), 2) ELSE o.amount END AS DOUBLE) AS amount FROM ord o JOIN cust c USING (customer_id)""")
+def update(t: Tables):
+    rows = t.orders.select("order_id", "customer_id", "order_status", "amount")
+    opened = L.update(rows, F.col("order_status") == "P", {"order_status": F.lit("O")})
+    discounted = F.round(F.col("amount") * F.lit("0.9").cast("decimal(2,1)"), 2)
+    cut = L.update_from(opened, t.customers.select("customer_id", "state", "city"), "customer_id",
+                        (F.col("state") == "FRANCE") | (F.col("city") == "MACHINERY"), {"amount": discounted})
+    return plain(cut).drop("customer_id")
+
+
+@query("e12_delete", "ord", "SELECT order_id, nullif(order_status, 'P') AS order_status FROM ord WHERE order_status <> 'F'")
+def delete(t: Tables):
+    return L.delete(t.orders.select("order_id", F.nullif("order_status", F.lit("P")).alias("order_status")), F.col("order_status") == "F")
+
+
+@query("e13_archive", "ord", f"SELECT order_id, CASE WHEN purchased_at < TIMESTAMP '{CUT}' THEN 'cold' ELSE 'hot' END AS part FROM ord")
+def archive(t: Tables):
+    hot, cold = L.archive(t.orders, F.col("purchased_at") < ntz(CUT))
+    return hot.select("order_id", F.lit("hot").alias("part")).unionByName(cold.select("order_id", F.lit("cold").alias("part")))
+
+
+@query("e14_append", "ord", """SELECT order_status AS event_name, COUNT(*) AS amount, 'counted' AS message FROM ord GROUP BY 1 UNION ALL
+    SELECT order_status, k + 1, 'batch_' || (k + 1) FROM (SELECT order_status, COUNT(*) AS n FROM ord GROUP BY 1), range(5) r(k)""")
+def append(t: Tables):
+    counts = t.orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("amount"))
+    log = counts.select(F.col("order_status").alias("event_name"), "amount", F.lit("counted").alias("message"))
+    made = counts.select(F.col("order_status").alias("event_name"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(5).cast("long"))).alias("amount"))
+    return log.unionByName(made.withColumn("message", F.concat(F.lit("batch_"), F.col("amount").cast("string"))))
+
+
+@query("e15_guarded_load", "item", "SELECT order_id, item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price FROM item")
+def guarded_load(t: Tables):
+    rows = L.require(t.items, F.col("price") >= 0, "price must not be negative")
+    rows = L.require(rows, F.col("quantity").between(0, 100), "quantity out of range")
+    return rows.select("order_id", "item_id", "product_id", "seller_id", dbl("price").alias("price"))
+
+
+@query("e16_ledger", "cust", """WITH p AS (SELECT event_id AS operation_id, user_id AS from_account, (user_id + 1) % 150 AS to_account, CAST(value AS DECIMAL(18,2)) AS amount FROM events WHERE event_type = 'purchase'),
+    c AS (SELECT from_account AS account_id, -amount AS change FROM p UNION ALL SELECT to_account, amount FROM p), s AS (SELECT account_id, SUM(change) AS change FROM c GROUP BY 1)
+    SELECT customer_id AS account_id, CAST(balance + COALESCE(change, 0) AS DOUBLE) AS balance FROM cust LEFT JOIN s ON account_id = customer_id""")
+def ledger(t: Tables):
+    sent = t.events.filter("event_type = 'purchase'").select(
+        F.col("event_id").alias("operation_id"), F.col("user_id").alias("from_account"), F.pmod(F.col("user_id") + 1, F.lit(150)).alias("to_account"), money("value").alias("amount"))
+    accounts = t.customers.select(F.col("customer_id").alias("account_id"), "balance")
+    return L.apply_operations(accounts, sent.unionByName(sent)).withColumn("balance", dbl("balance"))  # every operation sent twice
+
+
+@query("e17_snapshot", "ord", """SELECT DATE '1997-12-31' AS as_of_date, customer_id, COUNT(*) AS orders_count FROM ord WHERE purchased_at < TIMESTAMP '1998-01-01' GROUP BY 2 UNION ALL
+    SELECT DATE '1996-12-31', customer_id, COUNT(*) FROM ord WHERE purchased_at < TIMESTAMP '1997-01-01' GROUP BY 2""")
+def snapshot(t: Tables):
+    empty = t.spark.createDataFrame([], "as_of_date date, customer_id long, orders_count long")
+    out = empty
+    for day in ("1996-12-31", "1997-12-31", "1996-12-31"):  # the first date is built again
+        out = L.snapshot(out, t.orders, "customer_id", "purchased_at", day)
+    return out
+
+
+@query("e18_layered_load", "ord", f"""WITH {ORDER_VERSIONS}, r AS (SELECT v.*, o.priority FROM v JOIN ord o USING (order_id)), a AS (SELECT * FROM r WHERE priority <> '2-HIGH')
+    SELECT 'raw' AS layer, COUNT(*) AS rows_count FROM r UNION ALL SELECT 'staging', COUNT(*) FROM r UNION ALL SELECT 'accepted', COUNT(*) FROM a UNION ALL
+    SELECT 'rejected', COUNT(*) FROM r WHERE priority = '2-HIGH' UNION ALL SELECT 'core', COUNT(DISTINCT order_id) FROM a""")
+def layered(t: Tables):
+    bad = t.orders.filter("priority = '2-HIGH'").select("order_id", F.lit("no date").alias("day"))
+    raw = order_versions(t).join(bad, "order_id", "left").withColumn("day", F.coalesce("day", F.lit("1998-01-01"))).withColumn("amount", F.col("amount").cast("string"))
+    def typed(df): return df.withColumn("amount", F.col("amount").try_cast("decimal(18,2)"))
+    rules = [Q.Rule("day_shape", "critical", ~F.col("day").rlike(text.DATE_SHAPE)), Q.Rule("amount_missing", "critical", F.col("amount").isNull())]
+    return L.layer_counts(raw, L.layered_load(raw, typed, rules, "order_id", [F.col("version").desc()], "run-1"))
