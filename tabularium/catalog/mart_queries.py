@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabularium.catalog.registry import query
 from tabularium.functions import text, timeops
+from tabularium.operators.joins import semi_join
 from tabularium.operators.ordered import exact_percentile
 from tabularium.plans import marts as M
 from tabularium.tables import Tables, dbl, lng
@@ -85,7 +86,7 @@ def junk_and_roles(t: Tables):
     # as many rows as there are flag combinations
     junk = rows.select("order_status", "late").distinct().withColumn("flags_sk", lng(F.row_number().over(Window.orderBy("order_status", "late"))))
     dates = date_dim(t)
-    out = rows.join(F.broadcast(junk), ["order_status", "late"])
+    out = rows.join(junk, ["order_status", "late"])
     for role, col in (("purchase", "purchased_at"), ("delivery", "delivered_at"), ("estimated", "estimated_at")):
         side = dates.select(F.col("calendar_date").alias(f"{role}_day"), F.col("date_sk").alias(f"{role}_date_sk"))
         out = out.join(side, F.to_date(col) == F.col(f"{role}_day"), "left")
@@ -138,7 +139,7 @@ def scd2_history(t: Tables):
 @query("m9_drill_across", "ord item cust", """WITH a AS (SELECT customer_id, COUNT(DISTINCT order_id) AS orders_with_items FROM item JOIN ord USING (order_id) GROUP BY 1), b AS (SELECT customer_id, COUNT(*) AS big_orders FROM ord WHERE amount > 300000 GROUP BY 1)
     SELECT customer_id, COALESCE(orders_with_items, 0) AS orders_with_items, COALESCE(big_orders, 0) AS big_orders FROM cust LEFT JOIN a USING (customer_id) LEFT JOIN b USING (customer_id)""")
 def drill_across(t: Tables):
-    a = t.orders.join(t.items.select("order_id"), "order_id", "left_semi").groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders_with_items"))
+    a = semi_join(t.orders, t.items, ["order_id"]).groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders_with_items"))
     b = t.orders.filter("amount > 300000").groupBy("customer_id").agg(F.count(F.lit(1)).alias("big_orders"))
     return t.customers.select("customer_id").join(a, "customer_id", "left").join(b, "customer_id", "left").na.fill({"orders_with_items": 0, "big_orders": 0})
 

@@ -70,8 +70,7 @@ def edit_fields(t: Tables):
     p AS (SELECT order_id, '{' || string_agg('"' || payment_sequence || '":"' || payment_type || '"', ',' ORDER BY payment_sequence) || '}' AS types FROM pay GROUP BY 1)
     SELECT a.order_id, chunk_no, items, types FROM a JOIN p USING (order_id)""")
 def json_aggregates(t: Tables):
-    order = [F.col(c) for c in ("item_id", "product_id", "seller_id", "price", "flag", "quantity", "shipped_at", "freight")]
-    items = N.json_arrays(t.items, ["order_id"], order, F.struct("item_id", "product_id"), "items")
+    items = N.json_arrays(t.placed_items, ["order_id"], t.item_order, F.struct("item_id", "product_id"), "items")
     entry = F.struct(F.col("payment_sequence").cast("string").alias("k"), F.col("payment_type").alias("v"))
     types = t.payments.groupBy("order_id").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("types"))
     return items.join(types, "order_id")
@@ -134,8 +133,7 @@ def shred(t: Tables):
     SELECT f.order_id, f.customer_id, f.order_status, CAST(f.payment_value AS DOUBLE) AS payment_total, p.payment_types, COALESCE(a.chunk_no, 0) AS chunk_no, COALESCE(a.items, '[]') AS items,
     CAST(json_object('delivered_at', strftime(f.delivered_at, '%Y-%m-%d'), 'estimated_at', strftime(f.estimated_at, '%Y-%m-%d')) AS VARCHAR) AS delivery FROM fin f LEFT JOIN a USING (order_id) LEFT JOIN p USING (order_id)""")
 def order_document(t: Tables):
-    order = [F.col(c) for c in ("item_id", "product_id", "seller_id", "price", "flag", "quantity", "shipped_at", "freight")]
-    items = N.json_arrays(t.items, ["order_id"], order, F.struct("item_id", "product_id"), "items")
+    items = N.json_arrays(t.placed_items, ["order_id"], t.item_order, F.struct("item_id", "product_id"), "items")
     types = t.payments.groupBy("order_id").agg(F.array_join(F.array_sort(F.collect_set("payment_type")), ",").alias("payment_types"))
     day = "yyyy-MM-dd"
     return t.finance.join(items, "order_id", "left").join(types, "order_id", "left").select(

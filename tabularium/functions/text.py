@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed patterns
@@ -66,8 +66,3 @@ def row_hash(*cols: Column, null_text: str | None = None) -> Column:
     if null_text is not None:
         texts = [F.coalesce(c, F.lit(null_text)) for c in texts]
     return F.md5(F.concat_ws("|", *texts))
-
-
-def allocate(count: Column, *group: str) -> Column:
-    """Share of a row in its group; for folded rows whose groups are small."""
-    return count.cast("double") / F.sum(count).over(Window.partitionBy(*group))

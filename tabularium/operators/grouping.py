@@ -9,13 +9,28 @@ from pyspark.sql import functions as F
 
 from tabularium.operators import ordered
 
+_LIMITED_BEFORE_SHUFFLE = 1000  # greatest n for which Spark limits the groups of each task
+
+
+def spread_salt(salts: int, *cols: str) -> Column:
+    """A salt from the task a row is read in and its values.
+
+    Copies of one row differ by task, different rows of one task by value, and a retried
+    task gives every row the salt it had.
+    """
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.lit(salts)).cast("int")
+
 
 def topn_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
     """The first `n` rows of each key.
 
     Spark limits each group before the shuffle as well, so a hot key sends n rows per task.
+    Beyond the n for which it does so, rows are numbered across slices.
     """
     name = rank or "_rank"
+    if n > _LIMITED_BEFORE_SHUFFLE:
+        rows = ordered.numbered(df, keys, order, name).filter(F.col(name) <= n)
+        return rows if rank else rows.drop(name)
     rows = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(name) <= n)
     return rows if rank else rows.drop(name)
 
@@ -43,11 +58,9 @@ def two_stage_agg(df: DataFrame, keys: Sequence[str], spread: Sequence[str], par
     """Aggregate per (keys, salt), then per keys.
 
     Sums and counts need no salt in Spark, which folds rows before the shuffle; this is for
-    aggregates whose partial state is large. The salt comes from the row, not from a random
-    number, so a retried task places rows as before.
+    aggregates whose partial state is large.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts))
-    first = df.groupBy(*keys, salt.alias("_salt")).agg(*[a.alias(n) for n, a in partial.items()])
+    first = df.withColumn("_salt", spread_salt(salts, *spread)).groupBy(*keys, "_salt").agg(*[a.alias(n) for n, a in partial.items()])
     return first.groupBy(*keys).agg(*[a.alias(n) for n, a in final.items()])
 
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.operators import ordered
+from tabularium.operators.grouping import spread_salt
+from tabularium.sources import storage
 
 
 def nullsafe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -28,6 +30,29 @@ def preagg_join(master: DataFrame, detail: DataFrame, keys: Sequence[str], *aggs
     return master.join(detail.groupBy(*keys).agg(*aggs), list(keys), "left")
 
 
+def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows with a match, each once. Right keys are folded first: a hot one is shuffled once per task."""
+    return left.join(right.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows without a match; NULL keys on the right match nothing and do not empty the result."""
+    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def bucketed_join(left: DataFrame, right: DataFrame, key: str, buckets: int, hot_share: float = 0.05) -> DataFrame:
+    """Inner join of two sides written to tables with the same buckets, which needs no shuffle.
+
+    A bucket is read by one task, so this is for keys without hot values: when one key
+    holds more than `hot_share` of the left rows, the salted join is used instead.
+    """
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    share = counts.agg((F.max("n") / F.sum("n")).alias("share")).first()["share"] or 0.0
+    if share * buckets > 1 and share > hot_share:
+        return salted_join(left, right, key, hot_share=hot_share)
+    return storage.write_bucketed(left, buckets, key).join(storage.write_bucketed(right, buckets, key), key)
+
+
 def full_join_match(left: DataFrame, right: DataFrame, key: str, left_label: str, right_label: str) -> DataFrame:
     """Full join with `match_type`: both, only left, only right. Each side has unique keys."""
     a = left.withColumn("_in_left", F.lit(True))
@@ -44,7 +69,7 @@ def hinted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hint: st
     return left.join(right.hint(hint), list(keys), how)
 
 
-def broadcast_checked(big: DataFrame, small: DataFrame, keys: Sequence[str], max_rows: int = 1_000_000,
+def broadcast_checked(big: DataFrame, small: DataFrame, keys: Sequence[str], max_rows: int = 200_000,
                       how: str = "inner") -> DataFrame:
     """Broadcast `small` only when counting proves it is at most `max_rows`; else a shuffled join.
 
@@ -66,8 +91,8 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16, hot
     total = counts.agg(F.sum("_n").alias("_all"))
     limit = counts.select(key, "_n").filter(F.col("_n") > total.scalar() * F.lit(hot_share))
     hot = F.broadcast(limit.select(key, F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")
-    left = big.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
+    left = big.withColumn("_spread", spread_salt(salts, *big.columns)).join(hot, key, "left")
+    left = left.withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(0)).drop("_hot", "_spread")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return left.join(right, [key, "_salt"]).drop("_salt")

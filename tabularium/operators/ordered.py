@@ -11,7 +11,8 @@ Use plain windows where a group is bounded by its nature (days of a calendar, fl
 one order) and `row_number() <= n` filters, which Spark already limits before the
 shuffle.
 
-The order columns must identify a row within its key; add a unique last column.
+The order columns must identify a row within its key; add a unique last column. Rows that
+have no key of their own can take the place they were read from (`Tables.placed_items`).
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ class Scan:
     """One output column of `scan`."""
 
     name: str
-    kind: str  # row_number | sum | max | min | lag | lead | last_known
+    kind: str  # row_number | sum | max | min | lag | lead | first | last_known
     value: Column | None = None
 
 
@@ -62,6 +63,11 @@ def lead(name: str, value: Column) -> Scan:
     return Scan(name, "lead", value)
 
 
+def first(name: str, value: Column) -> Scan:
+    """Value of the first row of the key."""
+    return Scan(name, "first", value)
+
+
 def last_known(name: str, value: Column) -> Scan:
     """Latest non-null value up to and including the row."""
     return Scan(name, "last_known", value)
@@ -93,7 +99,7 @@ def _edge_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(edges), match, "left_semi")
 
 
-def _local(scan_: Scan, window, here) -> Column:
+def _local(scan_: Scan, window) -> Column:
     upto = window.rowsBetween(Window.unboundedPreceding, 0)
     if scan_.kind == "row_number":
         return F.row_number().over(window).cast("long")
@@ -107,6 +113,8 @@ def _local(scan_: Scan, window, here) -> Column:
         return F.lag(F.struct(scan_.value.alias("v"))).over(window)
     if scan_.kind == "lead":
         return F.lead(F.struct(scan_.value.alias("v"))).over(window)
+    if scan_.kind == "first":
+        return F.first(F.struct(scan_.value.alias("v"))).over(upto)
     if scan_.kind == "last_known":
         return F.last(scan_.value, ignorenulls=True).over(upto)
     raise ValueError(f"unknown scan {scan_.kind}")
@@ -124,7 +132,7 @@ def _summary(scan_: Scan) -> Column:
         return F.min(scan_.value)
     if scan_.kind == "lag":
         return F.max_by(wrapped, POSITION)
-    if scan_.kind == "lead":
+    if scan_.kind in ("lead", "first"):
         return F.min_by(wrapped, POSITION)
     return F.max_by(scan_.value, F.when(scan_.value.isNotNull(), F.col(POSITION)))
 
@@ -141,6 +149,8 @@ def _carry(scan_: Scan, name: str, window) -> Column:
         return F.lag(name).over(window)
     if scan_.kind == "lead":
         return F.lead(name).over(window)
+    if scan_.kind == "first":
+        return F.first(name).over(before)
     return F.last(name, ignorenulls=True).over(before)
 
 
@@ -155,6 +165,8 @@ def _joined(scan_: Scan, local: Column, carry: Column) -> Column:
         return F.least(local, carry)
     if scan_.kind in ("lag", "lead"):
         return F.coalesce(local, carry)["v"]
+    if scan_.kind == "first":
+        return F.coalesce(carry, local)["v"]
     return F.coalesce(local, carry)
 
 
@@ -164,7 +176,7 @@ def scan_slices(placed: DataFrame, keys: Sequence[str], *scans: Scan) -> DataFra
     if not keys and all(s.kind == "row_number" for s in scans):
         return _number_all(placed, scans)
     window = Window.partitionBy(SLICE, *keys).orderBy(POSITION)
-    local = placed.select("*", *[_local(s, window, placed).alias(f"_l_{s.name}") for s in scans])
+    local = placed.select("*", *[_local(s, window).alias(f"_l_{s.name}") for s in scans])
     totals = (
         _edge_rows(placed, keys)
         .groupBy(SLICE, *keys)

@@ -94,12 +94,7 @@ def latest_alive(df: DataFrame, keys: Sequence[str], order: Sequence[Column], de
 
 def versions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_id: str) -> DataFrame:
     """Each row with `version_no` in its group and the `canonical_id` all copies map to."""
-    placed = ordered.sliced(df, keys, order)
-    first = F.when(F.col("version_no") == 1, F.col(row_id))
-    numbered = ordered.scan_slices(
-        placed.withColumn("_s0", F.col(ordered.SLICE)).withColumn("_p0", F.col(ordered.POSITION)), keys,
-        ordered.row_number("version_no")).withColumnRenamed("_s0", ordered.SLICE).withColumnRenamed("_p0", ordered.POSITION)
-    return ordered.scan_slices(numbered, keys, ordered.last_known("canonical_id", first))
+    return ordered.scan(df, keys, order, ordered.row_number("version_no"), ordered.first("canonical_id", F.col(row_id)))
 
 
 def checksum(*cols: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.timeops import month_number
 from tabularium.operators import ordered
-from tabularium.operators.grouping import with_group_agg
+from tabularium.operators.grouping import topn_per_group, with_group_agg
 
 
 def ranks(df: DataFrame, value: str, tie: Sequence[str], descending: bool = True) -> DataFrame:
@@ -48,9 +48,9 @@ def _keep_place(placed: DataFrame, keys: Sequence[str], *scans: ordered.Scan) ->
 
 def repeat_within(df: DataFrame, key: str, ts: str, span: Column) -> DataFrame:
     """Per key: is there a row after the first one and no later than `span` after it."""
-    rows = with_group_agg(df.select(key, ts), [key], {"_first": F.min(ts)})
-    hit = (F.col(ts) > F.col("_first")) & (F.col(ts) <= F.col("_first") + span)
-    return rows.groupBy(key).agg(F.bool_or(hit).alias("repeated"))
+    # only the first two moments of a key decide
+    two = topn_per_group(df.select(key, ts).distinct(), [key], [F.col(ts).asc()], 2)
+    return two.groupBy(key).agg(((F.max(ts) > F.min(ts)) & (F.max(ts) <= F.min(ts) + span)).alias("repeated"))
 
 
 def cohort(df: DataFrame, key: str, ts: str) -> DataFrame:

@@ -17,6 +17,7 @@ def local_session(cpus: int | str = 8, app: str = "tabularium", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TABULARIUM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "tabularium-warehouse"))

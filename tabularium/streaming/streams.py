@@ -68,8 +68,13 @@ def upsert_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order
     empty.write.mode("append").parquet(path)  # the target exists before the first batch
 
     def write(batch: DataFrame, _: int) -> None:
-        known = batch.sparkSession.read.schema(schema).parquet(path).select(key)
-        dedup_keep(batch, [key], *order).join(known, key, "left_anti").select(schema.names).write.mode("append").parquet(path)
+        rows = dedup_keep(batch, [key], *order).persist()
+        bounds = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+        if bounds["lo"] is not None:
+            # the key range of the batch skips the files of older keys
+            known = batch.sparkSession.read.schema(schema).parquet(path).select(key).filter(F.col(key).between(bounds["lo"], bounds["hi"]))
+            rows.join(known, key, "left_anti").select(schema.names).write.mode("append").parquet(path)
+        rows.unpersist()
 
     drain_batches(stream, checkpoint, write)
     return spark.read.schema(schema).parquet(path)

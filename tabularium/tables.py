@@ -51,13 +51,28 @@ class Tables:
 
     @cached_property
     def items(self) -> DataFrame:
+        return self._items(self.raw("lineitem"))
+
+    @cached_property
+    def placed_items(self) -> DataFrame:
+        """Items with the file and row they were read from, which tells exact copies apart."""
+        return self._items(self.raw("lineitem"), F.col("_metadata.file_path").alias("file_path"),
+                           F.col("_metadata.row_index").alias("row_index"))
+
+    @property
+    def item_order(self) -> list[Column]:
+        """A total order of the placed items of one order."""
+        return [F.col(c) for c in ("item_id", "product_id", "seller_id", "price", "flag", "quantity",
+                                   "shipped_at", "freight", "file_path", "row_index")]
+
+    def _items(self, rows: DataFrame, *more: Column) -> DataFrame:
         price = money("l_extendedprice")
-        return self.raw("lineitem").select(
+        return rows.select(
             F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("item_id"),
             F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
             price.alias("price"), money(price * F.col("l_tax").cast("decimal(4,2)")).alias("freight"),
             lng("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"),
-            F.col("l_shipdate").alias("shipped_at"),
+            F.col("l_shipdate").alias("shipped_at"), *more,
         )
 
     @cached_property
