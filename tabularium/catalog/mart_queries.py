@@ -33,11 +33,14 @@ def date_dim(t: Tables):
     return M.dim_date(timeops.calendar_of(t.orders.select(F.to_date("purchased_at").alias("day")), "day"), "day")
 
 
-def item_fact(t: Tables):
+def all_dims(t: Tables):
+    return [(date_dim(t), "calendar_date", "date_sk"), (customer_dim(t), "customer_id", "customer_sk"),
+            (product_dim(t), "product_id", "product_sk"), (seller_dim(t), "seller_id", "seller_sk")]
+
+
+def item_fact(t: Tables, dims):
     rows = t.items.select("order_id", "item_id", "product_id", "seller_id", "price", "freight").join(
         t.orders.select("order_id", "customer_id", F.to_date("purchased_at").alias("calendar_date")), "order_id")
-    dims = [(date_dim(t), "calendar_date", "date_sk"), (customer_dim(t), "customer_id", "customer_sk"),
-            (product_dim(t), "product_id", "product_sk"), (seller_dim(t), "seller_id", "seller_sk")]
     return M.build_fact(rows, dims, ["order_id", "item_id", "price", "freight"])
 
 
@@ -58,7 +61,7 @@ def date_dimension(t: Tables):
 
 @query("m3_item_fact", "ord item cust prod seller", f"""WITH {FACT} SELECT order_id, item_id, date_sk, customer_sk, product_sk, seller_sk, CAST(price AS DOUBLE) AS price, CAST(freight AS DOUBLE) AS freight FROM fact""")
 def fact_items(t: Tables):
-    return item_fact(t).withColumn("price", dbl("price")).withColumn("freight", dbl("freight"))
+    return item_fact(t, all_dims(t)).withColumn("price", dbl("price")).withColumn("freight", dbl("freight"))
 
 
 @query("m4_accumulating_snapshot", "fin", "SELECT order_id, purchased_at, estimated_at, delivered_at, CASE WHEN delivered_at IS NULL THEN 'purchased' ELSE 'delivered' END AS milestone FROM fin")
@@ -147,8 +150,10 @@ def drill_across(t: Tables):
 @query("m10_star_sales", "ord item cust prod seller", f"""WITH {FACT} SELECT CAST(strptime(CAST(f.date_sk AS VARCHAR), '%Y%m%d') AS DATE) AS calendar_date, c.state, p.category, COUNT(DISTINCT f.order_id) AS orders_count, CAST(SUM(f.price) AS DOUBLE) AS product_revenue,
     CAST(SUM(f.freight) AS DOUBLE) AS freight_revenue, CAST(SUM(f.price) AS DOUBLE) / nullif(COUNT(*), 0) AS average_item_price FROM fact f JOIN dc c USING (customer_sk) JOIN dp p USING (product_sk) GROUP BY 1, 2, 3""")
 def star_sales(t: Tables):
-    rows = (item_fact(t).join(date_dim(t).select("date_sk", "calendar_date"), "date_sk").join(customer_dim(t).select("customer_sk", "state"), "customer_sk")
-            .join(product_dim(t).select("product_sk", "category"), "product_sk"))
+    dims = all_dims(t)
+    (dates, *_), (customers, *_), (products, *_), _ = dims
+    rows = (item_fact(t, dims).join(dates.select("date_sk", "calendar_date"), "date_sk").join(customers.select("customer_sk", "state"), "customer_sk")
+            .join(products.select("product_sk", "category"), "product_sk"))
     return rows.groupBy("calendar_date", "state", "category").agg(
         F.countDistinct("order_id").alias("orders_count"), dbl(F.sum("price")).alias("product_revenue"), dbl(F.sum("freight")).alias("freight_revenue"),
         (dbl(F.sum("price")) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("average_item_price"))

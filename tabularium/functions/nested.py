@@ -56,9 +56,10 @@ def json_each(df: DataFrame, doc: str) -> DataFrame:
 
 def merge(left: Column, right: Column) -> Column:
     """Fields of both objects; the right side wins."""
-    a, b = as_map(left), as_map(right)
-    kept = F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k))
-    return F.to_json(F.map_concat(kept, b), KEEP_NULLS)
+    # values are wrapped so that a JSON null on the right still wins over a value on the left
+    a, b = [F.transform_values(as_map(doc), lambda _, v: F.struct(v.alias("v"))) for doc in (left, right)]
+    both = F.map_zip_with(a, b, lambda _, x, y: F.coalesce(y, x))
+    return F.to_json(F.transform_values(both, lambda _, s: s["v"]), KEEP_NULLS)
 
 
 def set_field(doc: Column, key: str, value: Column) -> Column:
@@ -82,7 +83,7 @@ def explode_records(df: DataFrame, doc: str, schema: str) -> DataFrame:
     return df.select(*rest, F.inline(F.from_json(F.col(doc), f"array<struct<{schema}>>")))
 
 
-def json_arrays(df: DataFrame, keys: Sequence[str], order: Sequence[Column], element: Column, name: str,
+def json_arrays(df: DataFrame, keys: Sequence[str], order: Sequence[str], element: Column, name: str,
                 chunk: int = 1000) -> DataFrame:
     """Ordered JSON arrays per key, cut in chunks so that no array holds an unbounded group."""
     return ordered.in_chunks(df, keys, order, element, name, chunk).withColumn(name, F.to_json(name, KEEP_NULLS))

@@ -79,6 +79,6 @@ def with_group_agg(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column
     return df.join(df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), list(keys))
 
 
-def collect_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str,
+def collect_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
                     chunk: int = 1000) -> DataFrame:
     return ordered.in_chunks(df, keys, order, value, name, chunk)

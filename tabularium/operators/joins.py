@@ -106,11 +106,13 @@ def join_cardinality(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def asof_join(fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: str, valid_to: str | None,
-              attrs: Sequence[str], tie: Sequence[str], how: str = "inner") -> DataFrame:
+              attrs: Sequence[str], tie: Sequence[str], how: str = "inner",
+              max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
     """The version of `dim` valid at `fact[at]`: valid_from <= at < valid_to (open when NULL).
 
     Facts and versions are put in one time order per key and the last version is carried
-    forward, so a key with many facts and many versions gives no pairs.
+    forward, so a key with many facts and many versions gives no pairs. `tie` identifies a
+    fact among those of one key and time.
     """
     if valid_to is None:
         until = F.lit(None).cast(dim.schema[valid_from].dataType)
@@ -126,7 +128,7 @@ def asof_join(fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: st
         F.lit(None).cast(facts.schema["_fact"].dataType).alias("_fact"), version.alias("_dim"),
     )
     order = [F.col("_at").asc(), F.col("_kind").asc(), *[F.col("_fact")[c].asc() for c in tie]]
-    known = ordered.scan(versions.unionByName(facts), ["_key"], order, ordered.last_known("_found", F.col("_dim")))
+    known = ordered.scan(versions.unionByName(facts), ["_key"], order, ordered.last_known("_found", F.col("_dim")), max_group=max_group)
     out = known.filter("_kind = 1").withColumn(
         "_found", F.when(F.col("_found.until").isNull() | (F.col("_at") < F.col("_found.until")), F.col("_found"))
     )

@@ -1,11 +1,12 @@
 """Window results over groups of any size.
 
 A plain `Window.partitionBy(key)` sorts one key in one task, and a window without a
-partition sorts the whole table in one task. The functions here give the same values
-when one key holds most of the rows: rows are range-partitioned by (key, order), so a
-hot key covers many slices; every slice is scanned on its own; and what a slice needs
-from the slices before or after it comes from a summary with at most two rows per
-slice, which is small enough to broadcast at any data size.
+partition sorts the whole table in one task. The functions here count the rows per key
+first, leave keys that one task can sort to a plain window, and give the same values for
+larger keys and for the table: rows are range-partitioned by (key, order), so a hot key
+covers many slices; every slice is scanned on its own; and what a slice needs from the
+slices before or after it comes from a summary with at most two rows per slice, which is
+small enough to broadcast at any data size.
 
 Use plain windows where a group is bounded by its nature (days of a calendar, flags of
 one order) and `row_number() <= n` filters, which Spark already limits before the
@@ -17,8 +18,9 @@ have no key of their own can take the place they were read from (`Tables.placed_
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ from tabularium.session import written
 
 SLICE = "_slice"
 POSITION = "_position"
+MAX_GROUP_ROWS = 1_000_000  # rows of one key that a task may sort
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row of a partition in its low 33 bits
 
 
@@ -120,6 +123,11 @@ def _local(scan_: Scan, window) -> Column:
     raise ValueError(f"unknown scan {scan_.kind}")
 
 
+def _plain(scan_: Scan, window) -> Column:
+    local = _local(scan_, window)
+    return local["v"] if scan_.kind in ("lag", "lead", "first") else local
+
+
 def _summary(scan_: Scan) -> Column:
     wrapped = None if scan_.value is None else F.struct(scan_.value.alias("v"))
     if scan_.kind == "row_number":
@@ -212,15 +220,49 @@ def _number_all(placed: DataFrame, scans: Sequence[Scan]) -> DataFrame:
 
 
 def scan(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], *scans: Scan, slices: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], *scans: Scan, max_group: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Window columns per `keys` in `order`; with no keys, over the whole table."""
-    return scan_slices(sliced(df, keys, order, slices), keys, *scans)
+    """Window columns per `keys` in `order`; with no keys, over the whole table.
 
+    Keys of at most `max_group` rows go through a plain window, larger ones through slices.
+    """
+    if not keys:
+        return scan_slices(sliced(df, [], order), [], *scans)
+    return by_group_size(
+        df, keys, max_group,
+        lambda rows: scan_groups(rows, keys, order, *scans),
+        lambda rows: scan_slices(sliced(rows, keys, order), keys, *scans),
+    )
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """`row_number` per key (or over the table) without collecting a key in one task."""
-    return scan(df, keys, order, row_number(name))
+
+def scan_groups(df: DataFrame, keys: Sequence[str], order: Sequence[Column], *scans: Scan) -> DataFrame:
+    """`scan` with a plain window: each key is sorted in one task."""
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.select("*", *[_plain(s, window).alias(s.name) for s in scans])
+
+
+def by_group_size(
+    df: DataFrame, keys: Sequence[str], max_group: int,
+    small: Callable[[DataFrame], DataFrame], large: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """`small` over the keys of at most `max_group` rows, `large` over the others, all rows kept.
+
+    Rows are counted per key first, which reads the key columns only and folds them before
+    the shuffle. At most rows / max_group keys are large; without any, `small` is all.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > max_group).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
+    if hot.limit(1).count() == 0:
+        return small(df)
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
+    hot = written(hot, "hot-keys")  # both halves have to see the same keys
+    return small(df.join(hot, match, "left_anti")).unionByName(large(df.join(hot, match, "left_semi")))
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "rn",
+             max_group: int = MAX_GROUP_ROWS) -> DataFrame:
+    """`row_number` per key (or over the table) without collecting a large key in one task."""
+    return scan(df, keys, order, row_number(name), max_group=max_group)
 
 
 def value_ranks(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
@@ -257,15 +299,24 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
     return near.groupBy(*keys).agg((low + (high - low) * part).alias(name))
 
 
-def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, name: str,
+def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
               chunk: int = 1000) -> DataFrame:
-    """Ordered arrays per key, at most `chunk` elements each, numbered by `chunk_no` from 0.
+    """Arrays per key in ascending `order`, at most `chunk` elements each, numbered by `chunk_no` from 0.
 
     A key with more elements than one array should hold gets several rows; none is dropped.
     """
     keys = list(keys)
-    rows = numbered(df, keys, order, "_rn").withColumn(
-        "chunk_no", F.floor((F.col("_rn") - 1) / F.lit(chunk)).cast("long")
-    )
-    packed = F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("n"), value.alias("v"))))
-    return rows.groupBy(*keys, "chunk_no").agg(F.transform(packed, lambda x: x["v"]).alias(name))
+
+    def whole(rows: DataFrame) -> DataFrame:
+        packed = F.array_sort(F.collect_list(F.struct(*order, value.alias("v"))))
+        return rows.groupBy(*keys).agg(packed.alias("_p")).select(
+            *keys, F.lit(0).cast("long").alias("chunk_no"), F.transform("_p", lambda x: x["v"]).alias(name))
+
+    def cut(rows: DataFrame) -> DataFrame:
+        by_place = numbered(rows, keys, [F.col(c).asc() for c in order], "_rn").withColumn(
+            "chunk_no", F.floor((F.col("_rn") - 1) / F.lit(chunk)).cast("long"))
+        packed = F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("n"), value.alias("v"))))
+        return by_place.groupBy(*keys, "chunk_no").agg(packed.alias("_p")).select(
+            *keys, "chunk_no", F.transform("_p", lambda x: x["v"]).alias(name))
+
+    return by_group_size(df, keys, chunk, whole, cut)

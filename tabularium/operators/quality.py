@@ -92,9 +92,11 @@ def latest_alive(df: DataFrame, keys: Sequence[str], order: Sequence[Column], de
     return dedup_keep(df, keys, *order).filter(~F.col(deleted))
 
 
-def versions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_id: str) -> DataFrame:
+def versions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_id: str,
+             max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
     """Each row with `version_no` in its group and the `canonical_id` all copies map to."""
-    return ordered.scan(df, keys, order, ordered.row_number("version_no"), ordered.first("canonical_id", F.col(row_id)))
+    return ordered.scan(df, keys, order, ordered.row_number("version_no"),
+                        ordered.first("canonical_id", F.col(row_id)), max_group=max_group)
 
 
 def checksum(*cols: Column) -> Column:

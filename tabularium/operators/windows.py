@@ -30,13 +30,23 @@ def ntile(number: Column, total: Column, tiles: int) -> Column:
         larger + F.ceil((number - in_larger) / F.when(size > 0, size)))
 
 
-def sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], gap: Column) -> DataFrame:
+def sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], gap: Column,
+             max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
     """`previous`, `new_session` (0/1) and `session_no` per key; a session ends when the gap is exceeded."""
-    placed = ordered.sliced(df, keys, [F.col(ts).asc(), *[F.col(c).asc() for c in tie]])
-    before = _keep_place(placed, keys, ordered.lag("previous", F.col(ts)))
+    order = [F.col(ts).asc(), *[F.col(c).asc() for c in tie]]
+    before = ordered.lag("previous", F.col(ts))
+    number = ordered.running_sum("session_no", F.col("new_session"))
     starts = F.when(F.col("previous").isNull() | (F.col(ts) > F.col("previous") + gap), 1).otherwise(0)
-    return ordered.scan_slices(before.withColumn("new_session", F.lit(0) + starts), keys,
-                               ordered.running_sum("session_no", F.col("new_session")))
+
+    def in_groups(rows: DataFrame) -> DataFrame:
+        marked = ordered.scan_groups(rows, keys, order, before).withColumn("new_session", starts)
+        return ordered.scan_groups(marked, keys, order, number)
+
+    def in_slices(rows: DataFrame) -> DataFrame:
+        marked = _keep_place(ordered.sliced(rows, keys, order), keys, before).withColumn("new_session", starts)
+        return ordered.scan_slices(marked, keys, number)
+
+    return ordered.by_group_size(df, keys, max_group, in_groups, in_slices)
 
 
 def _keep_place(placed: DataFrame, keys: Sequence[str], *scans: ordered.Scan) -> DataFrame:

@@ -59,11 +59,9 @@ class Tables:
         return self._items(self.raw("lineitem"), F.col("_metadata.file_path").alias("file_path"),
                            F.col("_metadata.row_index").alias("row_index"))
 
-    @property
-    def item_order(self) -> list[Column]:
-        """A total order of the placed items of one order."""
-        return [F.col(c) for c in ("item_id", "product_id", "seller_id", "price", "flag", "quantity",
-                                   "shipped_at", "freight", "file_path", "row_index")]
+    # a total order of the placed items of one order
+    item_order = ("item_id", "product_id", "seller_id", "price", "flag", "quantity", "shipped_at", "freight",
+                  "file_path", "row_index")
 
     def _items(self, rows: DataFrame, *more: Column) -> DataFrame:
         price = money("l_extendedprice")
