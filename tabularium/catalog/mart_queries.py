@@ -9,6 +9,7 @@ from tabularium.functions import text, timeops
 from tabularium.operators.joins import semi_join
 from tabularium.operators.ordered import exact_percentile
 from tabularium.plans import marts as M
+from tabularium.session import written
 from tabularium.tables import Tables, dbl, lng
 
 DIMS = """dc AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_sk, * FROM cust), dp AS (SELECT ROW_NUMBER() OVER (ORDER BY product_id) AS product_sk, * FROM prod),
@@ -34,8 +35,10 @@ def date_dim(t: Tables):
 
 
 def all_dims(t: Tables):
-    return [(date_dim(t), "calendar_date", "date_sk"), (customer_dim(t), "customer_id", "customer_sk"),
-            (product_dim(t), "product_id", "product_sk"), (seller_dim(t), "seller_id", "seller_sk")]
+    """The dimensions as stored tables: facts look keys up in them and star queries join them again."""
+    return [(written(d, k), k, sk) for d, k, sk in (
+        (date_dim(t), "calendar_date", "date_sk"), (customer_dim(t), "customer_id", "customer_sk"),
+        (product_dim(t), "product_id", "product_sk"), (seller_dim(t), "seller_id", "seller_sk"))]
 
 
 def item_fact(t: Tables, dims):

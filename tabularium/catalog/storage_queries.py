@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from tabularium.catalog.registry import query
 from tabularium.operators.projection import between_half_open
-from tabularium.operators.quality import text_checksum
+from tabularium.operators.quality import text_hash
 from tabularium.session import scratch_path
 from tabularium.sources import storage as S
 from tabularium.tables import Tables, dbl, lng
@@ -195,9 +195,9 @@ def compaction(t: Tables):
     many, few = scratch_path(t.spark, "many"), scratch_path(t.spark, "few")
     t.items.select("order_id", "item_id", "product_id", "price").repartition(40, "order_id", "item_id").write.parquet(many)
     rows = S.compact(t.spark, many, few, 4)
-    checked = rows.agg(lng(text_checksum(F.col("order_id"), F.col("item_id"), F.col("product_id"))).alias("checksum"))
-    files = S.file_profile(rows, 1 << 20).select(F.lit(1).alias("one"), "rows_count", F.col("file_count").alias("files"))
-    return checked.withColumn("one", F.lit(1)).join(files, "one").drop("one")
+    hashed = rows.select(text_hash(F.col("order_id"), F.col("item_id"), F.col("product_id")).alias("h"), F.col("_metadata.file_path").alias("file_path"))
+    per_file = hashed.groupBy("file_path").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    return per_file.agg(lng(F.sum("h")).alias("checksum"), F.sum("n").alias("rows_count"), F.count(F.lit(1)).alias("files"))
 
 
 @query("io18_bucketed_table", "ord", f"SELECT customer_id, {TOTALS} FROM ord GROUP BY 1")

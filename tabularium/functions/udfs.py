@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # name -> parameters, result type, body
 SQL_FUNCTIONS = {
@@ -26,7 +27,7 @@ def create_table_function(spark: SparkSession, name: str, parameters: str, colum
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE({columns}) RETURN {body}")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def compound(amount: pd.Series, rate: pd.Series) -> pd.Series:
     """amount * (1 + rate) ** 12 over Arrow batches: shows the vectorised form, built-ins come first."""
     return amount * (1.0 + rate) ** 12

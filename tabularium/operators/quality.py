@@ -104,25 +104,39 @@ def checksum(*cols: Column) -> Column:
     return F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
 
 
-def text_checksum(*cols: Column) -> Column:
-    """Order-free checksum that other engines can repeat: 32 bits of md5 over the row text, summed."""
+def text_hash(*cols: Column) -> Column:
+    """32 bits of md5 over the row text: a hash that other engines can repeat."""
     text = F.concat_ws("|", *[c.cast("string") for c in cols])
-    return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(20,0)"))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(20,0)")
+
+
+def text_checksum(*cols: Column) -> Column:
+    """Order-free checksum of rows: the sum of their text hashes."""
+    return F.sum(text_hash(*cols))
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], sums: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    """One row: counts, keys missing or extra in `b`, sums and checksums of both sides."""
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(f"{name}_rows"), *[F.sum(s).cast("double").alias(f"{name}_{s}") for s in sums],
-                      text_checksum(*[F.col(c) for c in texts]).cast("long").alias(f"{name}_checksum"))
-
-    marks = a.select(*keys, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(
-        b.select(*keys, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
-    seen = marks.groupBy(*keys).agg(F.max("_a").alias("_a"), F.max("_b").alias("_b"))
-    gaps = seen.agg(F.count_if(F.col("_b") == 0).alias("missing_keys"), F.count_if(F.col("_a") == 0).alias("extra_keys"))
-    sides = [side(a, "source"), side(b, "target"), gaps]
-    # three one-row frames, joined on a constant
-    one = reduce(lambda x, y: x.join(y, "_one"), [s.withColumn("_one", F.lit(1)) for s in sides]).drop("_one")
+    """One row: counts, keys missing or extra in `b`, sums and checksums of both sides.
+
+    Both sides are folded per key in one grouping, then over the keys.
+    """
+    cols = list(dict.fromkeys([*keys, *sums, *texts]))
+    both = a.select(*cols, F.lit("source").alias("_side")).unionByName(b.select(*cols, F.lit("target").alias("_side")))
+    both = both.withColumn("_hash", text_hash(*[F.col(c) for c in texts]))
+
+    def of(side: str, value: Column) -> Column:
+        return F.sum(F.when(F.col("_side") == side, value))
+
+    sides = ("source", "target")
+    per_key = both.groupBy(*keys).agg(
+        *[F.count_if(F.col("_side") == s).alias(f"{s}_rows") for s in sides],
+        *[of(s, F.col(c)).alias(f"{s}_{c}") for s in sides for c in sums],
+        *[of(s, F.col("_hash")).alias(f"{s}_checksum") for s in sides])
+    one = per_key.agg(
+        *[F.coalesce(F.sum(f"{s}_rows"), F.lit(0)).alias(f"{s}_rows") for s in sides],
+        *[F.sum(f"{s}_{c}").cast("double").alias(f"{s}_{c}") for s in sides for c in sums],
+        *[F.sum(f"{s}_checksum").cast("long").alias(f"{s}_checksum") for s in sides],
+        F.count_if(F.col("target_rows") == 0).alias("missing_keys"), F.count_if(F.col("source_rows") == 0).alias("extra_keys"))
     return one.withColumn("equal", F.col("source_checksum").eqNullSafe(F.col("target_checksum"))
                           & (F.col("source_rows") == F.col("target_rows")))
 
