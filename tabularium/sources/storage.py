@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularium.session import scratch_path, scratch_root
+from tabularium.session import scratch_path, scratch_root, written
 
 CORRUPT = "_corrupt"
 
@@ -43,9 +43,14 @@ def read_delimited(spark: SparkSession, path: str, names: Sequence[str], sep: st
 
 
 def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) rows of a CSV; bad rows keep the raw line. More than `limit` bad rows fail the load."""
+    """(good, bad) rows of a CSV; bad rows keep the raw line. More than `limit` bad rows fail the load.
+
+    Parsed rows are written once: a later reader that needs few columns would otherwise not
+    parse the others, and would not see that they are bad.
+    """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(full).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(path)
+    parsed = spark.read.schema(full).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(path)
+    rows = written(parsed, "parsed")
     bad = rows.filter(F.col(CORRUPT).isNotNull())
     causes = [F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields]
     bad = bad.select(F.col(CORRUPT).alias("raw_line"), F.array_join(F.array_compact(F.array(*causes)), ";").alias("unread_fields"))

@@ -64,7 +64,11 @@ def compare(spark, con, name, q, sf_dir):
 def main():
     pattern = re.compile(sys.argv[1] if len(sys.argv) > 1 else ".")
     sf_dir = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.01"
-    spark = local_session()
+    if os.environ.get("TWINS_PLAIN"):  # a session with Spark's own settings
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = local_session()
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle(sf_dir)
     bad = []
