@@ -46,9 +46,7 @@ def bucketed_join(left: DataFrame, right: DataFrame, key: str, buckets: int, hot
     A bucket is read by one task, so this is for keys without hot values: when one key
     holds more than `hot_share` of the left rows, the salted join is used instead.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    share = counts.agg((F.max("n") / F.sum("n")).alias("share")).first()["share"] or 0.0
-    if share * buckets > 1 and share > hot_share:
+    if storage.hottest_share(left, key) > hot_share:
         return salted_join(left, right, key, hot_share=hot_share)
     return storage.write_bucketed(left, buckets, key).join(storage.write_bucketed(right, buckets, key), key)
 

@@ -30,6 +30,7 @@ from tabularium.session import written
 SLICE = "_slice"
 POSITION = "_position"
 MAX_GROUP_ROWS = 1_000_000  # rows of one key that a task may sort
+_BROADCAST_KEYS = 1_000_000  # keys that one broadcast may hold
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row of a partition in its low 33 bits
 
 
@@ -248,7 +249,8 @@ def by_group_size(
     """`small` over the keys of at most `max_group` rows, `large` over the others, all rows kept.
 
     Rows are counted per key first, which reads the key columns only and folds them before
-    the shuffle. At most rows / max_group keys are large; without any, `small` is all.
+    the shuffle. At most rows / max_group keys are large; without any, `small` is all. Large
+    keys are broadcast when counted to be few enough.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_group).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
@@ -256,6 +258,8 @@ def by_group_size(
         return small(df)
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     hot = written(hot, "hot-keys")  # both halves have to see the same keys
+    if hot.count() <= _BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     return small(df.join(hot, match, "left_anti")).unionByName(large(df.join(hot, match, "left_semi")))
 
 
@@ -300,23 +304,14 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
 
 
 def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-              chunk: int = 1000) -> DataFrame:
+              chunk: int = 1000, max_group: int = MAX_GROUP_ROWS) -> DataFrame:
     """Arrays per key in ascending `order`, at most `chunk` elements each, numbered by `chunk_no` from 0.
 
     A key with more elements than one array should hold gets several rows; none is dropped.
+    Numbering leaves the rows placed by key, so the arrays need no further shuffle.
     """
     keys = list(keys)
-
-    def whole(rows: DataFrame) -> DataFrame:
-        packed = F.array_sort(F.collect_list(F.struct(*order, value.alias("v"))))
-        return rows.groupBy(*keys).agg(packed.alias("_p")).select(
-            *keys, F.lit(0).cast("long").alias("chunk_no"), F.transform("_p", lambda x: x["v"]).alias(name))
-
-    def cut(rows: DataFrame) -> DataFrame:
-        by_place = numbered(rows, keys, [F.col(c).asc() for c in order], "_rn").withColumn(
-            "chunk_no", F.floor((F.col("_rn") - 1) / F.lit(chunk)).cast("long"))
-        packed = F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("n"), value.alias("v"))))
-        return by_place.groupBy(*keys, "chunk_no").agg(packed.alias("_p")).select(
-            *keys, "chunk_no", F.transform("_p", lambda x: x["v"]).alias(name))
-
-    return by_group_size(df, keys, chunk, whole, cut)
+    rows = numbered(df, keys, [F.col(c).asc() for c in order], "_rn", max_group).withColumn(
+        "chunk_no", F.floor((F.col("_rn") - 1) / F.lit(chunk)).cast("long"))
+    packed = F.array_sort(F.collect_list(F.struct(F.col("_rn").alias("n"), value.alias("v"))))
+    return rows.groupBy(*keys, "chunk_no").agg(F.transform(packed, lambda x: x["v"]).alias(name))

@@ -204,13 +204,24 @@ def table_name(spark: SparkSession, label: str) -> str:
     return f"{work_database(spark)}.{label}_{uuid.uuid4().hex[:12]}"
 
 
-def write_bucketed(df: DataFrame, buckets: int, key: str) -> DataFrame:
+def hottest_share(df: DataFrame, key: str) -> float:
+    """Share of the rows that the most frequent key holds."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg((F.max("n") / F.sum("n")).alias("share")).first()["share"] or 0.0
+
+
+def write_bucketed(df: DataFrame, buckets: int, key: str, hot_share: float = 0.05) -> DataFrame:
     """A table bucketed and sorted by `key`; joins of such tables on the key need no shuffle.
 
-    A bucket holds whole keys: use it for keys without hot values, `salted_join` otherwise.
+    A bucket holds whole keys and is read by one task. A side in which one key holds more
+    than `hot_share` of the rows is therefore written without buckets, so that Spark can
+    spread it.
     """
     name = table_name(df.sparkSession, "bucketed")
-    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    if hottest_share(df, key) > hot_share:
+        df.write.saveAsTable(name)
+    else:
+        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

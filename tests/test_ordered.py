@@ -91,11 +91,11 @@ def test_exact_percentile(spark, p):
     assert out == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("chunk", [3, 1000])
-def test_chunks_hold_every_row(spark, chunk):
+@pytest.mark.parametrize("chunk,max_group", [(3, 1000), (3, 10), (1000, 1000)])
+def test_chunks_hold_every_row(spark, chunk, max_group):
     rows = [("hot", i % 7, i) for i in range(50)] + [("b", 1, 1)]
     df = spark.createDataFrame(rows, "k string, a int, i int").repartition(4)
-    out = grouping.collect_ordered(df, ["k"], ["a", "i"], F.col("i"), "ids", chunk).collect()
+    out = grouping.collect_ordered(df, ["k"], ["a", "i"], F.col("i"), "ids", chunk, max_group).collect()
     assert all(len(r["ids"]) <= chunk for r in out)
     joined = [i for r in sorted((r for r in out if r["k"] == "hot"), key=lambda r: r["chunk_no"]) for i in r["ids"]]
     assert joined == [i for _, _, i in sorted((a, i, i) for k, a, i in rows if k == "hot")]
