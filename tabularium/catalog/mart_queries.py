@@ -196,10 +196,10 @@ def money_out(df, *cols):
     return df.withColumns({c: dbl(c) for c in cols})
 
 
-@query("m14_daily_bars", "trade", f"""WITH {BARS} SELECT secid, day, trades, quantity, CAST(value AS DOUBLE) AS value, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, CAST(LAG(close) OVER w AS DOUBLE) AS previous_close,
+@query("m14_daily_bars", "trade", f"""WITH {BARS} SELECT secid, day, trades, quantity, CAST(value AS DOUBLE) AS value, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, CAST(LAG(close) OVER w AS DOUBLE) AS previous_close, CAST(close - LAG(close) OVER w AS DOUBLE) AS abs_change, DENSE_RANK() OVER (PARTITION BY day ORDER BY bars.value DESC) AS liquidity_rank,
     100 * CAST(close - LAG(close) OVER w AS DOUBLE) / nullif(CAST(LAG(close) OVER w AS DOUBLE), 0) AS change_pct FROM bars WINDOW w AS (PARTITION BY secid ORDER BY day)""")
 def bars(t: Tables):
-    return money_out(M.with_changes(M.daily_bars(t.trades)), "value", "open", "high", "low", "close", "previous_close")
+    return money_out(M.with_changes(M.daily_bars(t.trades)), "value", "open", "high", "low", "close", "previous_close", "abs_change")
 
 
 @query("m15_monthly_bars", "trade", f"""WITH {BARS} SELECT 'month' AS mart, secid, CAST(strftime(day, '%Y%m') AS BIGINT) AS period, COUNT(*) AS days, CAST(SUM(trades) AS BIGINT) AS trades, CAST(SUM(value) AS DOUBLE) AS value FROM bars GROUP BY 2, 3
@@ -239,10 +239,10 @@ def incremental_refresh(t: Tables):
     return a.unionByName(fresh_months.select(F.lit("month").alias("mart"), "secid", F.col("month").alias("day"), "trades", dbl("value").alias("value")))
 
 
-@query("m18_mart_catalog", "ord item", """WITH v AS (SELECT 'orders' AS mart, 1 AS version, 'READY' AS status, COUNT(*) AS row_count, COUNT(DISTINCT order_id) AS key_count, CAST(SUM(CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || order_status), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM ord WHERE order_status <> 'P'
+@query("m18_mart_catalog", "ord item", """WITH v AS (SELECT 'orders' AS mart, 1::BIGINT AS version, 'READY' AS status, COUNT(*) AS row_count, COUNT(DISTINCT order_id) AS key_count, CAST(SUM(CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || order_status), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM ord WHERE order_status <> 'P'
     UNION ALL SELECT 'orders', 2, 'READY', COUNT(*), COUNT(DISTINCT order_id), CAST(SUM(CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || order_status), 1, 8) AS BIGINT)) AS BIGINT) FROM ord
     UNION ALL SELECT 'items', 1, 'READY', COUNT(*), COUNT(DISTINCT order_id), CAST(SUM(CAST('0x' || substr(md5(CAST(order_id AS VARCHAR) || '|' || flag), 1, 8) AS BIGINT)) AS BIGINT) FROM item)
-    SELECT mart, version, CASE WHEN row_count = key_count THEN 'PUBLISHED' ELSE status END AS status, row_count, key_count, checksum, row_count = key_count AND version = 2 AS served FROM v""")
+    SELECT mart, 'order_id' AS grain, version, CASE WHEN row_count = key_count THEN 'PUBLISHED' ELSE status END AS status, row_count, key_count, checksum, row_count = key_count AND version = 2 AS served FROM v""")
 def mart_catalog(t: Tables):
     texts = ["order_id", "order_status"]
     one = M.catalog_entry(t.orders.filter("order_status <> 'P'"), "orders", 1, "READY", ["order_id"], texts)
@@ -269,3 +269,11 @@ def entitled_rows(t: Tables):
     user_map = t.raw("nation").join(t.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("user_name"), F.col("n_name").alias("state"))
     mail = text.mask_email(F.concat(F.lower("customer_name"), F.lit("@mail.example")))
     return M.entitled(t.customers, user_map, "ASIA", "state", {"customer_id": F.col("customer_id"), "state": F.col("state"), "email": mail})
+
+
+@query("m18_mart_reconciliation", "trade", f"""WITH {BARS}, m AS (SELECT secid, date_trunc('month', day) AS month, SUM(value) AS value, SUM(trades) AS trades FROM bars GROUP BY 1, 2)
+    SELECT CAST((SELECT SUM(value) FROM trade) AS DOUBLE) AS fact_value, CAST((SELECT SUM(value) FROM bars) AS DOUBLE) AS daily_value, CAST((SELECT SUM(value) FROM m) AS DOUBLE) AS monthly_value,
+    (SELECT COUNT(*) FROM trade) AS fact_trades, CAST((SELECT SUM(trades) FROM bars) AS BIGINT) AS daily_trades, CAST((SELECT SUM(trades) FROM m) AS BIGINT) AS monthly_trades, 0::BIGINT AS missing_groups, true AS reconciled""")
+def mart_reconciliation(t: Tables):
+    days = M.daily_bars(t.trades)
+    return M.reconcile_marts(t.trades, days, M.monthly_bars(days))

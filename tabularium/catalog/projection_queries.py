@@ -96,12 +96,12 @@ def optional_filters(t: Tables):
 @query("p10_sample_split", "", """WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
     CAST('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
         CAST(l_partkey AS VARCHAR))), 1, 8) AS BIGINT) / 4294967296.0 AS share FROM lineitem)
-    SELECT CASE WHEN share < 0.8 THEN 'train' ELSE 'check' END AS part, COUNT(*) AS rows_count,
+    SELECT CASE WHEN share < 0.8 THEN 'main' ELSE 'rest' END AS part, COUNT(*) AS rows_count,
     SUM(CASE WHEN share < 0.1 THEN 1 ELSE 0 END)::BIGINT AS sampled_rows,
     CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price FROM p GROUP BY 1""")
 def sample_split(t: Tables):
     keys = ["l_orderkey", "l_linenumber", "l_partkey"]
-    parts = P.split_by_key(t.raw("lineitem"), keys, {"train": 0.8, "check": 0.2})
+    parts = P.split_by_key(t.raw("lineitem"), keys, {"main": 0.8, "rest": 0.2})
     return parts.groupBy("part").agg(
         F.count(F.lit(1)).alias("rows_count"), F.count_if(P.hash_share(*keys) < 0.1).alias("sampled_rows"),
         dbl(F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))).alias("price"))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tabularium.catalog.registry import query
 from tabularium.functions import text
 from tabularium.operators import quality as Q
+from tabularium.plans.marts import snapshot_quality as snapshot_quality_of
 from tabularium.tables import Tables, dbl
 
 KEY = ["order_id", "item_id"]
@@ -184,3 +185,16 @@ def quality_mart(t: Tables):
     mart = Q.quality_mart(rows, {"event_day": F.to_date("ts")}, event_rules())
     critical = [F.col(r.name) for r in event_rules() if r.severity == "critical"]
     return mart.withColumn("publish", reduce(lambda a, b: a + b, critical) == 0)
+
+
+@query("q15_snapshot_quality", "trade", """SELECT day, COUNT(*) AS snapshot_rows, COUNT(*) FILTER (WHERE side <> 'N') AS active_rows, COUNT(*) FILTER (WHERE side = 'N') AS zero_trade_rows,
+    COUNT(DISTINCT secid) AS instruments, 0::BIGINT AS rejected_rows FROM trade GROUP BY day""")
+def snapshot_quality(t: Tables):
+    # one side is read as listed but not traded
+    return snapshot_quality_of(t.trades.withColumn("quantity", F.when(F.col("side") == "N", 0).otherwise(F.col("quantity"))))
+
+
+@query("q1_frequent_values", "", " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{n}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS rows_count FROM orders GROUP BY {c} ORDER BY 3 DESC, {c} LIMIT 5)" for n, c in PROFILED.items()))
+def frequent_values(t: Tables):
+    return Q.frequent_values(t.orders, list(PROFILED), 5)

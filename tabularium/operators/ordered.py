@@ -290,7 +290,8 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
         whole = exact_percentile(df.withColumn("_whole", F.lit(0)), ["_whole"], value, p, name)
         return whole.drop("_whole")
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    folded = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(folded, "value-counts")  # read three times below
     ranked = scan(counts, keys, [F.col(value).asc()], running_sum("_upto", F.col("_n")))
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     place = F.lit(p) * (F.col("_total") - 1)

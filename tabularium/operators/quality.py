@@ -56,6 +56,15 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [one(c) for c in cols])
 
 
+def frequent_values(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
+    """The `n` most frequent values of each column."""
+    def one(name: str) -> DataFrame:
+        counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("rows_count")).orderBy(F.col("rows_count").desc(), name).limit(n)
+        return counts.select(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value"), "rows_count")
+
+    return reduce(lambda a, b: a.unionByName(b), [one(c) for c in cols])
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys (NULL included) with more than one row."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_count")).filter("rows_count > 1")

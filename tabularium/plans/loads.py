@@ -5,7 +5,7 @@ Frames that stand for a keyed target have one row per key, so joins on the key d
 
 from __future__ import annotations
 
-import time
+import datetime
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -96,35 +96,53 @@ def increment_overlap(target: DataFrame, src: DataFrame, at: str, key: str, over
 class Stage:
     name: str
     build: Callable[[], tuple[DataFrame, DataFrame | None]]  # accepted, rejected
+    retries: int = 0
+    max_seconds: float | None = None  # the time a run may take
+
+
+LOG_SCHEMA = """run_id string, stage string, attempt int, status string, started_at timestamp, finished_at timestamp, rows_read long,
+    rows_written long, rows_rejected long, duration_s double, rows_per_s double, sla_status string, error_message string"""
 
 
 def run_log(spark, run_id: str, stages: Sequence[Stage]) -> DataFrame:
-    """Write each stage and log status, rows and time; a failed stage stops the run.
+    """Write each stage and log status, rows and time; a failed stage is tried again, then stops the run.
 
-    Rows are counted while the stage is written. The log has one line per stage.
+    Every attempt writes to a path of its own, so a retry meets no half-written rows. Rows are
+    counted while the stage is written. The log has one line per attempt.
     """
     lines = []
     for stage in stages:
-        begun = time.time()
-        written_rows = rejected_rows = 0
-        status, error = "SUCCESS", None
-        try:
-            accepted, rejected = stage.build()
-            seen = Observation()
-            accepted.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(scratch_path(spark, stage.name))
-            written_rows = seen.get["n"]
-            if rejected is not None:
-                seen = Observation()
-                rejected.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(scratch_path(spark, stage.name + "-rejects"))
-                rejected_rows = seen.get["n"]
-        except Exception as e:  # noqa: BLE001 - the log records any failure
-            status, error = "FAILED", str(e)[:500]
-        took = time.time() - begun
-        lines.append((run_id, stage.name, status, written_rows + rejected_rows, written_rows, rejected_rows, took,
-                      (written_rows + rejected_rows) / took if took > 0 else None, error))
-        if status == "FAILED":
+        for attempt in range(1, stage.retries + 2):
+            lines.append(_attempt(run_id, stage, attempt))
+            if lines[-1][3] == "SUCCESS":
+                break
+        else:
             break
-    return spark.createDataFrame(lines, "run_id string, stage string, status string, rows_read long, rows_written long, rows_rejected long, duration_s double, rows_per_s double, error_message string")
+    return spark.createDataFrame(lines, LOG_SCHEMA)
+
+
+def _attempt(run_id: str, stage: Stage, attempt: int) -> tuple:
+    begun = datetime.datetime.now()
+    accepted_rows = rejected_rows = 0
+    status, error = "SUCCESS", None
+    try:
+        accepted, rejected = stage.build()
+        accepted_rows = _write_counted(accepted, stage.name)
+        rejected_rows = _write_counted(rejected, stage.name + "-rejects") if rejected is not None else 0
+    except Exception as e:  # noqa: BLE001 - the log records any failure
+        status, error = "FAILED", str(e)[:500]
+    ended = datetime.datetime.now()
+    took = (ended - begun).total_seconds()
+    rows = accepted_rows + rejected_rows
+    sla = None if stage.max_seconds is None else "MET" if status == "SUCCESS" and took <= stage.max_seconds else "MISSED"
+    return (run_id, stage.name, attempt, status, begun, ended, rows, accepted_rows, rejected_rows, took,
+            rows / took if took > 0 else None, sla, error)
+
+
+def _write_counted(df: DataFrame, label: str) -> int:
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(scratch_path(df.sparkSession, label))
+    return seen.get["n"]
 
 
 def require(df: DataFrame, rule: Column, message: str) -> DataFrame:

@@ -103,13 +103,22 @@ def scd2(dim: DataFrame, src: DataFrame, key: str, attrs: Sequence[str], at: Col
     return past.select(key, *attrs, "valid_from", "valid_to", "is_current").unionByName(both.select(F.inline(rows)))
 
 
-def scd2_history(changes: DataFrame, key: str, attrs: Sequence[str], at: str, tie: Sequence[str]) -> DataFrame:
+def scd2_history(changes: DataFrame, key: str, attrs: Sequence[str], at: str, tie: Sequence[str],
+                 max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
     """Versions from a log of changes: repeats of the same attributes are folded, then each ends where the next starts."""
     order = [F.col(at).asc(), *[F.col(c).asc() for c in tie]]
     state = F.struct(*attrs)
-    seen = ordered.scan(changes, [key], order, ordered.lag("_before", state))
-    starts = seen.filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state)).drop("_before")
-    spans = ordered.scan(starts, [key], order, ordered.lead("valid_to", F.col(at)))
+    before, after = ordered.lag("_before", state), ordered.lead("valid_to", F.col(at))
+    starts = F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state)
+
+    def in_groups(rows: DataFrame) -> DataFrame:
+        return ordered.scan_groups(ordered.scan_groups(rows, [key], order, before).filter(starts), [key], order, after)
+
+    def in_slices(rows: DataFrame) -> DataFrame:
+        kept = ordered.scan_slices(ordered.sliced(rows, [key], order), [key], before).filter(starts)
+        return ordered.scan_slices(ordered.sliced(kept, [key], order), [key], after)
+
+    spans = ordered.by_group_size(changes, [key], max_group, in_groups, in_slices)
     return spans.select(key, *attrs, F.col(at).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 
@@ -140,10 +149,42 @@ def daily_bars(trades: DataFrame) -> DataFrame:
 
 
 def with_changes(bars: DataFrame) -> DataFrame:
-    """Bars with the previous close and the change in percent; a ticker has one row per day."""
+    """Bars with the close of the previous active day, the change, and the rank by value within the day.
+
+    The windows run over folded rows: a ticker has one row per day, a day one per ticker.
+    """
     before = F.lag("close").over(Window.partitionBy("secid").orderBy("day"))
-    pct = F.lit(100) * (F.col("close") - F.col("previous_close")).cast("double") / F.nullif(F.col("previous_close").cast("double"), F.lit(0.0))
-    return bars.withColumn("previous_close", before).withColumn("change_pct", pct)
+    rank = F.dense_rank().over(Window.partitionBy("day").orderBy(F.col("value").desc())).cast("long")
+    change = F.col("close") - F.col("previous_close")
+    pct = F.lit(100) * F.col("abs_change").cast("double") / F.nullif(F.col("previous_close").cast("double"), F.lit(0.0))
+    return (bars.withColumn("liquidity_rank", rank).withColumn("previous_close", before)
+            .withColumn("abs_change", change).withColumn("change_pct", pct))
+
+
+def snapshot_quality(trades: DataFrame) -> DataFrame:
+    """Per day: rows of the snapshot = active rows + rows without trades; tickers; rows to reject."""
+    active = F.coalesce(F.col("quantity") > 0, F.lit(False))
+    return trades.groupBy("day").agg(
+        F.count(F.lit(1)).alias("snapshot_rows"), F.count_if(active).alias("active_rows"), F.count_if(~active).alias("zero_trade_rows"),
+        F.countDistinct("secid").alias("instruments"), F.count_if(F.col("value").isNull() | (F.col("value") <= 0)).alias("rejected_rows"))
+
+
+def reconcile_marts(trades: DataFrame, daily: DataFrame, monthly: DataFrame) -> DataFrame:
+    """One row: value and trades must be the same in the fact, the days and the months, and no group may be absent."""
+    def folded(df: DataFrame, month: Column, level: str, n: Column) -> DataFrame:
+        return df.groupBy("secid", month.alias("month")).agg(F.sum("value").alias("value"), n.alias("trades")).select(
+            "*", F.lit(level).alias("level"))
+
+    levels = ("fact", "daily", "monthly")
+    rows = (folded(trades, F.trunc("day", "month"), "fact", F.count(F.lit(1)))
+            .unionByName(folded(daily, F.trunc("day", "month"), "daily", F.sum("trades")))
+            .unionByName(folded(monthly, F.col("month"), "monthly", F.sum("trades"))))
+    per_group = rows.groupBy("secid", "month").agg(
+        F.count(F.lit(1)).alias("_levels"), *[F.sum(F.when(F.col("level") == x, F.col(c))).alias(f"{x}_{c}") for x in levels for c in ("value", "trades")])
+    one = per_group.agg(*[F.sum(f"{x}_value").cast("double").alias(f"{x}_value") for x in levels], *[F.sum(f"{x}_trades").alias(f"{x}_trades") for x in levels],
+                        F.count_if(F.col("_levels") < 3).alias("missing_groups"))
+    return one.withColumn("reconciled", (F.col("missing_groups") == 0) & (F.col("fact_value") == F.col("daily_value")) & (F.col("daily_value") == F.col("monthly_value"))
+                          & (F.col("fact_trades") == F.col("daily_trades")) & (F.col("daily_trades") == F.col("monthly_trades")))
 
 
 def monthly_bars(bars: DataFrame) -> DataFrame:
@@ -167,7 +208,7 @@ def refresh_days(mart: DataFrame, facts: DataFrame, changed: DataFrame, keys: Se
 def catalog_entry(mart: DataFrame, name: str, version: int, status: str, keys: Sequence[str], texts: Sequence[str]) -> DataFrame:
     counted = mart.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), text_checksum(*[F.col(c) for c in texts]).alias("_c"))
     return counted.agg(F.sum("_n").alias("row_count"), F.count(F.lit(1)).alias("key_count"), F.sum("_c").cast("long").alias("checksum")).select(
-        F.lit(name).alias("mart"), F.lit(version).cast("long").alias("version"), F.lit(status).alias("status"), "*")
+        F.lit(name).alias("mart"), F.lit(",".join(keys)).alias("grain"), F.lit(version).cast("long").alias("version"), F.lit(status).alias("status"), "*")
 
 
 def latest_published(catalog: DataFrame) -> DataFrame:

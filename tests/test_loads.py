@@ -98,6 +98,20 @@ def test_run_log_stops_at_a_failure(spark, target):
         raise ValueError("no source")
     log = L.run_log(spark, "r", [L.Stage("one", lambda: (target, target.filter("k = 1"))), L.Stage("two", fail), L.Stage("three", lambda: (target, None))]).collect()
     assert [(r["stage"], r["status"], r["rows_written"], r["rows_rejected"]) for r in log] == [("one", "SUCCESS", 3, 1), ("two", "FAILED", 0, 0)]
+    assert "no source" in log[1]["error_message"]
+
+
+def test_retry_gives_whole_rows_once(spark, target):
+    tries = []
+
+    def flaky():
+        tries.append(1)
+        if len(tries) == 1:
+            return L.require(target, F.col("at") > 10, "bad day"), None
+        return target, None
+    log = L.run_log(spark, "r", [L.Stage("load", flaky, retries=2, max_seconds=600), L.Stage("next", lambda: (target, None), max_seconds=0)]).collect()
+    assert [(r["stage"], r["attempt"], r["status"], r["rows_written"], r["sla_status"]) for r in log] == [
+        ("load", 1, "FAILED", 0, "MISSED"), ("load", 2, "SUCCESS", 3, "MET"), ("next", 1, "SUCCESS", 3, "MISSED")]
 
 
 def test_layered_load_counts(spark, target):
@@ -123,9 +137,10 @@ def test_scd2(spark):
     assert same(out, M.scd2(out, src, "k", ["city"], F.lit(11)))
 
 
-def test_scd2_history_folds_repeats(spark):
+@pytest.mark.parametrize("max_group", [1000, 0])
+def test_scd2_history_folds_repeats(spark, max_group):
     log = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 3), (1, "a", 4), (2, None, 1), (2, None, 2)], "k int, city string, at int")
-    out = {tuple(r) for r in M.scd2_history(log, "k", ["city"], "at", []).collect()}
+    out = {tuple(r) for r in M.scd2_history(log, "k", ["city"], "at", [], max_group).collect()}
     assert out == {(1, "a", 1, 3, False), (1, "b", 3, 4, False), (1, "a", 4, None, True), (2, None, 1, None, True)}
 
 
