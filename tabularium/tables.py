@@ -56,12 +56,12 @@ class Tables:
     @cached_property
     def placed_items(self) -> DataFrame:
         """Items with the file and row they were read from, which tells exact copies apart."""
-        return self._items(self.raw("lineitem"), F.col("_metadata.file_path").alias("file_path"),
+        return self._items(self.raw("lineitem"), F.xxhash64("_metadata.file_path").alias("file_no"),
                            F.col("_metadata.row_index").alias("row_index"))
 
     # a total order of the placed items of one order
     item_order = ("item_id", "product_id", "seller_id", "price", "flag", "quantity", "shipped_at", "freight",
-                  "file_path", "row_index")
+                  "file_no", "row_index")
 
     def _items(self, rows: DataFrame, *more: Column) -> DataFrame:
         price = money("l_extendedprice")
@@ -111,10 +111,8 @@ class Tables:
     def item_totals(self) -> DataFrame:
         return self.items.groupBy("order_id").agg(
             F.count(F.lit(1)).alias("items_count"), F.sum("price").alias("product_value"),
-            F.sum("freight").alias("freight_value"),
-            F.sum(F.col("price") + F.col("freight")).alias("payment_value"),
-            F.max("shipped_at").alias("delivered_at"),
-        )
+            F.sum("freight").alias("freight_value"), F.max("shipped_at").alias("delivered_at"),
+        ).withColumn("payment_value", F.col("product_value") + F.col("freight_value"))
 
     @cached_property
     def finance(self) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from check_twins import cross_joins
 from pyspark.sql import functions as F
 
 from tabularium.operators import grouping, joins, ordered, quality, windows
@@ -48,6 +49,7 @@ def test_scan_by_key(spark, max_group, seed):
     rows = data(seed=seed)
     df = spark.createDataFrame(rows, "k string, i int, v int").repartition(5)
     out = ordered.scan(df, ["k"], [F.col("i").asc()], *scans(), max_group=max_group)
+    assert cross_joins(out) == []
     assert got(out) == brute(rows, lambda r: r[0])
 
 
