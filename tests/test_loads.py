@@ -154,6 +154,13 @@ def test_dimension_keys_are_stable(spark):
     assert {r["bk"]: r["sk"] for r in facts.collect()} == {"a": 1, "q": -1}
 
 
+def test_hashed_keys_need_no_order(spark):
+    dim = M.hashed_dim(spark.range(1000).select(F.col("id").cast("string").alias("bk")), "bk", [], "sk")
+    assert dim.select("sk").distinct().count() == 1000
+    assert "Exchange" not in dim._jdf.queryExecution().executedPlan().toString()
+    assert same(dim, M.hashed_dim(dim.select("bk").repartition(5), "bk", [], "sk"))
+
+
 def test_served_version(spark):
     cat = spark.createDataFrame([("m", 1, "READY", 5, 5, 0), ("m", 2, "READY", 6, 6, 0), ("m", 3, "READY", 7, 6, 0), ("m", 4, "BUILDING", 7, 7, 0)],
                                 "mart string, version long, status string, row_count long, key_count long, checksum long")
