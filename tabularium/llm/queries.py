@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import pivot_topk, prefix_bpe, text_density, url_ratio, window_packing
+from tabularium.llm import pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing
+from tabularium.session import written
 
 RULES = (
     url_ratio.Rule("org", "/", "allow"), url_ratio.Rule("example.org", "/es/", "block"),
@@ -43,6 +44,19 @@ def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_markov.scan(table(spark, sf_dir, "documents"))
+    base = secret_markov.written_out(F.col("base"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(base, 256).alias("base_sha256"),
+                        secret_markov.written_out(F.col("spans")).alias("spans"))
+
+
+def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = weak_rules.judge(table(spark, sf_dir, "documents"), store=written)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "posterior")
+
+
 def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         definition = f.read()
@@ -52,6 +66,7 @@ def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op5_text_density, op10_window_packing)
+    f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op5_text_density, op7_secret_markov,
+                              op9_weak_rules, op10_window_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
