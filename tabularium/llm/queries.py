@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing
+from tabularium.llm import (
+    bbit_minhash, pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing,
+)
 from tabularium.session import written
 
 RULES = (
@@ -39,6 +41,10 @@ def op3_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("digits", 256).alias("ids_sha256"), F.sha2("text_bytes", 256).alias("decoded_sha256"))
 
 
+def op4_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bbit_minhash.groups(table(spark, sf_dir, "documents"), words=2)
+
+
 def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = text_density.extract(table(spark, sf_dir, "pages"), keep=("url",))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -66,7 +72,7 @@ def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op5_text_density, op7_secret_markov,
+    f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op4_bbit_minhash, op5_text_density, op7_secret_markov,
                               op9_weak_rules, op10_window_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
