@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm import (
-    bbit_minhash, pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing,
+    bbit_minhash, block_anchors, pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing,
 )
 from tabularium.session import written
 
@@ -57,6 +57,14 @@ def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_markov.written_out(F.col("spans")).alias("spans"))
 
 
+def op8_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # neighbouring rows of a file are a source
+    source = F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / block_anchors.SOURCE_ROWS))
+    done = block_anchors.remove(docs.select("doc_id", "text", source.alias("source")), F.col("source"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = weak_rules.judge(table(spark, sf_dir, "documents"), store=written)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
@@ -73,6 +81,6 @@ def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op4_bbit_minhash, op5_text_density, op7_secret_markov,
-                              op9_weak_rules, op10_window_packing)
+                              op8_block_anchors, op9_weak_rules, op10_window_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
