@@ -30,7 +30,7 @@ VOTES = ("length_vote", "symbol_vote", "line_vote", "repeat_vote", "word_vote",
 ROUNDS = 50
 PRIOR_GOOD = 0.8
 PRIOR_WEIGHT = 20.0  # pseudo-votes behind the starting accuracies
-START_GOOD = 0.995  # starting chance that a rule which votes on a good text votes good
+START_GOOD = 0.998  # starting, and least, chance that a rule which votes on a good text votes good
 START_BAD = 0.3  # and bad on a bad text: a text is mostly bad in one way, which the other rules do not see
 
 
@@ -129,7 +129,7 @@ def estimate(patterns: dict[int, int]) -> tuple[float, list[tuple[float, float]]
             on_bad = sum(n * (1 - g) for n, g, _ in seen) + PRIOR_WEIGHT
             hit = sum(n * g for n, g, v in seen if v > 0) + PRIOR_WEIGHT * START_GOOD
             miss = sum(n * (1 - g) for n, g, v in seen if v < 0) + PRIOR_WEIGHT * START_BAD
-            fitted.append((hit / on_good, miss / on_bad))
+            fitted.append((max(START_GOOD, hit / on_good), miss / on_bad))
         rules = fitted
     return share, rules
 
