@@ -36,6 +36,7 @@ RUN = f"(?<![{RUN_CHARS}])[{RUN_CHARS}]{{{LEAST_RUN},}}+"
 SAMPLE = 2000  # documents of each kind that the models are trained on
 LEAST_RATIO = 14.0  # natural log of the odds, about a million to one
 SYMBOLS = 128
+DRAWN = 100.0  # pseudo-counts behind the plain character frequencies
 
 
 def length(x: Column) -> Column:
@@ -94,16 +95,21 @@ def log_ratios(random: dict[int, int], ordinary: dict[int, int]) -> list[float]
     """log P(next | random) - log P(next | ordinary) by pair code; None if either sample is empty."""
     if not random or not ordinary:
         return None
-    used = {p // SYMBOLS for p in (*random, *ordinary)} | {p % SYMBOLS for p in (*random, *ordinary)}
-    out = [0.0] * SYMBOLS ** 2
-    for a in used:
-        row = range(a * SYMBOLS, (a + 1) * SYMBOLS)
-        n_random, n_ordinary = (sum(c.get(p, 0) for p in row) for c in (random, ordinary))
-        for b in used:
-            p = a * SYMBOLS + b
-            out[p] = math.log((random.get(p, 0) + 0.5) / (n_random + 0.5 * len(used))) - math.log(
-                (ordinary.get(p, 0) + 0.5) / (n_ordinary + 0.5 * len(used)))
-    return out
+    used = sorted({c for p in (*random, *ordinary) for c in (p // SYMBOLS, p % SYMBOLS)})
+    one, other = log_model(random, used), log_model(ordinary, used)
+    return [one.get(p, 0.0) - other.get(p, 0.0) for p in range(SYMBOLS ** 2)]
+
+
+def log_model(pairs: dict[int, int], used: list[int]) -> dict[int, float]:
+    """log P(next | character) by pair code, drawn towards the plain frequencies of characters seldom seen before."""
+    total = sum(pairs.values()) + len(used)
+    plain = {b: 1.0 / total for b in used}
+    seen = dict.fromkeys(used, 0)
+    for p, n in pairs.items():
+        plain[p % SYMBOLS] += n / total
+        seen[p // SYMBOLS] += n
+    return {a * SYMBOLS + b: math.log((pairs.get(a * SYMBOLS + b, 0) + DRAWN * plain[b]) / (seen[a] + DRAWN))
+            for a in used for b in used}
 
 
 def train(texts: DataFrame, id_col: str) -> list[float] | None:
