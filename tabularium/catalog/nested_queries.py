@@ -57,12 +57,16 @@ def path_predicate(t: Tables):
     return t.events.filter(N.json_number(F.col("props"), "$.k") > 50).select("event_id", "props")
 
 
-@query("n7_edit_fields", "", """SELECT event_id, '{"k":"' || k || '","done":"true"}' AS with_done, '{}' AS without_k, '{"k":"' || event_type || '","user":"' || user_id || '"}' AS merged
+@query("n7_edit_fields", "", """SELECT event_id, '{"k":' || k || ',"seen":{"by":' || user_id || '},"done":true}' AS with_done, '{"seen":{"by":' || user_id || '}}' AS without_k,
+    '{"k":' || k || ',"seen":{}}' AS without_by, '{"k":"' || event_type || '","seen":{"by":' || user_id || '},"gone":null}' AS merged, '{"k":' || k || ',"seen":{"by":' || user_id || ',"how":{"often":2}}}' AS nested
     FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)""")
 def edit_fields(t: Tables):
-    props = F.col("props")
-    other = N.json_object(k=F.col("event_type"), user=F.col("user_id"))
-    return t.events.select("event_id", N.set_field(props, "done", F.lit(True)).alias("with_done"), N.drop_field(props, "k").alias("without_k"), N.merge(props, other).alias("merged"))
+    doc = N.set_field(F.col("props"), ["seen", "by"], F.col("user_id"))
+    other = F.concat(F.lit('{"k":"'), F.col("event_type"), F.lit('","gone":null}'))
+    return t.events.select(
+        "event_id", N.set_field(doc, "done", F.lit(True)).alias("with_done"), N.drop_field(doc, "k").alias("without_k"),
+        N.drop_field(doc, ["seen", "by"]).alias("without_by"), N.merge(doc, other).alias("merged"),
+        N.set_field(doc, ["seen", "how", "often"], F.lit(2)).alias("nested"))
 
 
 @query("n8_json_aggregates", "item pay", """WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY item_id, product_id, seller_id, price, flag, quantity, shipped_at, freight) AS rn FROM item),

@@ -40,9 +40,9 @@ def duplicate_groups(t: Tables):
     return Q.duplicate_groups(t.items, KEY).select(F.lit("key").alias("kind"), "*").unionByName(full)
 
 
-@query("q3_duplicate_metrics", "item", """WITH m AS (SELECT COUNT(*) AS total_rows, COUNT(DISTINCT (order_id, item_id)) AS unique_keys FROM item),
-    c AS (SELECT COUNT(*) AS conflict_keys FROM (SELECT order_id, item_id FROM item GROUP BY 1, 2 HAVING COUNT(DISTINCT nullif(flag, 'N')) > 1))
-    SELECT total_rows, unique_keys, total_rows - unique_keys AS duplicate_rows, conflict_keys, ROUND(100.0::DOUBLE * (total_rows - unique_keys) / total_rows, 2) AS duplicate_pct FROM m, c""")
+@query("q3_duplicate_metrics", "item", """WITH per_key AS (SELECT COUNT(*) AS copies, COUNT(DISTINCT CASE WHEN flag <> 'N' THEN flag END) AS marks FROM item GROUP BY order_id, item_id)
+    SELECT CAST(SUM(copies) AS BIGINT) AS total_rows, COUNT(*) AS unique_keys, CAST(SUM(copies - 1) AS BIGINT) AS duplicate_rows, COUNT(*) FILTER (WHERE marks >= 2) AS conflict_keys,
+    ROUND(100.0::DOUBLE * CAST(SUM(copies - 1) AS BIGINT) / CAST(SUM(copies) AS BIGINT), 2) AS duplicate_pct FROM per_key""")
 def duplicate_metrics(t: Tables):
     return Q.dup_metrics(t.items.withColumn("flag", F.nullif("flag", F.lit("N"))), KEY, "flag")
 
@@ -100,15 +100,20 @@ def latest_alive(t: Tables):
         "order_id", "order_status", dbl("amount").alias("amount"), "version")
 
 
-@query("q9_reconcile", "ord", """WITH b AS (SELECT order_id, amount, CASE WHEN priority = '1-URGENT' THEN 'P' ELSE order_status END AS order_status FROM ord WHERE amount > 5000),
-    h AS (SELECT 'a' AS s, order_id, amount, md5(concat_ws('|', CAST(order_id AS VARCHAR), order_status)) AS m FROM ord UNION ALL SELECT 'b', order_id, amount, md5(concat_ws('|', CAST(order_id AS VARCHAR), order_status)) FROM b),
-    x AS (SELECT s, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount, CAST(SUM(CAST('0x' || substr(m, 1, 8) AS BIGINT)) AS BIGINT) AS c FROM h GROUP BY s)
-    SELECT a.n AS source_rows, a.amount AS source_amount, a.c AS source_checksum, b.n AS target_rows, b.amount AS target_amount, b.c AS target_checksum,
-    (SELECT COUNT(*) FROM ord WHERE order_id NOT IN (SELECT order_id FROM b)) AS missing_keys, 0::BIGINT AS extra_keys, a.c = b.c AND a.n = b.n AS equal FROM x a, x b WHERE a.s = 'a' AND b.s = 'b'""")
+HALVES = "CAST(CAST('0x' || substr(m, 1, 16) AS UBIGINT) AS HUGEINT) + CAST('0x' || substr(m, 17, 16) AS UBIGINT)"
+
+
+@query("q9_reconcile", "ord", f"""WITH b AS (SELECT order_id, amount, nullif(CASE WHEN priority = '1-URGENT' THEN 'P' ELSE order_status END, 'O') AS order_status FROM ord WHERE amount > 5000),
+    h AS (SELECT 'a' AS s, order_id, amount, md5(CAST(order_id AS VARCHAR) || '|' || order_status) AS m FROM ord UNION ALL SELECT 'b', order_id, amount, md5(CAST(order_id AS VARCHAR) || '|' || COALESCE(order_status, '<null>')) FROM b),
+    x AS (SELECT s, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount, CAST(SUM({HALVES}) AS VARCHAR) AS c FROM h GROUP BY s), gone AS (SELECT COUNT(*) AS k FROM ord WHERE order_id NOT IN (SELECT order_id FROM b))
+    SELECT 'changed' AS load, a.n AS source_rows, a.amount AS source_amount, a.c AS source_checksum, b.n AS target_rows, b.amount AS target_amount, b.c AS target_checksum, k AS missing_keys, 0::BIGINT AS extra_keys, false AS equal FROM x a, x b, gone WHERE a.s = 'a' AND b.s = 'b'
+    UNION ALL SELECT 'same', n, amount, c, n, amount, c, 0, 0, true FROM x WHERE s = 'a'""")
 def reconcile(t: Tables):
-    changed = F.when(F.col("priority") == "1-URGENT", "P").otherwise(F.col("order_status"))
+    changed = F.nullif(F.when(F.col("priority") == "1-URGENT", "P").otherwise(F.col("order_status")), F.lit("O"))
     reloaded = t.orders.filter("amount > 5000").select("order_id", "amount", changed.alias("order_status"))
-    return Q.reconcile(t.orders, reloaded, ["order_id"], ["amount"], ["order_id", "order_status"])
+    one = Q.reconcile(t.orders, reloaded, ["order_id"], ["amount"], ["order_id", "order_status"]).withColumn("load", F.lit("changed"))
+    same = Q.reconcile(t.orders, t.orders, ["order_id"], ["amount"], ["order_id", "order_status"]).withColumn("load", F.lit("same"))
+    return one.unionByName(same)
 
 
 @query("q10_grain", "ord item", """SELECT 'orders' AS table_name, COUNT(*) AS rows_count, COUNT(DISTINCT order_id) AS unique_keys, COUNT(*) = COUNT(DISTINCT order_id) AS grain_is_unique FROM ord
@@ -187,6 +192,15 @@ def quality_mart(t: Tables):
     return mart.withColumn("publish", reduce(lambda a, b: a + b, critical) == 0)
 
 
+@query("q15_publish_gate", "", f"""WITH d AS ({DIRTY}), n AS (SELECT COUNT(*) FILTER (WHERE user_id IS NULL) AS a, COUNT(*) FILTER (WHERE value < 0) AS b, COUNT(*) FILTER (WHERE day = 'soon') AS c FROM d)
+    SELECT 'raw' AS batch, a + c = 0 AS publish, CAST(a + b + c AS BIGINT) AS violations FROM n UNION ALL SELECT 'accepted', true, 0 FROM n""")
+def publish_gate(t: Tables):
+    accepted, _ = Q.split_valid(dirty_events(t), event_rules(), "event_id", "batch-1")
+    batches = {"raw": dirty_events(t), "accepted": accepted}
+    gates = [Q.gate(Q.check_rules(rows, event_rules())).withColumn("batch", F.lit(name)) for name, rows in batches.items()]
+    return gates[0].unionByName(gates[1])
+
+
 @query("q15_snapshot_quality", "trade", """SELECT day, COUNT(*) AS snapshot_rows, COUNT(*) FILTER (WHERE side <> 'N') AS active_rows, COUNT(*) FILTER (WHERE side = 'N') AS zero_trade_rows,
     COUNT(DISTINCT secid) AS instruments, 0::BIGINT AS rejected_rows FROM trade GROUP BY day""")
 def snapshot_quality(t: Tables):

@@ -49,7 +49,7 @@ def pct_change(t: Tables):
     base = F.when(F.col("size") < 10, F.lit(0)).otherwise(F.col("retail_price"))
     rows = t.items.join(t.products.select("product_id", "size", "retail_price"), "product_id")
     return rows.select("order_id", "item_id", "product_id", "seller_id",
-                       F.round(dbl(F.lit(100) * (F.col("price") - base)) / F.nullif(dbl(base), F.lit(0.0)), 2).alias("pct"))
+                       text.pct_change(base, F.col("price")).alias("pct"))
 
 
 @query("f7_shape_check", "", r"""SELECT event_id, regexp_matches(d, '^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2})?$') AS is_date, regexp_matches(e, '^[^\s@]+@[^\s@]+\.[^\s@]+$') AS is_email FROM (
@@ -61,7 +61,7 @@ def shape_check(t: Tables):
     return t.events.select("event_id", day.rlike(text.DATE_SHAPE).alias("is_date"), mail.rlike(text.EMAIL_SHAPE).alias("is_email"))
 
 
-@query("f8_masking", "cust", r"""SELECT customer_id, regexp_replace(lower(customer_name) || '@mail.example', '(^.).*(@.*$)', '\1***\2') AS email, CAST(NULL AS DOUBLE) AS balance FROM cust""")
+@query("f8_masking", "cust", r"""SELECT customer_id, lower(customer_name)[1] || repeat('*', 3) || '@mail.example' AS email, CAST(NULL AS DOUBLE) AS balance FROM cust""")
 def masking(t: Tables):
     mail = F.concat(F.lower("customer_name"), F.lit("@mail.example"))
     return t.customers.select("customer_id", text.mask_email(mail).alias("email"), text.hidden("double").alias("balance"))

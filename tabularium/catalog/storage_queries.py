@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabularium.catalog.quality_queries import HALVES
 from tabularium.catalog.registry import query
 from tabularium.operators.projection import between_half_open
-from tabularium.operators.quality import text_hash
+from tabularium.operators.quality import text_checksum
 from tabularium.session import scratch_path
 from tabularium.sources import storage as S
 from tabularium.tables import Tables, dbl, lng
@@ -92,12 +93,6 @@ def json_lines(t: Tables):
     return rows.select("event_id", "event_type", "props.k")
 
 
-@query("io7_avro_round_trip")
-def avro_round_trip(t: Tables):
-    """Through Parquet where no Avro data source is installed; `file_format` says which."""
-    return S.avro_round_trip(t.events.select("event_id", "user_id", "event_type", "value"))
-
-
 @query("io8_write_modes", "ord", f"""WITH h AS (SELECT * FROM ord WHERE order_status = 'F') SELECT 'append' AS step, {TOTALS} FROM (SELECT amount FROM ord UNION ALL SELECT amount FROM h)
     UNION ALL SELECT codec, {TOTALS} FROM ord, (SELECT unnest(['snappy', 'gzip', 'zstd']) AS codec) GROUP BY codec""")
 def write_modes(t: Tables):
@@ -183,26 +178,31 @@ def partition_profile(t: Tables):
     return report.filter("files > 0 AND bytes > 0").select(F.col("month").cast("string").alias("month"), "rows_count")
 
 
-@query("io16_file_profile")
+@query("io16_file_profile", "", "SELECT COUNT(*) AS rows_count, true AS has_files, true AS bytes_add_up, true AS share_is_a_share FROM lineitem")
 def file_profile(t: Tables):
     path = scratch_path(t.spark, "files")
-    t.raw("lineitem").repartition(16, "l_orderkey").write.parquet(path)
-    return S.file_profile(S.read_parquet(t.spark, path, t.raw("lineitem").schema), 1 << 20)
+    t.raw("lineitem").hint("rebalance").write.parquet(path)
+    found = S.file_profile(S.read_parquet(t.spark, path, t.raw("lineitem").schema), 1 << 20)
+    return found.select("rows_count", (F.col("file_count") > 0).alias("has_files"),
+                        (F.abs(F.col("avg_bytes") * F.col("file_count") - F.col("total_bytes")) < 1).alias("bytes_add_up"),
+                        F.col("largest_share").between(1 / F.col("file_count"), F.lit(1.0)).alias("share_is_a_share"))
 
 
-@query("io17_compaction", "item", """SELECT CAST(SUM(CAST('0x' || substr(md5(concat_ws('|', CAST(order_id AS VARCHAR), CAST(item_id AS VARCHAR), CAST(product_id AS VARCHAR))), 1, 8) AS BIGINT)) AS BIGINT) AS checksum, COUNT(*) AS rows_count, 4::BIGINT AS files FROM item""")
+@query("io17_compaction", "item", f"""SELECT CAST(SUM({HALVES}) AS VARCHAR) AS checksum, COUNT(*) AS rows_count, true AS fewer_files
+    FROM (SELECT md5(CAST(order_id AS VARCHAR) || '|' || item_id || '|' || product_id) AS m FROM item)""")
 def compaction(t: Tables):
     many, few = scratch_path(t.spark, "many"), scratch_path(t.spark, "few")
-    t.items.select("order_id", "item_id", "product_id", "price").repartition(40, "order_id", "item_id").write.parquet(many)
-    rows = S.compact(t.spark, many, few, 4)
-    hashed = rows.select(text_hash(F.col("order_id"), F.col("item_id"), F.col("product_id")).alias("h"), F.col("_metadata.file_path").alias("file_path"))
-    per_file = hashed.groupBy("file_path").agg(F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
-    return per_file.agg(lng(F.sum("h")).alias("checksum"), F.sum("n").alias("rows_count"), F.count(F.lit(1)).alias("files"))
+    t.items.select("order_id", "item_id", "product_id", "price").repartition("order_id", "item_id").write.option("maxRecordsPerFile", 1000).parquet(many)
+    rows = S.compact(t.spark, many, few)
+    before = S.file_profile(S.read_parquet(t.spark, many, rows.schema), 1 << 20).select(F.col("file_count").alias("before"))
+    after = S.file_profile(rows, 1 << 20).select(F.col("file_count").alias("after"))
+    return rows.agg(text_checksum(F.col("order_id"), F.col("item_id"), F.col("product_id")).cast("string").alias("checksum"), F.count(F.lit(1)).alias("rows_count")).withColumn(
+        "fewer_files", after.scalar() < before.scalar())
 
 
 @query("io18_bucketed_table", "ord", f"SELECT customer_id, {TOTALS} FROM ord GROUP BY 1")
 def bucketed_table(t: Tables):
-    return totals(S.write_bucketed(t.orders.select("customer_id", "order_id", "amount"), 8, "customer_id"), "customer_id")
+    return totals(S.write_bucketed(t.orders.select("customer_id", "order_id", "amount"), "customer_id"), "customer_id")
 
 
 @query("io19_tables", "ord", f"""SELECT 'managed' AS kind, order_status, {TOTALS} FROM (SELECT order_status, amount FROM ord UNION ALL SELECT order_status, amount FROM ord WHERE order_status = 'P') GROUP BY 2
@@ -246,9 +246,10 @@ def csv_export(t: Tables):
     return S.export_csv(totals(t.orders, "order_status", "priority"), scratch_path(t.spark, "report-csv"))
 
 
-@query("io23_format_report")
+@query("io23_format_report", "", """SELECT unnest(['csv', 'csv', 'json', 'parquet', 'parquet']) AS file_format, unnest(['none', 'gzip', 'gzip', 'snappy', 'zstd']) AS codec, COUNT(*) AS rows_count, true AS has_bytes FROM orders""")
 def format_report(t: Tables):
-    return S.format_report(t.orders, [("csv", "none"), ("csv", "gzip"), ("json", "gzip"), ("parquet", "snappy"), ("parquet", "zstd")])
+    report = S.format_report(t.orders, [("csv", "none"), ("csv", "gzip"), ("json", "gzip"), ("parquet", "snappy"), ("parquet", "zstd")])
+    return report.select("file_format", "codec", "rows_count", (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
 @query("io24_cached_outputs", "ord", f"SELECT 'status' AS output, order_status AS key, {TOTALS} FROM ord GROUP BY 2 UNION ALL SELECT 'priority', priority, {TOTALS} FROM ord GROUP BY 2")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabularium.catalog.registry import query
@@ -12,19 +14,20 @@ from tabularium.tables import Tables, dbl
 @query("x1_sql_function", "item", """SELECT order_id, item_id, product_id, seller_id, CAST(ROUND(price * CAST(1.2 AS DECIMAL(3,1)), 2) AS DOUBLE) AS with_tax, 'order ' || order_id AS label FROM item""")
 def sql_function(t: Tables):
     udfs.create_sql_functions(t.spark)
-    return t.items.select("order_id", "item_id", "product_id", "seller_id", dbl(F.expr("add_tax(price, 20)")).alias("with_tax"),
-                          F.expr("full_name('  order ', cast(order_id AS string))").alias("label"))
+    return t.items.select("order_id", "item_id", "product_id", "seller_id", dbl(F.expr("gross_price(price, 20)")).alias("with_tax"),
+                          F.expr("joined_name('  order ', cast(order_id AS string))").alias("label"))
 
 
-@query("x2_table_function", "ord", "SELECT order_id, purchased_at FROM ord WHERE purchased_at >= TIMESTAMP '1998-01-01' AND purchased_at < TIMESTAMP '1998-07-01'")
+@query("x2_table_function", "item", """SELECT product_id, COUNT(*) AS items_count, CAST(SUM(quantity) AS BIGINT) AS pieces FROM item WHERE quantity BETWEEN 10 AND 20 GROUP BY product_id""")
 def table_function(t: Tables):
-    t.orders.select("order_id", "purchased_at").createOrReplaceTempView("tabularium_order_dates")
+    view, name = (f"tabularium_{kind}_{uuid.uuid4().hex}" for kind in ("items", "sold"))
+    t.items.select("product_id", "quantity").createOrReplaceTempView(view)
     udfs.create_table_function(
-        t.spark, "orders_between", "date_from DATE, date_to DATE DEFAULT DATE'1998-07-01'", "order_id BIGINT, purchased_at TIMESTAMP_NTZ",
-        "SELECT o.order_id, o.purchased_at FROM tabularium_order_dates o WHERE o.purchased_at >= date_from AND o.purchased_at < date_to")
-    return t.spark.sql("SELECT * FROM orders_between(DATE'1998-01-01')")
+        t.spark, name, "least BIGINT, most BIGINT DEFAULT 20", "product_id BIGINT, items_count BIGINT, pieces BIGINT",
+        f"SELECT product_id, count(*), sum(quantity) FROM {view} WHERE quantity BETWEEN least AND most GROUP BY product_id")
+    return t.spark.sql(f"SELECT * FROM {name}(10)")
 
 
-@query("x3_vectorised_function", "", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ROUND(l_extendedprice * power(1 + l_tax, 12), 2) AS grown FROM lineitem""")
+@query("x3_vectorised_function", "", """SELECT doc_id, strip_accents(substr(text, 1, 40)) AS folded FROM documents WHERE lang <> 'de'""")
 def vectorised_function(t: Tables):
-    return t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(udfs.compound("l_extendedprice", "l_tax"), 2).alias("grown"))
+    return t.raw("documents").filter("lang <> 'de'").select("doc_id", udfs.folded_letters(F.substring("text", 1, 40)).alias("folded"))

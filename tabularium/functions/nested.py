@@ -54,21 +54,50 @@ def json_each(df: DataFrame, doc: str) -> DataFrame:
     return df.select(*rest, F.explode(as_map(F.col(doc))).alias("key", "value"))
 
 
-def merge(left: Column, right: Column) -> Column:
-    """Fields of both objects; the right side wins."""
-    # values are wrapped so that a JSON null on the right still wins over a value on the left
-    a, b = [F.transform_values(as_map(doc), lambda _, v: F.struct(v.alias("v"))) for doc in (left, right)]
-    both = F.map_zip_with(a, b, lambda _, x, y: F.coalesce(y, x))
-    return F.to_json(F.transform_values(both, lambda _, s: s["v"]), KEEP_NULLS)
+def _fields(doc: Column) -> Column:
+    """Top-level fields, each with its value as JSON text."""
+    return F.transform_values(F.from_json(doc, "map<string,variant>"), lambda _, v: F.coalesce(F.to_json(v), F.lit("null")))
+
 
+def _written(fields: Column) -> Column:
+    """JSON object from fields whose values are JSON text; types stay as they are, and so does a JSON null."""
+    parts = F.transform(F.map_entries(fields), lambda e: F.concat(_quoted(e["key"]), F.lit(":"), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
-def set_field(doc: Column, key: str, value: Column) -> Column:
-    kept = F.map_filter(as_map(doc), lambda k, _: k != key)
-    return F.to_json(F.map_concat(kept, F.create_map(F.lit(key), value.cast("string"))), KEEP_NULLS)
 
+def _quoted(text: Column) -> Column:
+    whole = F.to_json(F.struct(text.alias("k")))
+    return F.substring(whole, F.lit(6), F.length(whole) - 6)
 
-def drop_field(doc: Column, key: str) -> Column:
-    return F.to_json(F.map_filter(as_map(doc), lambda k, _: k != key), KEEP_NULLS)
+
+def merge(left: Column, right: Column) -> Column:
+    """Fields of both objects; the right side wins, also with a JSON null."""
+    return _written(F.map_zip_with(_fields(left), _fields(right), lambda _, x, y: F.coalesce(y, x)))
+
+
+def set_field(doc: Column, path: str | Sequence[str], value: Column) -> Column:
+    """The document with `value`, as JSON of its type, at a key or a path of keys; objects on the way are made."""
+    first, *rest = [path] if isinstance(path, str) else path
+    fields = _fields(doc)
+    if rest:
+        inner = F.element_at(fields, first)
+        inner = F.when(F.json_object_keys(inner).isNotNull(), inner).otherwise(F.lit("{}"))
+        new = set_field(inner, rest, value)
+    else:
+        whole = F.to_json(F.struct(value.alias("v")), KEEP_NULLS)
+        new = F.substring(whole, F.lit(6), F.length(whole) - 6)
+    kept = F.map_filter(fields, lambda k, _: k != first)
+    return _written(F.map_concat(kept, F.create_map(F.lit(first), new)))
+
+
+def drop_field(doc: Column, path: str | Sequence[str]) -> Column:
+    """The document without a key, or without the key at the end of a path."""
+    first, *rest = [path] if isinstance(path, str) else path
+    fields = _fields(doc)
+    if not rest:
+        return _written(F.map_filter(fields, lambda k, _: k != first))
+    changed = lambda k, v: F.when((k == first) & F.json_object_keys(v).isNotNull(), drop_field(v, rest)).otherwise(v)
+    return _written(F.transform_values(fields, changed))
 
 
 def null_kind(doc: Column, key: str) -> Column:

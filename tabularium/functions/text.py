@@ -44,12 +44,14 @@ def add_tax(amount: Column, percent: Column) -> Column:
 
 def pct_change(old: Column, new: Column) -> Column:
     """Change in percent at two digits; NULL when the old value is zero."""
-    return F.round(F.lit(100) * (new - old) / F.nullif(old, F.lit(0).cast("decimal(1,0)")), 2)
+    change = (F.lit(100) * (new - old)).cast("double")
+    return F.round(change / F.nullif(old.cast("double"), F.lit(0.0)), 2)
 
 
 def mask_email(col: Column) -> Column:
-    """First character and the domain stay."""
-    return F.regexp_replace(col, r"(^.).*(@.*$)", r"$1***$2")
+    """First character and the domain stay; a text without a name before an @ is left as it is."""
+    hidden_name = F.concat(F.left(col, F.lit(1)), F.lit("***@"), F.substring_index(col, "@", -1))
+    return F.when(F.instr(col, "@") > 1, hidden_name).otherwise(col)
 
 
 def hidden(data_type: str) -> Column:

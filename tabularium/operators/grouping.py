@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabularium.operators import ordered
 
-_LIMITED_BEFORE_SHUFFLE = 1000  # greatest n for which Spark limits the groups of each task
+LIMITED_BEFORE_SHUFFLE = 1000  # greatest n for which Spark limits the groups of each task
 
 
 def spread_salt(salts: int, *cols: str) -> Column:
@@ -21,14 +22,16 @@ def spread_salt(salts: int, *cols: str) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *cols), F.lit(salts)).cast("int")
 
 
-def topn_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None) -> DataFrame:
+def topn_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str | None = None,
+                   limited: int = LIMITED_BEFORE_SHUFFLE) -> DataFrame:
     """The first `n` rows of each key.
 
     Spark limits each group before the shuffle as well, so a hot key sends n rows per task.
-    Beyond the n for which it does so, rows are numbered across slices.
+    Beyond `limited`, the greatest n for which it does so, rows are numbered across slices,
+    with the same result.
     """
     name = rank or "_rank"
-    if n > _LIMITED_BEFORE_SHUFFLE:
+    if n > limited:
         rows = ordered.numbered(df, keys, order, name).filter(F.col(name) <= n)
         return rows if rank else rows.drop(name)
     rows = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(name) <= n)
@@ -73,10 +76,12 @@ def mode_by(df: DataFrame, keys: Sequence[str], value: Sequence[str]) -> DataFra
 def with_group_agg(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Each row with aggregates of its group: folded first, then joined back.
 
-    Unlike a window this does not bring a group together; adaptive execution splits a
-    hot key of the join.
+    NULL keys are a group like any other. Unlike a window this does not bring a group
+    together; adaptive execution splits a hot key of the join.
     """
-    return df.join(df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), list(keys))
+    folded = df.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(*[a.alias(n) for n, a in aggs.items()])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys])
+    return df.join(folded, same).drop(*[f"_g_{k}" for k in keys])
 
 
 def collect_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,

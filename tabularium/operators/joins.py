@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.operators import ordered
-from tabularium.operators.grouping import spread_salt
+from tabularium.operators.grouping import spread_salt, with_group_agg
+from tabularium.session import written
 from tabularium.sources import storage
 
 
@@ -40,15 +41,16 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
     return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def bucketed_join(left: DataFrame, right: DataFrame, key: str, buckets: int, hot_share: float = 0.05) -> DataFrame:
+def bucketed_join(left: DataFrame, right: DataFrame, key: str, buckets: int | None = None,
+                  bucket_rows: int = storage.BUCKET_ROWS) -> DataFrame:
     """Inner join of two sides written to tables with the same buckets, which needs no shuffle.
 
-    A bucket is read by one task, so this is for keys without hot values: when one key
-    holds more than `hot_share` of the left rows, the salted join is used instead.
+    A bucket is read by one task, so this is for keys without hot values: a key with more
+    than `bucket_rows` rows is refused (use `salted_join`). Without `buckets`, their number
+    follows from the larger side.
     """
-    if storage.hottest_share(left, key) > hot_share:
-        return salted_join(left, right, key, hot_share=hot_share)
-    return storage.write_bucketed(left, buckets, key).join(storage.write_bucketed(right, buckets, key), key)
+    n = buckets or max(storage.buckets_for(left, bucket_rows), storage.buckets_for(right, bucket_rows))
+    return storage.write_bucketed(left, key, n, bucket_rows).join(storage.write_bucketed(right, key, n, bucket_rows), key)
 
 
 def full_join_match(left: DataFrame, right: DataFrame, key: str, left_label: str, right_label: str) -> DataFrame:
@@ -67,13 +69,11 @@ def hinted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hint: st
     return left.join(right.hint(hint), list(keys), how)
 
 
-def broadcast_checked(big: DataFrame, small: DataFrame, keys: Sequence[str], max_rows: int = 200_000,
+def broadcast_checked(big: DataFrame, small: DataFrame, keys: Sequence[str], max_bytes: int = 64 << 20,
                       how: str = "inner") -> DataFrame:
-    """Broadcast `small` only when counting proves it is at most `max_rows`; else a shuffled join.
-
-    The count stops after max_rows + 1 rows.
-    """
-    if small.limit(max_rows + 1).count() <= max_rows:
+    """Broadcast `small` only when it is measured to be at most `max_bytes` of text; else a shuffled join."""
+    size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    if size <= max_bytes:
         return big.join(F.broadcast(small), list(keys), how)
     return big.join(small, list(keys), how)
 
@@ -82,14 +82,15 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int = 16, hot
     """N:1 inner join that spreads hot keys of `big` over `salts` partitions.
 
     A key is hot when it holds more than `hot_share` of the rows, so there are at most
-    1 / hot_share hot keys, which is what makes their broadcast safe. Only the hot rows
-    of `small` are repeated.
+    1 / hot_share hot keys, which is what makes their broadcast safe. They are written, so
+    that both sides see the same ones. Only the hot rows of `small` are repeated.
     """
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_all"))
     limit = counts.select(key, "_n").filter(F.col("_n") > total.scalar() * F.lit(hot_share))
-    hot = F.broadcast(limit.select(key, F.lit(True).alias("_hot")))
-    left = big.withColumn("_spread", spread_salt(salts, *big.columns)).join(hot, key, "left")
+    hot = F.broadcast(written(limit.select(key, F.lit(True).alias("_hot")), "hot-keys"))
+    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
+    left = big.withColumn("_spread", spread_salt(salts, *hashable)).join(hot, key, "left")
     left = left.withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(0)).drop("_hot", "_spread")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = small.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
@@ -110,7 +111,8 @@ def asof_join(fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: st
 
     Facts and versions are put in one time order per key and the last version is carried
     forward, so a key with many facts and many versions gives no pairs. `tie` identifies a
-    fact among those of one key and time.
+    fact among those of one key and time. A NULL key matches nothing. Versions of a key must
+    not overlap; of versions with the same start the one that lasts longest counts.
     """
     if valid_to is None:
         until = F.lit(None).cast(dim.schema[valid_from].dataType)
@@ -121,11 +123,11 @@ def asof_join(fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: st
         F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"),
         F.struct(*fact.columns).alias("_fact"), F.lit(None).cast(dim.select(version).schema[0].dataType).alias("_dim"),
     )
-    versions = dim.select(
+    versions = dim.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"),
         F.lit(None).cast(facts.schema["_fact"].dataType).alias("_fact"), version.alias("_dim"),
     )
-    order = [F.col("_at").asc(), F.col("_kind").asc(), *[F.col("_fact")[c].asc() for c in tie]]
+    order = [F.col("_at").asc(), F.col("_kind").asc(), F.col("_dim.until").asc_nulls_last(), *[F.col("_fact")[c].asc() for c in tie]]
     known = ordered.scan(versions.unionByName(facts), ["_key"], order, ordered.last_known("_found", F.col("_dim")), max_group=max_group)
     out = known.filter("_kind = 1").withColumn(
         "_found", F.when(F.col("_found.until").isNull() | (F.col("_at") < F.col("_found.until")), F.col("_found"))
@@ -149,5 +151,19 @@ def later_partners(df: DataFrame, group: str, key: str) -> DataFrame:
     it opens. Listing every pair would grow with the square of a group.
     """
     rows = ordered.scan(df, [group], [F.col(key).asc()], ordered.row_number("_rn"), ordered.lead("next_partner", F.col(key)))
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
-    return rows.join(sizes, group).withColumn("later_partners", F.col("_size") - F.col("_rn")).drop("_rn", "_size")
+    sized = with_group_agg(rows, [group], {"_size": F.count(F.lit(1))})
+    return sized.withColumn("later_partners", F.col("_size") - F.col("_rn")).drop("_rn", "_size")
+
+
+def period_join(facts: DataFrame, periods: DataFrame, at: str, start: str, tie: Sequence[str],
+                max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
+    """Each fact with the period it falls in: start <= at < the next start, for starts at any distance.
+
+    Facts before the first start, and facts without a time, are left out. Facts and starts are put in one order
+    and the last start is carried forward, so no pair of a fact and a period is tried.
+    """
+    one = F.lit(0).alias("_all")
+    found = asof_join(facts.filter(F.col(at).isNotNull()).select(one, "*"),
+                      periods.select(one, F.col(start), F.col(start).alias("_from")), "_all", at, "_from", None, [start],
+                      tie, max_group=max_group)
+    return found.drop("_all")

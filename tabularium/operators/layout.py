@@ -20,12 +20,12 @@ def partition_rows(df: DataFrame) -> DataFrame:
 
 
 def hash_parts(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """Rows per part if `df` were placed by hash of `keys` in `n` parts, empty parts included.
+    """Rows per part if Spark placed `df` by `keys` in `n` parts (its own hash), empty parts included.
 
     Works on key counts, so nothing is moved to find out.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    parts = counts.groupBy(F.pmod(F.xxhash64(*keys), F.lit(n)).alias("part_no")).agg(F.sum("_n").alias("rows_count"))
+    parts = counts.groupBy(F.pmod(F.hash(*keys), F.lit(n)).cast("long").alias("part_no")).agg(F.sum("_n").alias("rows_count"))
     return df.sparkSession.range(n).withColumnRenamed("id", "part_no").join(parts, "part_no", "left").na.fill({"rows_count": 0})
 
 
@@ -39,13 +39,13 @@ def skew(parts: DataFrame, rows: str = "rows_count") -> DataFrame:
 
 
 def compare_keys(df: DataFrame, candidates: Sequence[Sequence[str]], n: int, limit: float = 1.5) -> DataFrame:
-    """Per candidate key: distinct values, skew of a hash placement in `n` parts, verdict."""
+    """Per candidate key: distinct values, share of the rows that the hottest one holds, verdict for `n` parts.
+
+    A key is skewed when its hottest value alone is more than `limit` times an even part.
+    """
     def one(keys: Sequence[str]) -> DataFrame:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        placed = counts.groupBy(F.pmod(F.xxhash64(*keys), F.lit(n)).alias("part_no")).agg(
-            F.sum("_n").alias("rows_count"), F.count(F.lit(1)).alias("keys"))
-        total = placed.agg(F.sum("keys").alias("distinct_keys"), F.max("rows_count").alias("max_rows"),
-                           (F.max("rows_count") * n / F.sum("rows_count")).alias("max_over_avg"))
-        verdict = F.when(F.col("distinct_keys") < n, "too few values").when(F.col("max_over_avg") > limit, "skewed").otherwise("even")
-        return total.select(F.lit(",".join(keys)).alias("candidate"), "distinct_keys", "max_over_avg", verdict.alias("verdict"))
+        total = counts.agg(F.count(F.lit(1)).alias("distinct_keys"), (F.max("_n") / F.sum("_n")).alias("hottest_share"))
+        verdict = F.when(F.col("distinct_keys") < n, "too few values").when(F.col("hottest_share") * n > limit, "skewed").otherwise("even")
+        return total.select(F.lit(",".join(keys)).alias("candidate"), "distinct_keys", "hottest_share", verdict.alias("verdict"))
     return reduce(lambda a, b: a.unionByName(b), [one(c) for c in candidates])

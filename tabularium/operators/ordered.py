@@ -30,7 +30,7 @@ from tabularium.session import written
 SLICE = "_slice"
 POSITION = "_position"
 MAX_GROUP_ROWS = 1_000_000  # rows of one key that a task may sort
-_BROADCAST_KEYS = 1_000_000  # keys that one broadcast may hold
+SLICE_ROWS = 2_000_000  # rows of one slice
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row of a partition in its low 33 bits
 
 
@@ -77,9 +77,21 @@ def last_known(name: str, value: Column) -> Scan:
     return Scan(name, "last_known", value)
 
 
+def slices_for(df: DataFrame, slice_rows: int = SLICE_ROWS) -> int:
+    """As many slices as hold at most about `slice_rows` rows each, and no fewer than there are shuffle partitions.
+
+    The count reads no column.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-df.count() // slice_rows))
+
+
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slices: int | None = None) -> DataFrame:
-    """Rows sorted by (keys, order) across range partitions, with slice number and position."""
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Rows sorted by (keys, order) across range partitions, with slice number and position.
+
+    The number of slices follows from the number of rows.
+    """
+    n = slices or slices_for(df)
     placement = [F.col(k) for k in keys] + list(order)
     placed = (
         df.repartitionByRange(n, *placement)
@@ -249,8 +261,8 @@ def by_group_size(
     """`small` over the keys of at most `max_group` rows, `large` over the others, all rows kept.
 
     Rows are counted per key first, which reads the key columns only and folds them before
-    the shuffle. At most rows / max_group keys are large; without any, `small` is all. Large
-    keys are broadcast when counted to be few enough.
+    the shuffle. At most rows / max_group keys are large; without any, `small` is all.
+    Spark broadcasts the large keys if their measured size allows.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > max_group).select(*[F.col(k).alias(f"_h_{k}") for k in keys])
@@ -258,8 +270,6 @@ def by_group_size(
         return small(df)
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     hot = written(hot, "hot-keys")  # both halves have to see the same keys
-    if hot.count() <= _BROADCAST_KEYS:
-        hot = F.broadcast(hot)
     return small(df.join(hot, match, "left_anti")).unionByName(large(df.join(hot, match, "left_semi")))
 
 
@@ -283,8 +293,9 @@ def value_ranks(df: DataFrame, value: str, descending: bool = False) -> DataFram
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, name: str) -> DataFrame:
     """Interpolated percentile per key.
 
-    Equal values are folded to counts, the running count finds the two rows the
-    percentile lies between, and only those reach the final grouping.
+    NULL keys are a group; NULL values do not count. Equal values are folded to counts, the
+    running count finds the two rows the percentile lies between, and only those reach the
+    final grouping.
     """
     if not keys:
         whole = exact_percentile(df.withColumn("_whole", F.lit(0)), ["_whole"], value, p, name)
@@ -296,7 +307,9 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     place = F.lit(p) * (F.col("_total") - 1)
     lower, upper = F.floor(place), F.ceil(place)
-    placed = ranked.join(totals, keys)
+    totals = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
+    placed = ranked.join(totals, same)
     near = placed.filter((F.col("_upto") > lower) & (F.col("_upto") - F.col("_n") <= upper))
     low = F.min(value).cast("double")
     high = F.max(value).cast("double")

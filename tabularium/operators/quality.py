@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.functions import timeops
+from tabularium.functions.text import row_hash
 from tabularium.operators import ordered
 from tabularium.operators.grouping import topn_per_group
 
@@ -114,18 +115,22 @@ def checksum(*cols: Column) -> Column:
 
 
 def text_hash(*cols: Column) -> Column:
-    """32 bits of md5 over the row text: a hash that other engines can repeat."""
-    text = F.concat_ws("|", *[c.cast("string") for c in cols])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(20,0)")
+    """Both 64-bit halves of md5 over the row text, added: a hash that other engines can repeat.
+
+    NULL has a text of its own, so that a NULL that moves to another column changes the hash.
+    """
+    digest = row_hash(*cols, null_text="<null>")
+    halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    return halves[0] + halves[1]
 
 
 def text_checksum(*cols: Column) -> Column:
-    """Order-free checksum of rows: the sum of their text hashes."""
-    return F.sum(text_hash(*cols))
+    """Order-free checksum of rows: the sum of their text hashes, exact at any row count."""
+    return F.sum(text_hash(*cols).cast("decimal(38,0)"))
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], sums: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    """One row: counts, keys missing or extra in `b`, sums and checksums of both sides.
+    """One row: counts, keys missing or extra in `b`, sums and checksums of both sides; `equal` if all agree.
 
     Both sides are folded per key in one grouping, then over the keys.
     """
@@ -140,14 +145,15 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], sums: Sequence[st
     per_key = both.groupBy(*keys).agg(
         *[F.count_if(F.col("_side") == s).alias(f"{s}_rows") for s in sides],
         *[of(s, F.col(c)).alias(f"{s}_{c}") for s in sides for c in sums],
-        *[of(s, F.col("_hash")).alias(f"{s}_checksum") for s in sides])
+        *[of(s, F.col("_hash").cast("decimal(38,0)")).alias(f"{s}_checksum") for s in sides])
     one = per_key.agg(
         *[F.coalesce(F.sum(f"{s}_rows"), F.lit(0)).alias(f"{s}_rows") for s in sides],
         *[F.sum(f"{s}_{c}").cast("double").alias(f"{s}_{c}") for s in sides for c in sums],
-        *[F.sum(f"{s}_checksum").cast("long").alias(f"{s}_checksum") for s in sides],
+        *[F.sum(f"{s}_checksum").cast("string").alias(f"{s}_checksum") for s in sides],
         F.count_if(F.col("target_rows") == 0).alias("missing_keys"), F.count_if(F.col("source_rows") == 0).alias("extra_keys"))
-    return one.withColumn("equal", F.col("source_checksum").eqNullSafe(F.col("target_checksum"))
-                          & (F.col("source_rows") == F.col("target_rows")))
+    figures = ["rows", "checksum", *sums]
+    same = reduce(lambda a, b: a & b, [F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in figures])
+    return one.withColumn("equal", same & (F.col("missing_keys") == 0) & (F.col("extra_keys") == 0))
 
 
 def grain(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -73,8 +73,7 @@ def cohort(df: DataFrame, key: str, ts: str) -> DataFrame:
 def retention(df: DataFrame, key: str, ts: str) -> DataFrame:
     """Share of each cohort that is active in each later month; keys count once per month."""
     active = df.groupBy(key, F.trunc(ts, "month").alias("order_month")).agg(F.lit(1).alias("_one")).drop("_one")
-    first = active.groupBy(key).agg(F.min("order_month").alias("cohort_month"))
-    months = active.join(first, key).groupBy(
+    months = with_group_agg(active, [key], {"cohort_month": F.min("order_month")}).groupBy(
         "cohort_month", month_number(F.col("order_month"), F.col("cohort_month")).alias("month_number")
     ).agg(F.count(F.lit(1)).alias("customers_count"))
     # the cohort is its own month zero; from here on there is one row per pair of months

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.functions.text import row_hash
@@ -27,19 +27,49 @@ def land(df: DataFrame, batch_id: str, source: str, hashed: Sequence[str], load_
 
 
 def insert_new(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
-    """Target plus the source keys it lacks; a rerun adds nothing."""
-    return target.unionByName(src.join(target.select(key), key, "left_anti").select(target.columns))
+    """Target plus the source keys it lacks, each once; a rerun adds nothing. NULL is a key like any other."""
+    return target.unionByName(missing_rows(target, src, key))
+
+
+def missing_rows(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
+    """The rows to append: one per source key that the target lacks."""
+    known = target.select(F.col(key).alias("_k")).distinct()
+    new = one_per_key(src.select(target.columns), key)
+    return new.join(known, F.col(key).eqNullSafe(F.col("_k")), "left_anti")
+
+
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """Of several rows of a key the one that is greatest column by column."""
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(
+        *[F.col("_row")[c].alias(c) if c != key else F.col(key) for c in df.columns])
+
+
+def append(spark: SparkSession, path: str, new: DataFrame) -> int:
+    """Add rows to a Parquet table without touching its files; returns how many."""
+    seen = Observation()
+    new.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return seen.get["n"]
+
+
+def append_new(spark: SparkSession, path: str, src: DataFrame, key: str) -> int:
+    """Append the source keys a stored table lacks: of the target, only the key column is read and nothing is rewritten."""
+    target = spark.read.schema(src.schema).parquet(path)
+    return append(spark, path, written(missing_rows(target, src, key), "new-rows"))
 
 
 def merge(target: DataFrame, src: DataFrame, key: str, compare: Sequence[str], note: str | None = None) -> DataFrame:
     """Upsert: changed keys take the source row, equal ones stay, new ones are added.
 
-    With `note`, a column of that name says inserted, updated or kept.
+    A NULL key matches a NULL key. Of several source rows of a key one counts. With `note`, a column of
+    that name says inserted, updated or kept.
     """
     cols = target.columns
     old = target.select(F.col(key).alias("_k"), F.struct(*cols).alias("_old"))
-    new = src.select(F.col(key).alias("_k"), F.struct(*cols).alias("_new"))
-    both = old.join(new, "_k", "full")
+    new = one_per_key(src.select(cols), key).select(F.col(key).alias("_n"), F.struct(*cols).alias("_new"))
+    both = old.join(new, F.col("_k").eqNullSafe(F.col("_n")), "full")
     changed = reduce(lambda a, b: a | b, [~F.col("_old")[c].eqNullSafe(F.col("_new")[c]) for c in compare])
     action = (F.when(F.col("_old").isNull(), "inserted").when(F.col("_new").isNotNull() & changed, "updated").otherwise("kept"))
     row = F.when(F.col("_action") == "kept", F.col("_old")).otherwise(F.col("_new"))
@@ -68,12 +98,15 @@ def mark_of(df: DataFrame, at: str, key: str) -> DataFrame:
 
 
 def increment(src: DataFrame, mark: DataFrame, at: str, key: str, late: bool = False) -> DataFrame:
-    """Rows after the mark in (time, id) order; with `late`, also rows with a newer id and an older time."""
+    """Rows after the mark in (time, id) order; with `late`, also rows with a newer id and an older time.
+
+    An empty mark takes every row: it is the mark of a first load.
+    """
     last_at, last_id = mark.select("last_at").scalar(), mark.select("last_id").scalar()
     newer = (F.col(at) > last_at) | ((F.col(at) == last_at) & (F.col(key) > last_id))
     if late:
         newer = (F.col(at) > last_at) | (F.col(key) > last_id)
-    return src.filter(newer)
+    return src.filter(F.coalesce(newer, F.lit(False)) | last_at.isNull())
 
 
 def advance(mark: DataFrame, loaded: DataFrame, at: str, key: str, succeeded: bool) -> DataFrame:
@@ -84,10 +117,19 @@ def advance(mark: DataFrame, loaded: DataFrame, at: str, key: str, succeeded: bo
     return mark_of(both.filter(F.col("last_at").isNotNull()), "last_at", "last_id")
 
 
+def advance_after(mark: DataFrame, loaded: DataFrame, at: str, key: str, write: Callable[[DataFrame], None]) -> DataFrame:
+    """Write the rows, then move the mark. If the write fails, its error goes on and the mark stays where it was."""
+    write(loaded)
+    return advance(mark, loaded, at, key, succeeded=True)
+
+
 def increment_overlap(target: DataFrame, src: DataFrame, at: str, key: str, overlap: Column) -> DataFrame:
-    """Re-read the tail of the source and add the keys the target lacks: a late row lands once."""
+    """Re-read the tail of the source and add the keys the target lacks: a late row lands once.
+
+    An empty target takes the whole source.
+    """
     since = target.agg(F.max(at) - overlap).scalar()
-    return insert_new(target, src.filter(F.col(at) >= since), key)
+    return insert_new(target, src.filter(F.coalesce(F.col(at) >= since, since.isNull())), key)
 
 
 # ---- runs -----------------------------------------------------------------------------
@@ -130,7 +172,7 @@ def _attempt(run_id: str, stage: Stage, attempt: int) -> tuple:
         accepted_rows = _write_counted(accepted, stage.name)
         rejected_rows = _write_counted(rejected, stage.name + "-rejects") if rejected is not None else 0
     except Exception as e:  # noqa: BLE001 - the log records any failure
-        status, error = "FAILED", str(e)[:500]
+        status, error = "FAILED", str(e)
     ended = datetime.datetime.now()
     took = (ended - begun).total_seconds()
     rows = accepted_rows + rejected_rows
@@ -190,7 +232,7 @@ def snapshot(target: DataFrame, facts: DataFrame, key: str, at: str, as_of: str)
     """Counts per key up to the end of a date; replaces the slice of that date in the target."""
     day = F.lit(as_of).cast("date")
     counts = facts.filter(F.to_date(at) <= day).groupBy(key).agg(F.count(F.lit(1)).alias("orders_count"))
-    return target.filter(F.col("as_of_date") != day).unionByName(counts.withColumn("as_of_date", day).select(target.columns))
+    return target.filter(~F.col("as_of_date").eqNullSafe(day)).unionByName(counts.withColumn("as_of_date", day).select(target.columns))
 
 
 # ---- layered load ---------------------------------------------------------------------

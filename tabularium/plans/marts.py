@@ -206,7 +206,7 @@ def refresh_days(mart: DataFrame, facts: DataFrame, changed: DataFrame, keys: Se
 
 def catalog_entry(mart: DataFrame, name: str, version: int, status: str, keys: Sequence[str], texts: Sequence[str]) -> DataFrame:
     counted = mart.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), text_checksum(*[F.col(c) for c in texts]).alias("_c"))
-    return counted.agg(F.sum("_n").alias("row_count"), F.count(F.lit(1)).alias("key_count"), F.sum("_c").cast("long").alias("checksum")).select(
+    return counted.agg(F.sum("_n").alias("row_count"), F.count(F.lit(1)).alias("key_count"), F.sum("_c").cast("string").alias("checksum")).select(
         F.lit(name).alias("mart"), F.lit(",".join(keys)).alias("grain"), F.lit(version).cast("long").alias("version"), F.lit(status).alias("status"), "*")
 
 

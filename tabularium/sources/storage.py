@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from tabularium.session import scratch_path, scratch_root, written
 
 CORRUPT = "_corrupt"
+FILE_BYTES = 128 << 20  # size a compacted file is meant to have
+BUCKET_ROWS = 5_000_000  # rows of one bucket, and of one key
 
 
 # ---- reading -------------------------------------------------------------------------
@@ -24,9 +26,14 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def read_partitioned(spark: SparkSession, root: str, *parts: str) -> DataFrame:
-    """All of `root`, or only some of its directories with the partition columns kept."""
-    return spark.read.option("basePath", root).parquet(*([f"{root}/{p}" for p in parts] or [root]))
+def read_partitioned(spark: SparkSession, root: str, *parts: str, schema: T.StructType | None = None) -> DataFrame:
+    """All of `root`, or only some of its directories with the partition columns kept.
+
+    Without a schema Spark guesses the types of partition values, which turns the text 007 into 7.
+    """
+    reader = spark.read.option("basePath", root)
+    reader = reader.schema(schema) if schema is not None else reader
+    return reader.parquet(*([f"{root}/{p}" for p in parts] or [root]))
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType, header: bool = True, sep: str = ",",
@@ -126,16 +133,18 @@ def swap_partition(spark: SparkSession, path: str, staged: DataFrame, col: str,
     if counts["foreign"] or not counts["n"]:
         raise ValueError(f"staged slice does not match {col}={value}: {counts['foreign']} of {counts['n']} rows differ")
     overwrite_partitions(slice_, path, [col])
-    placed = read_partitioned(spark, path).filter(F.col(col) == value).count()
+    placed = read_partitioned(spark, path, schema=staged.schema).filter(F.col(col) == value).count()
     if placed != counts["n"]:
         raise RuntimeError(f"partition {col}={value} has {placed} rows, expected {counts['n']}")
     return placed
 
 
-def compact(spark: SparkSession, source: str, target: str, files: int) -> DataFrame:
-    """Same rows in `files` files under a new directory."""
-    read_parquet(spark, source).repartition(files).write.parquet(target)
-    return read_parquet(spark, target)
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Same rows under a new directory, in files of about `file_bytes` each: their number follows from the bytes."""
+    rows = read_parquet(spark, source)
+    size = file_rows(rows).agg(F.sum("file_size")).first()[0] or 0
+    rows.repartition(max(1, -(-size // file_bytes))).write.parquet(target)
+    return read_parquet(spark, target, rows.schema)
 
 
 def export_csv(df: DataFrame, path: str) -> DataFrame:
@@ -144,20 +153,11 @@ def export_csv(df: DataFrame, path: str) -> DataFrame:
     return read_csv(df.sparkSession, path, df.schema)
 
 
-def has_avro(spark: SparkSession) -> bool:
-    try:
-        spark.createDataFrame([(1,)], "a int").write.format("avro").save(scratch_path(spark, "avro-probe"))
-        return True
-    except Exception:  # noqa: BLE001 - any failure means the data source is not installed
-        return False
-
-
 def avro_round_trip(df: DataFrame) -> DataFrame:
-    """Through Avro where its data source is installed, else through Parquet."""
-    form = "avro" if has_avro(df.sparkSession) else "parquet"
-    path = scratch_path(df.sparkSession, form)
-    df.write.format(form).save(path)
-    return df.sparkSession.read.format(form).load(path).withColumn("file_format", F.lit(form))
+    """Through Avro; fails where the Avro data source, a package of its own, is not installed."""
+    path = scratch_path(df.sparkSession, "avro")
+    df.write.format("avro").save(path)
+    return df.sparkSession.read.format("avro").schema(df.schema).load(path)
 
 
 # ---- layout reports -------------------------------------------------------------------
@@ -210,18 +210,23 @@ def hottest_share(df: DataFrame, key: str) -> float:
     return counts.agg((F.max("n") / F.sum("n")).alias("share")).first()["share"] or 0.0
 
 
-def write_bucketed(df: DataFrame, buckets: int, key: str, hot_share: float = 0.05) -> DataFrame:
+def buckets_for(df: DataFrame, bucket_rows: int = BUCKET_ROWS) -> int:
+    """As many buckets as hold at most about `bucket_rows` rows each."""
+    return max(1, -(-df.count() // bucket_rows))
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """A table bucketed and sorted by `key`; joins of such tables on the key need no shuffle.
 
-    A bucket holds whole keys and is read by one task. A side in which one key holds more
-    than `hot_share` of the rows is therefore written without buckets, so that Spark can
-    spread it.
+    A bucket holds whole keys and is read by one task, so a key with more than `bucket_rows`
+    rows is refused. Without `buckets`, their number follows from the number of rows.
     """
+    hottest = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if hottest > bucket_rows:
+        raise ValueError(f"a key of {key} has {hottest} rows, more than the {bucket_rows} of a bucket")
+    n = buckets or buckets_for(df, bucket_rows)
     name = table_name(df.sparkSession, "bucketed")
-    if hottest_share(df, key) > hot_share:
-        df.write.saveAsTable(name)
-    else:
-        df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).saveAsTable(name)
     return df.sparkSession.table(name)
 
 

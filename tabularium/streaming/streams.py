@@ -17,7 +17,7 @@ from tabularium.operators.quality import dedup_keep
 
 # Actions a site event may have
 SITE_ACTIONS = ("login", "logout", "view", "click", "purchase")
-ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
 def source(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet", files_per_batch: int | None = None) -> DataFrame:

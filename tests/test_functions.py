@@ -29,7 +29,7 @@ def test_numbers_golden(spark):
               text.pct_change(lit(50, "decimal(18,2)"), lit(75, "decimal(18,2)")), text.pct_change(lit(0, "decimal(18,2)"), lit(10, "decimal(18,2)")))
     assert row["c0"] == Decimal("239.99")
     assert list(row)[1:4] == [42, None, None]
-    assert row["c4"] == Decimal("50.00") and row["c5"] is None
+    assert row["c4"] == 50.0 and row["c5"] is None
 
 
 def test_row_hash_null_rules(spark):
@@ -71,6 +71,11 @@ def test_json_nulls_and_merge(spark):
     assert json.loads(row["c0"]) == {"a": None, "b": "1"}
     assert list(row)[1:6] == [True, False, "json_null", "absent", "sql_null"]
     assert json.loads(row["c6"]) == {"a": "1", "b": None, "c": "3"}
+    kinds = lit('{"n":1,"b":true,"o":{"z":[1,2],"q":"é\\"x"},"j":null}')
+    row2 = one(spark, nested.set_field(kinds, ["o", "z"], lit(5, "int")), nested.drop_field(kinds, ["o", "z"]), nested.merge(kinds, lit('{"n":{"deep":2.5}}')))
+    assert json.loads(row2["c0"]) == {"n": 1, "b": True, "o": {"z": 5, "q": 'é"x'}, "j": None}
+    assert json.loads(row2["c1"]) == {"n": 1, "b": True, "o": {"q": 'é"x'}, "j": None}
+    assert json.loads(row2["c2"]) == {"n": {"deep": 2.5}, "b": True, "o": {"z": [1, 2], "q": 'é"x'}, "j": None}
     assert json.loads(row["c7"]) == {"a": "9"} and json.loads(row["c8"]) == {"b": "2"}
 
 
@@ -87,5 +92,5 @@ def test_matrix_counts_from_one(spark):
 
 def test_sql_functions(spark):
     udfs.create_sql_functions(spark)
-    row = spark.sql("SELECT full_name(' Ivan ', 'Petrov'), add_tax(199.99, 20), percent_change(50, 75), percent_change(0, 10)").first()
+    row = spark.sql("SELECT joined_name(' Ivan ', 'Petrov'), gross_price(199.99, 20), relative_change(50, 75), relative_change(0, 10)").first()
     assert list(row) == ["Ivan Petrov", Decimal("239.99"), Decimal("50.00"), None]

@@ -37,8 +37,8 @@ def test_hints_give_one_result(sides):
 
 def test_broadcast_only_below_the_bound(sides):
     big, small = sides
-    below = joins.broadcast_checked(big, small, ["k"], max_rows=45)
-    above = joins.broadcast_checked(big, small, ["k"], max_rows=44)
+    below = joins.broadcast_checked(big, small, ["k"], max_bytes=1 << 20)
+    above = joins.broadcast_checked(big, small, ["k"], max_bytes=8)
     assert same(below, above)
     assert "ResolvedHint (strategy=broadcast)" in below._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in above._jdf.queryExecution().analyzed().toString()
@@ -57,9 +57,27 @@ def test_bucketed_join_without_shuffle(spark, sides):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_bucketed_join_with_hot_key(sides):
+def test_bucketed_join_refuses_a_hot_key(sides):
     big, small = sides
-    assert same(joins.bucketed_join(big, small, "k", 8), big.join(small, "k"))
+    with pytest.raises(ValueError, match="more than the 100"):
+        joins.bucketed_join(big, small, "k", bucket_rows=100)
+
+
+def test_null_keys_are_kept(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "g int, v int")
+    from tabularium.operators.grouping import with_group_agg
+    from tabularium.operators.ordered import exact_percentile
+
+    assert sorted(r["n"] for r in with_group_agg(rows, ["g"], {"n": F.count(F.lit(1))}).collect()) == [1, 2, 2]
+    assert joins.later_partners(rows, "g", "v").count() == 3
+    assert {(r["g"], r["m"]) for r in exact_percentile(rows, ["g"], "v", 0.5, "m").collect()} == {(None, 1.5), (1, 3.0)}
+
+
+def test_period_join_over_uneven_periods(spark):
+    facts = spark.createDataFrame([(i, i) for i in range(30)] + [(99, None)], "id int, at int")
+    starts = spark.createDataFrame([(3,), (4,), (20,)], "start int")
+    got = {(r["id"], r["start"]) for r in joins.period_join(facts, starts, "at", "start", ["id"]).collect()}
+    assert got == {(i, max(s for s in (3, 4, 20) if s <= i)) for i in range(3, 30)}
 
 
 def test_anti_join_with_null_on_the_right(spark):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tabularium.operators import layout
@@ -42,12 +43,21 @@ def test_sample_is_fixed_by_key(spark):
     assert 850 < a.count() < 1150
 
 
-def test_hot_side_is_not_bucketed(spark):
+def test_hot_side_is_refused_by_buckets(spark):
     hot = spark.range(100).select(F.when(F.col("id") < 40, 1).otherwise(F.col("id")).alias("k"))
     even = spark.range(100).select(F.col("id").alias("k"))
     assert storage.hottest_share(hot, "k") == 0.4
-    def buckets(df): return "SelectedBucketsCount" in df.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
-    assert buckets(storage.write_bucketed(even, 4, "k")) and not buckets(storage.write_bucketed(hot, 4, "k"))
+    plan = storage.write_bucketed(even, "k", bucket_rows=30).groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 4 out of 4" in plan
+    with pytest.raises(ValueError):
+        storage.write_bucketed(hot, "k", bucket_rows=30)
+
+
+def test_parts_are_those_spark_makes(spark):
+    df = spark.range(200).select((F.col("id") % 7).alias("k"))
+    placed = df.repartition(4, "k").groupBy(F.spark_partition_id().alias("p")).count()
+    real = sorted(r["count"] for r in placed.collect())
+    assert [n for n in sorted(r["rows_count"] for r in layout.hash_parts(df, ["k"], 4).collect()) if n] == real
 
 
 def test_estimates_are_close(spark, tables):
@@ -55,5 +65,4 @@ def test_estimates_are_close(spark, tables):
     from conftest import SF_DIR
 
     for row in load_all()["a6_approx_distinct"](spark, SF_DIR).collect():
-        exact = tables.orders.select(row["column_name"]).distinct().count()
-        assert abs(row["estimate"] - exact) <= max(1, 0.05 * exact)
+        assert row["exact"] == tables.orders.select(row["column_name"]).distinct().count() and row["estimate_is_close"]

@@ -101,6 +101,8 @@ def test_cached_is_released(spark):
 def test_compaction_report(spark):
     many, few = scratch_path(spark, "many"), scratch_path(spark, "few")
     spark.range(100).repartition(10).write.parquet(many)
-    out = S.compact(spark, many, few, 2)
+    out = S.compact(spark, many, few)
     report = S.file_profile(out, 1 << 20).first()
-    assert report["file_count"] == 2 and report["rows_count"] == 100 and report["small_files"] == 2
+    assert report["file_count"] == 1 and report["rows_count"] == 100 and report["small_files"] == 1
+    more = S.compact(spark, many, scratch_path(spark, "some"), file_bytes=2000)
+    assert S.file_profile(more, 1 << 20).first()["file_count"] > 1
