@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm import (
-    bbit_minhash, block_anchors, pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing,
+    bbit_minhash, block_anchors, line_alignment, pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing,
 )
 from tabularium.session import written
 
@@ -50,6 +50,11 @@ def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op6_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_alignment.remove(table(spark, sf_dir, "documents"))
+    return done.select("_row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_markov.scan(table(spark, sf_dir, "documents"))
     base = secret_markov.written_out(F.col("base"))
@@ -74,13 +79,14 @@ def op9_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         definition = f.read()
-    pieces = window_packing.pack(table(spark, sf_dir, "documents"), definition)
+    pieces = window_packing.pack(table(spark, sf_dir, "documents"), definition, public_tokenizers.PATTERN)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op4_bbit_minhash, op5_text_density, op7_secret_markov,
-                              op8_block_anchors, op9_weak_rules, op10_window_packing)
+    f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op4_bbit_minhash, op5_text_density, op6_line_alignment,
+                              op7_secret_markov, op8_block_anchors, op9_weak_rules,
+                              op10_window_packing)
 }
 ORACLE_SQL: dict[str, str] = {}
