@@ -80,7 +80,9 @@ def scd2(dim: DataFrame, src: DataFrame, key: str, attrs: Sequence[str], at: Col
     """Close current versions whose attributes changed and open new ones; periods are [from, to).
 
     dim(key, attrs, valid_from, valid_to, is_current); src has one row per key. A key the
-    source lacks keeps its current version; running twice changes nothing.
+    source lacks keeps its current version; running twice changes nothing. A change dated no
+    later than the start of the current version is not applied, so that no period ends before
+    it begins; `scd2_history` places such changes from a log.
     """
     ts = dim.schema["valid_from"].dataType
     past = dim.filter(~F.col("is_current"))
@@ -88,7 +90,7 @@ def scd2(dim: DataFrame, src: DataFrame, key: str, attrs: Sequence[str], at: Col
     new = src.select(F.col(key).alias("_k"), F.struct(*attrs).alias("_new"))
     both = now.join(new, "_k", "full")
     same = reduce(lambda x, y: x & y, [F.col("_old")[a].eqNullSafe(F.col("_new")[a]) for a in attrs])
-    changed = F.col("_old").isNotNull() & F.col("_new").isNotNull() & ~same
+    changed = F.col("_old").isNotNull() & F.col("_new").isNotNull() & ~same & F.coalesce(at > F.col("_from"), F.lit(False))
     never = F.lit(None).cast(ts)
 
     def version(of: str, start: Column, end: Column, current: bool) -> Column:

@@ -59,7 +59,9 @@ def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType, limi
     parsed = spark.read.schema(full).options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(path)
     rows = written(parsed, "parsed")
     bad = rows.filter(F.col(CORRUPT).isNotNull())
-    causes = [F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields]
+    # a field that is empty in the line is not a cause
+    fields = F.from_csv(F.col(CORRUPT), ", ".join(f"`{f.name}` string" for f in schema.fields))
+    causes = [F.when(F.col(f.name).isNull() & fields[f.name].isNotNull(), F.lit(f.name)) for f in schema.fields]
     bad = bad.select(F.col(CORRUPT).alias("raw_line"), F.array_join(F.array_compact(F.array(*causes)), ";").alias("unread_fields"))
     if limit is not None and bad.limit(limit + 1).count() > limit:
         raise ValueError(f"more than {limit} rejected rows in {path}")
