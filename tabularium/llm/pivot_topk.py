@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIVOTS = 32
+PIVOTS = 16
 SEEDS = 1024
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 QUERY_ROWS = 512
 SCALE = 256
 LARGEST = 2 ** 22
@@ -99,7 +99,7 @@ def blocks(rows: DataFrame, size: int, pivots) -> DataFrame:
 
 
 def best_of(q: np.ndarray, own: int, ids: np.ndarray, x: np.ndarray, bound: np.ndarray, least: float, k: int,
-            step: int = 128) -> tuple[np.ndarray, np.ndarray]:
+            step: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the k best candidates with a score of `least` or more, ties to the smaller id."""
     near = np.flatnonzero((bound >= least) & (ids != own))
     near = near[np.argsort(-bound[near], kind="stable")]
@@ -108,11 +108,14 @@ def best_of(q: np.ndarray, own: int, ids: np.ndarray, x: np.ndarray, bound: np.n
         if bound[near[i]] < least:
             break
         at = near[i:i + step]
-        pairs = np.unique(np.stack([-np.concatenate([best, x[at] @ q]), np.concatenate([best_id, ids[at]])]), axis=1)
-        pairs = pairs[:, :k]  # unique sorts by score, then id
-        best, best_id = -pairs[0], pairs[1].astype(np.int64)
-        if len(best) == k:
-            least = max(least, best[-1])
+        score = x[at] @ q
+        high = score >= least
+        if high.any():
+            merged = set(zip(-best, best_id.tolist())) | set(zip((-score[high]).tolist(), ids[at][high].tolist()))
+            first = sorted(merged)[:k]  # by score, then id
+            best, best_id = -np.array([s for s, _ in first]), np.array([n for _, n in first], np.int64)
+            if len(best) == k:
+                least = max(least, best[-1])
     kept = best >= least
     return best_id[kept], best[kept]
 
