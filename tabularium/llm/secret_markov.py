@@ -3,9 +3,9 @@
 Fixed shapes (assignments, access keys, long hex runs) give the base spans. A further span of kind `random` is a long
 identifier-like run, outside the base spans, whose characters follow each other as in random strings rather than as in
 ordinary identifiers: the log-likelihood ratio of two first-order models must reach `LEAST_RATIO`, which stands for the
-odds that a run is ordinary. Both models are trained from labelled samples of the table itself: base spans are the random
-strings, runs in text with the base spans taken out are the ordinary ones. The samples are the `SAMPLE` documents of
-either kind with the smallest key hash, whatever the size of the table; scanning covers every character of every text.
+odds that a run is ordinary. Both models are trained from labelled strings of the table itself: all base spans are the
+random ones; runs in text with the base spans taken out are the ordinary ones, from the `SAMPLE` documents with the
+smallest key hash, whatever the size of the table. Scanning covers every character of every text.
 
 Positions are code points, ends exclusive. Spark finds all matches and all gaps of a pattern in two passes; a running sum
 of their lengths places them. Patterns are tried only on texts that can hold them. Rows are not shuffled.
@@ -33,7 +33,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 RUN_CHARS = "A-Za-z0-9+/_=-"
 LEAST_RUN = 20
 RUN = f"(?<![{RUN_CHARS}])[{RUN_CHARS}]{{{LEAST_RUN},}}+"
-SAMPLE = 2000  # documents of each kind that the models are trained on
+SAMPLE = 2000  # documents that the model of ordinary runs is trained on
 LEAST_RATIO = 14.0  # natural log of the odds, about a million to one
 SYMBOLS = 128
 DRAWN = 100.0  # pseudo-counts behind the plain character frequencies
@@ -113,17 +113,20 @@ def log_model(pairs: dict[int, int], used: list[int]) -> dict[int, float]:
 
 
 def train(texts: DataFrame, id_col: str) -> list[float] | None:
-    """The table of log ratios from labelled samples of rows (id, _text)."""
+    """The table of log ratios from rows (id, _text): every base span, and a bounded sample of ordinary runs."""
     text = F.col("_text")
-    order = [F.xxhash64(id_col), F.xxhash64(text)]
-    held = texts.filter(text.rlike(ACCESS) | text.rlike(HEX) | text.rlike(ASSIGN)).orderBy(*order).limit(SAMPLE)
     values = F.concat(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)), F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)),
                       F.regexp_extract_all(text, F.lit(HEX), F.lit(0)))
+    held = texts.filter(text.rlike(ACCESS) | text.rlike(HEX) | text.rlike(ASSIGN))
     random = held.select(F.explode(values).alias("run")).filter(length(F.col("run")) >= ASSIGN_VALUE)
     bare = text
     for shape in (ASSIGN, ACCESS, HEX):
         bare = F.regexp_replace(bare, shape, " ")
-    ordinary = texts.orderBy(*order).limit(SAMPLE).select(F.explode(F.regexp_extract_all(
+    # the bound of the sample is found from the keys alone, so that only its texts travel
+    place = F.xxhash64(id_col)
+    most = texts.select(place.alias("place")).orderBy("place").limit(SAMPLE).agg(F.max("place")).first()[0]
+    sample = texts.filter(place <= F.lit(most)).orderBy(place, F.xxhash64(text)).limit(SAMPLE)
+    ordinary = sample.select(F.explode(F.regexp_extract_all(
         bare, F.lit(f"[{RUN_CHARS}]{{{ASSIGN_VALUE},}}"), F.lit(0))).alias("run"))
     return log_ratios(pair_counts(random), pair_counts(ordinary))
 
