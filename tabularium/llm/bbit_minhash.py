@@ -1,18 +1,19 @@
 """Near-duplicate groups by b-bit MinHash.
 
-A text's set is its distinct word shingles. Of 128 minima, groups of four make 32 band keys; texts that share a key are
-candidates (two texts of similarity 0.8 share none with a chance of 5e-8). Of each minimum the lowest two bits are kept
-and packed into four longs; counting equal bit pairs of two signatures, less the quarter that agrees by chance, estimates
+A text's set is its distinct word shingles. Of 288 minima, groups of six make 48 band keys; texts that share a key are
+candidates (two texts of similarity 0.8 share none with a chance of 5e-7). Of each minimum the lowest two bits are kept
+and packed into nine longs; counting equal bit pairs of two signatures, less the quarter that agrees by chance, estimates
 the similarity. Candidates whose estimate is too low by more than five standard deviations are dropped (chance 3e-8 to
 drop a link); all others are confirmed on their full sets.
 
 Texts with equal sets form a class and are represented by their smallest id. Within a bucket no pairs are listed: the
-smallest representative is compared with all others. What it leaves open, members of different components that have not
-been compared, is taken up in further rounds with another representative per bucket, and after `ROUNDS` rounds by
-comparing exactly the pairs still open. So no link among candidates is lost, and a group of copies costs its size.
+smallest representative is compared with all others. Members that this leaves in different components have not been
+compared with each other; for them, candidates come from an exact prefix filter over their rarest shingles, so that texts
+that share only what very many share are not paired. So no link among candidates is lost, and a group costs its size.
 
-Only texts that are part of a pair are moved, once, and each pair is confirmed on its own. Hot buckets and hot
-representatives are sides of plain joins, which adaptive execution splits.
+Only texts that share a bucket are moved, once, and each pair is confirmed on its own. Hot buckets and hot
+representatives are sides of plain joins, which adaptive execution splits. The one thing collected is a table of
+`2 ** SLOT_BITS` counts, whatever the input.
 
 Edge cases: a null text, an empty one and one without words have an empty set and are linked with nothing. A text with
 fewer words than a shingle is one shingle. Ids are compared as numbers; rows with a null id and the same set as another
@@ -35,12 +36,12 @@ from tabularium.llm.components import components
 from tabularium.llm.words import mixed, runs, shingles, word_hashes
 from tabularium.session import written
 
-MINIMA = 128
-BANDS = 32
+MINIMA = 288
+BANDS = 48
 BITS = 2
 SIMILARITY = 80  # per cent
-ESTIMATE = 0.57  # least estimated similarity that is confirmed; five standard deviations below 0.8
-ROUNDS = 3
+ESTIMATE = 0.64  # least estimated similarity that is confirmed; five standard deviations below 0.8
+SLOT_BITS = 20
 BATCH_CHARS = 2_000_000
 PAIR_BITS = 0x5555555555555555
 
@@ -108,11 +109,10 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 class Linker:
-    """Confirms candidate pairs of representatives on their full sets."""
+    """Finds and confirms links between representatives whose texts are given as (id, _text)."""
 
-    def __init__(self, docs: DataFrame, kept: DataFrame, words: int, percent: int, id_col: str, text_col: str):
-        self.texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"))
-        self.signatures = kept.select("id", "signature")
+    def __init__(self, texts: DataFrame, kept: DataFrame, words: int, percent: int):
+        self.texts, self.signatures = texts, kept.select("id", "signature")
         self.words, self.percent = words, percent
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -120,9 +120,7 @@ class Linker:
         a, b = (self.signatures.select(F.col("id").alias(c), F.col("signature").alias(f"_{c}")) for c in "ab")
         likely = pairs.distinct().join(a, "a").join(b, "b").filter(estimate(F.col("_a"), F.col("_b")) >= ESTIMATE)
         likely = written(likely.select("a", "b").distinct(), "pairs")
-        needed = likely.select("a").union(likely.select("b")).distinct().toDF("id")
-        texts = written(self.texts.join(needed, "id"), "pair-texts")
-        a, b = (texts.select(F.col("id").alias(c), F.col("_text").alias(f"_{c}")) for c in "ab")
+        a, b = (self.texts.select(F.col("id").alias(c), F.col("_text").alias(f"_{c}")) for c in "ab")
         words, percent = self.words, self.percent
 
         def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,36 +137,75 @@ class Linker:
         with_texts = likely.join(a, "a").join(b, "b").select("a", "b", "_a", "_b")
         return written(with_texts.mapInArrow(confirm, "a long, b long"), "confirmed")
 
+    def open_pairs(self, members: DataFrame) -> DataFrame:
+        """Pairs (a, b) of (id, component) with different components that can be links, by an exact prefix filter.
+
+        Two sets with a similarity of `percent` share one of the rarest items of either, if as many are taken as may be
+        missing from the other, and one. Rarity is by counts per slot of the item's hash, any fixed order being exact.
+        """
+        rows = members.join(self.texts, "id").select("id", "component", "_text")
+        words, percent = self.words, self.percent
+        shift = np.uint64(64 - SLOT_BITS)
+
+        def sets(texts: list[str]) -> Iterator[np.ndarray]:
+            hashes, begin = word_hashes(texts, lower=True)
+            for i in range(len(texts)):
+                yield np.unique(shingles(hashes[begin[i]:begin[i + 1]], words))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = np.zeros(1 << SLOT_BITS, np.int64)
+            for _, texts in runs(batches, 2, BATCH_CHARS):
+                items = np.concatenate(list(sets(texts)))
+                held += np.bincount((items >> shift).astype(np.int64), minlength=len(held))
+            at = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], ["slot", "n"])
+
+        counted = rows.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        table = np.zeros(1 << SLOT_BITS, np.int64)
+        for r in counted.toLocalIterator():  # at most 2 ** SLOT_BITS rows
+            table[r["slot"]] = r["n"]
+        shared = rows.sparkSession.sparkContext.broadcast(table)
+
+        def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, texts in runs(batches, 2, BATCH_CHARS):
+                keys, of, sizes = [], [], []
+                for i, items in enumerate(sets(texts)):
+                    most = len(items) - -(-percent * len(items) // 100) + 1
+                    order = np.lexsort((items, shared.value[(items >> shift).astype(np.int64)]))[:most]
+                    keys.append(items[order].view(np.int64))
+                    of.append(np.full(len(order), i))
+                    sizes.append(np.full(len(order), len(items)))
+                of = pa.array(np.concatenate(of))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys)), part.column(0).take(of), part.column(1).take(of),
+                     pa.array(np.concatenate(sizes))], ["item", "id", "component", "n"])
+
+        held = rows.mapInArrow(rarest, "item long, id long, component long, n long")
+        met = held.groupBy("item").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
+            "_low < _high").select("item")
+        held = written(held.join(met, "item"), "rare-items")
+        other = held.select("item", F.col("id").alias("b"), F.col("component").alias("_c"), F.col("n").alias("_n"))
+        fit = (F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent) & (F.col("component") < F.col("_c"))
+        return held.join(other, "item").filter(fit).select(F.col("id").alias("a"), "b").distinct()
+
 
 def link_classes(docs: DataFrame, kept: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the representatives that have a link."""
-    linker = Linker(docs, kept, words, percent, id_col, text_col)
     members = kept.select("id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("n > 1")
     held = written(members.join(shared, "bucket").select("bucket", "id", "first", "n"), "buckets")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"))
+    linker = Linker(written(texts.join(held.select("id").distinct(), "id"), "bucket-texts"), kept, words, percent)
     links = linker.links(held.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")))
     found = components(links)
-    # what is left of a bucket once its first member has been compared with all; a bucket of two is done
-    left = held.filter("n > 2 AND id <> first").select("bucket", "id")
-    for turn in range(ROUNDS):
-        labelled = left.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-            "bucket", "id", F.coalesce("component", "id").alias("component"))
-        mixed_up = labelled.groupBy("bucket").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high"),
-            F.min(F.struct("id", "component")).alias("_first")).filter("_low < _high")
-        left = written(labelled.join(mixed_up.drop("_low", "_high"), "bucket"), "open")
-        if not left.limit(1).count():
-            return found
-        last = turn == ROUNDS - 1
-        if last:
-            other = left.select("bucket", F.col("id").alias("b"), F.col("component").alias("_c"))
-            pairs = left.join(other, "bucket").filter("component < _c").select(F.col("id").alias("a"), "b")
-        else:
-            pairs = left.filter("component <> _first.component").select(F.col("_first.id").alias("a"), F.col("id").alias("b"))
-        links = links.union(linker.links(pairs))
-        found = components(links)
-        left = left.filter("id <> _first.id").select("bucket", "id")
-    return found
+    # a bucket of two is done; in others, members that have not been compared may be of different components
+    left = held.filter("n > 2 AND id <> first").join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "bucket", "id", F.coalesce("component", "id").alias("component"))
+    unlike = left.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
+    left = written(left.join(unlike.select("bucket"), "bucket").select("id", "component").distinct(), "open")
+    if not left.limit(1).count():
+        return found
+    return components(links.union(linker.links(linker.open_pairs(left))))
 
 
 def groups(docs: DataFrame, words: int = 2, percent: int = SIMILARITY, id_col: str = "doc_id",
