@@ -30,6 +30,7 @@ from tabularium.session import written
 
 LEAST_LINE = 20
 RARE = 8
+LEAST_LEFT = 0.2
 
 
 def lines_of(text: Column) -> Column:
@@ -143,9 +144,12 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
         F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long").alias("n_removed"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The columns of `docs` with shorter texts; documents of which nothing but white space is left are gone."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_left: float = LEAST_LEFT) -> DataFrame:
+    """The columns of `docs` with shorter texts. A document of which less than `least_left` of the characters, white
+    space aside, is left after deletions is a copy with scraps, and goes."""
     done = remove(docs, id_col, text_col)
-    left = done.filter((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    solid = lambda c: F.char_length(F.regexp_replace(c, r"[\x20\x09-\x0D]+", ""))
+    before, after = solid(F.col("_row").getField(text_col)), solid(F.col("text"))
+    left = done.filter((F.col("n_removed") == 0) | ((after > 0) & (after >= before * least_left)))
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c)
                          for c in docs.columns])
