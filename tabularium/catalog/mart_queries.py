@@ -68,6 +68,14 @@ def fact_items(t: Tables):
     return item_fact(t, all_dims(t)).withColumn("price", dbl("price")).withColumn("freight", dbl("freight"))
 
 
+@query("m3_payment_fact", "ord item pay cust", """WITH dc AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_sk, customer_id FROM cust)
+    SELECT order_id, payment_sequence, CAST(strftime(purchased_at, '%Y%m%d') AS BIGINT) AS date_sk, customer_sk, payment_type, CAST(payment_value AS DOUBLE) AS payment_value FROM pay JOIN ord USING (order_id) JOIN dc USING (customer_id)""")
+def fact_payments(t: Tables):
+    dims = [(written(date_dim(t), "dates"), "calendar_date", "date_sk"), (written(customer_dim(t), "customers"), "customer_id", "customer_sk")]
+    rows = t.payments.join(t.orders.select("order_id", "customer_id", F.to_date("purchased_at").alias("calendar_date")), "order_id")
+    return M.build_fact(rows, dims, ["order_id", "payment_sequence", "payment_type", "payment_value"]).withColumn("payment_value", dbl("payment_value"))
+
+
 @query("m4_accumulating_snapshot", "fin", "SELECT order_id, purchased_at, estimated_at, delivered_at, CASE WHEN delivered_at IS NULL THEN 'purchased' ELSE 'delivered' END AS milestone FROM fin")
 def accumulating(t: Tables):
     from tabularium.plans.loads import merge
@@ -154,15 +162,36 @@ def drill_across(t: Tables):
 @query("m10_star_sales", "ord item cust prod seller", f"""WITH {FACT} SELECT CAST(strptime(CAST(f.date_sk AS VARCHAR), '%Y%m%d') AS DATE) AS calendar_date, c.state, p.category, COUNT(DISTINCT f.order_id) AS orders_count, CAST(SUM(f.price) AS DOUBLE) AS product_revenue,
     CAST(SUM(f.freight) AS DOUBLE) AS freight_revenue, CAST(SUM(f.price) AS DOUBLE) / nullif(COUNT(*), 0) AS average_item_price FROM fact f JOIN dc c USING (customer_sk) JOIN dp p USING (product_sk) GROUP BY 1, 2, 3""")
 def star_sales(t: Tables):
-    dims = all_dims(t)
-    (dates, *_), (customers, *_), (products, *_), _ = dims
-    rows = (item_fact(t, dims).join(dates.select("date_sk", "calendar_date"), "date_sk").join(customers.select("customer_sk", "state"), "customer_sk")
-            .join(products.select("product_sk", "category"), "product_sk"))
+    # keys that are hashes need no numbering, and attributes come along with the key: one join per dimension
+    customers = M.hashed_dim(t.customers, "customer_id", ["state"], "customer_sk")
+    products = M.hashed_dim(t.products, "product_id", ["category"], "product_sk")
+    rows = (t.items.select("order_id", "product_id", "price", "freight")
+            .join(t.orders.select("order_id", "customer_id", F.to_date("purchased_at").alias("calendar_date")), "order_id")
+            .join(customers, "customer_id").join(products, "product_id"))
     return rows.groupBy("calendar_date", "state", "category").agg(
         F.countDistinct("order_id").alias("orders_count"), dbl(F.sum("price")).alias("product_revenue"), dbl(F.sum("freight")).alias("freight_revenue"),
         (dbl(F.sum("price")) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("average_item_price"))
 
 
+@query("m10_snowflake", "item prod", """WITH c AS (SELECT category, ROW_NUMBER() OVER (ORDER BY category) AS category_sk FROM (SELECT DISTINCT category FROM prod))
+    SELECT category_sk, c.category, COUNT(*) AS items_count, CAST(SUM(price) AS DOUBLE) AS revenue FROM item JOIN prod USING (product_id) JOIN c USING (category) GROUP BY ALL""")
+def snowflake(t: Tables):
+    """The product dimension holds the key of a category dimension of its own."""
+    categories = written(M.build_dim(t.products.select("category").distinct(), "category", [], "category_sk"), "categories")
+    products = t.products.select("product_id", "category").join(categories, "category").select("product_id", "category_sk")
+    sums = t.items.select("product_id", "price").join(products, "product_id").groupBy("category_sk").agg(
+        F.count(F.lit(1)).alias("items_count"), dbl(F.sum("price")).alias("revenue"))
+    return sums.join(categories, "category_sk").select("category_sk", "category", "items_count", "revenue")
+
+
+@query("m10_factless_activity", "ord cust", """SELECT CAST(purchased_at AS DATE) AS day, COUNT(DISTINCT customer_id) AS active_customers, COUNT(DISTINCT state) AS active_states FROM ord JOIN cust USING (customer_id) GROUP BY 1""")
+def factless_activity(t: Tables):
+    """A fact without measures: a customer was active on a day. Counting its rows is the measure."""
+    active = t.orders.select("customer_id", F.to_date("purchased_at").alias("day")).distinct()
+    return active.join(t.customers.select("customer_id", "state"), "customer_id").groupBy("day").agg(
+        F.count(F.lit(1)).alias("active_customers"), F.countDistinct("state").alias("active_states"))
+
+
 @query("m10_bridge_weights", "item", "SELECT order_id, product_id, CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER (PARTITION BY order_id) AS weight FROM item GROUP BY 1, 2")
 def bridge(t: Tables):
     return M.bridge_weights(t.items, "order_id", "product_id")
