@@ -89,4 +89,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                               op7_secret_markov, op8_block_anchors, op9_weak_rules,
                               op10_window_packing)
 }
-ORACLE_SQL: dict[str, str] = {}
+# Fixed value: a word
+WORDS = r"'[^\x20\x09-\x0D]+'"
+ORACLE_SQL: dict[str, str] = {
+    "op2_pivot_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) AS BIGINT) AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.w) = len(q.w) WHERE q.vec_id % 50 = 0),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op4_bbit_minhash": f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORDS}) AS w FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS items FROM d),
+    x AS (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * COUNT(*) >= 80 * (a.n + b.n - COUNT(*))),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, p.b FROM reach JOIN p ON p.a = reach.b), c AS (SELECT a AS doc_id, MIN(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, CAST(len(items) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)""",
+    "op8_block_anchors": f"""WITH d AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), {WORDS}) AS w FROM documents),
+    i AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS pos FROM d WHERE len(w) >= 35), h AS (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 34], ' ')) AS m FROM i),
+    twice AS (SELECT doc_id, pos FROM h WHERE m IN (SELECT m FROM h GROUP BY m HAVING COUNT(*) > 1)), gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, unnest(range(pos, pos + 35)) AS k FROM twice) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(len(ks), 0) AS BIGINT) AS n_removed,
+    sha256(array_to_string(CASE WHEN ks IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(ks, k)) END, ' ')) AS kept_sha256 FROM d LEFT JOIN gone g ON g.doc_id = d.doc_id""",
+}
