@@ -162,8 +162,8 @@ class Linker:
 
         counted = rows.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
         table = np.zeros(1 << SLOT_BITS, np.int64)
-        for r in counted.toLocalIterator():  # at most 2 ** SLOT_BITS rows
-            table[r["slot"]] = r["n"]
+        found = counted.toArrow()  # at most 2 ** SLOT_BITS rows
+        table[np.asarray(found.column("slot").combine_chunks())] = np.asarray(found.column("n").combine_chunks())
         shared = rows.sparkSession.sparkContext.broadcast(table)
 
         def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
