@@ -22,14 +22,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEPT_CHUNKS = 300_000  # entries of the per-task memories
-KEPT_PIECES = 300_000
-KEPT_PAIRS = 1_000_000
-BATCH_CHARS = 8_000_000  # characters encoded together
+KEPT_CHUNKS = 200_000  # entries of the per-task memories
+KEPT_PIECES = 200_000
+KEPT_PAIRS = 300_000
+BATCH_CHARS = 2_000_000  # characters encoded together, and ids decoded together
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -213,17 +214,16 @@ class TextEncoder:
             yield (self._whole(text) if text else []) if None in found else list(chain.from_iterable(found))
 
 
-def batches_of(texts: list[str], most: int) -> Iterator[list[str]]:
-    """Runs of texts of about `most` characters; a longer text is a run of its own."""
-    run, size = [], 0
-    for t in texts:
-        run.append(t)
-        size += len(t)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def slices(sizes: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of rows that add up to about `most`; a larger row is a run of its own."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.to_pylist()):
+        held += size or 0
+        if held >= most:
+            yield start, i + 1 - start
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes) - start
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,12 +233,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = TextEncoder(PrefixEncoder(*shared.value), pattern)
         for batch in batches:
-            at = 0
-            for run_ in batches_of([t or "" for t in batch.column(1).to_pylist()], BATCH_CHARS):
-                ids = [array("I", x).tobytes() for x in texts.encode(run_)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(run_)), pa.array(ids, pa.binary())],
-                                                 [id_col, "ids"])
-                at += len(run_)
+            for at, n in slices(pc.utf8_length(batch.column(1)), BATCH_CHARS):
+                part = batch.slice(at, n)
+                ids = [array("I", x).tobytes() for x in texts.encode([t or "" for t in part.column(1).to_pylist()])]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], [id_col, "ids"])
 
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
     kind = rows.schema[id_col].dataType.simpleString()
@@ -255,11 +253,15 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id")
         for token, rank in shared.value.items():
             tokens[rank] = token
         for batch in batches:
-            lists = [np.frombuffer(x, "<u4").tolist() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([b"".join(map(tokens.__getitem__, x)) for x in lists], pa.binary()),
-                 pa.array([b" ".join(map(digits.__getitem__, x)) for x in lists], pa.binary())],
-                [id_col, "ids", "text_bytes", "digits"])
+            for at, n in slices(pc.binary_length(batch.column(1)), 4 * BATCH_CHARS):
+                part, whole, decimal = batch.slice(at, n), [], []
+                for x in part.column(1).to_pylist():
+                    ids = np.frombuffer(x, "<u4").tolist()
+                    whole.append(b"".join(map(tokens.__getitem__, ids)))
+                    decimal.append(b" ".join(map(digits.__getitem__, ids)))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(whole, pa.binary()), pa.array(decimal, pa.binary())],
+                    [id_col, "ids", "text_bytes", "digits"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
     return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, ids binary, text_bytes binary, digits binary")
