@@ -166,3 +166,45 @@ def test_served_version(spark):
                                 "mart string, version long, status string, row_count long, key_count long, checksum long")
     out = {r["version"]: (r["status"], r["served"]) for r in M.latest_published(cat).collect()}
     assert out == {1: ("PUBLISHED", False), 2: ("PUBLISHED", True), 3: ("READY", False), 4: ("BUILDING", False)}
+
+
+def test_inserts_and_merges_with_null_and_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    src = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (None, "n")], "k int, v string")
+    once = L.insert_new(target, src, "k")
+    assert sorted(map(str, once.collect())) == sorted(map(str, L.insert_new(once, src, "k").collect()))
+    assert {(r["k"], r["v"]) for r in once.collect()} == {(1, "a"), (None, "b"), (2, "z")}
+    merged = L.merge(target, src, "k", ["v"])
+    assert {(r["k"], r["v"]) for r in merged.collect()} == {(1, "x"), (None, "n"), (2, "z")}
+    assert L.merge(merged, src, "k", ["v"]).count() == 3
+
+
+def test_first_load_and_failed_load(spark):
+    log = spark.createDataFrame([(1, 10), (2, 20)], "id int, at int")
+    empty = L.mark_of(log.limit(0), "at", "id")
+    assert L.increment(log, empty, "at", "id").count() == 2
+    assert L.increment_overlap(log.limit(0), log, "at", "id", F.lit(5)).count() == 2
+
+    def broken(rows):
+        raise OSError("no space")
+    with pytest.raises(OSError):
+        L.advance_after(empty, log, "at", "id", broken)
+    assert L.advance_after(empty, log, "at", "id", lambda rows: rows.count()).first()["last_id"] == 2
+
+
+def test_append_new_writes_only_what_is_missing(spark):
+    from tabularium.session import scratch_path
+
+    path = scratch_path(spark, "target")
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)
+    src = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    assert L.append_new(spark, path, src, "k") == 1 and L.append_new(spark, path, src, "k") == 0
+    assert {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "y")}
+
+
+def test_snapshot_keeps_rows_without_a_date(spark):
+    import datetime
+
+    target = spark.createDataFrame([("a", 1, None)], "k string, orders_count long, as_of_date date")
+    facts = spark.createDataFrame([("a", datetime.datetime(2024, 1, 1))], "k string, at timestamp_ntz")
+    assert L.snapshot(target, facts, "k", "at", "2024-01-02").count() == 2

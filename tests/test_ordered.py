@@ -140,3 +140,9 @@ def test_topn_beyond_the_group_limit(spark):
     df = spark.range(3000).select((F.col("id") % 2).alias("k"), "id")
     out = grouping.topn_per_group(df, ["k"], [F.col("id").asc()], 1200)
     assert out.count() == 2400 and out.agg(F.max("id")).first()[0] == 2399
+
+
+def test_slices_follow_from_the_rows(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert ordered.slices_for(spark.range(1000), slice_rows=10) == 100
+    assert ordered.slices_for(spark.range(10)) == least

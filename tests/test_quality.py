@@ -95,3 +95,13 @@ def test_split_is_complete_and_repeatable(spark):
     assert parts.exceptAll(again).count() == 0
     n = {r["part"]: r["count"] for r in parts.groupBy("part").count().collect()}
     assert sum(n.values()) == 5000 and 3600 < n["a"] < 3900
+
+
+def test_reconciliation_sees_moved_nulls_and_sums(spark):
+    a = spark.createDataFrame([(1, "x", None, 30)], "k int, p string, q string, amount int")
+    b = spark.createDataFrame([(1, None, "x", 30)], "k int, p string, q string, amount int")
+    c = spark.createDataFrame([(1, "x", None, 119)], "k int, p string, q string, amount int")
+
+    def equal(other):
+        return Q.reconcile(a, other, ["k"], ["amount"], ["p", "q"]).first()["equal"]
+    assert equal(a) and not equal(b) and not equal(c)
