@@ -6,8 +6,8 @@ and packed into nine longs; counting equal bit pairs of two signatures, less the
 the similarity. Candidates whose estimate is too low by more than five standard deviations are dropped (chance 3e-8 to
 drop a link); all others are confirmed on their full sets.
 
-Texts with equal sets form a class and are represented by their smallest id. Within a bucket no pairs are listed: the
-smallest representative is compared with all others. Members that this leaves in different components have not been
+Texts with equal sets form a class and are represented by their smallest id. Within a bucket no pairs are listed: one
+member is compared with all others, and bands differ in the order it is chosen by, so that a text meets several. Members that this leaves in different components have not been
 compared with each other; for them, candidates come from an exact prefix filter over their rarest shingles, so that texts
 that share only what very many share are not paired. So no link among candidates is lost, and a group costs its size.
 
@@ -42,6 +42,7 @@ BITS = 2
 SIMILARITY = 80  # per cent
 ESTIMATE = 0.64  # least estimated similarity that is confirmed; five standard deviations below 0.8
 SLOT_BITS = 20
+ORDERS = 4  # orders by which a bucket's representative is chosen, dealt over the bands
 BATCH_CHARS = 2_000_000
 PAIR_BITS = 0x5555555555555555
 
@@ -191,8 +192,9 @@ class Linker:
 
 def link_classes(docs: DataFrame, kept: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the representatives that have a link."""
-    members = kept.select("id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).filter("n > 1")
+    members = kept.select("id", F.posexplode("bands").alias("band", "bucket"))
+    order = F.xxhash64("id", F.pmod("band", F.lit(ORDERS)))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min_by("id", order).alias("first")).filter("n > 1")
     held = written(members.join(shared, "bucket").select("bucket", "id", "first", "n"), "buckets")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"))
     linker = Linker(written(texts.join(held.select("id").distinct(), "id"), "bucket-texts"), kept, words, percent)
