@@ -133,7 +133,8 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     """_row (the input row), text without the deleted lines, n_lines, n_removed."""
     gone = written(deletions(docs, id_col, text_col, least, rare).withColumnsRenamed({"id": "_id", "gone": "_gone"}), "deletions")
     rows = docs.select(F.struct(F.col("*")).alias("_row"), F.col(id_col).alias("_key"))
-    met = rows.join(gone, F.col("_key") == F.col("_id"), "left")
+    # the deletions grow with the table: the same plan at every size, none is broadcast
+    met = rows.join(gone.hint("merge"), F.col("_key") == F.col("_id"), "left")
     text = F.col("_row").getField(text_col)
     met = met.select("_row", "_gone", lines_of(text).alias("_lines"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
