@@ -31,3 +31,11 @@ def table_function(t: Tables):
 @query("x3_vectorised_function", "", """SELECT doc_id, strip_accents(substr(text, 1, 40)) AS folded FROM documents WHERE lang <> 'de'""")
 def vectorised_function(t: Tables):
     return t.raw("documents").filter("lang <> 'de'").select("doc_id", udfs.folded_letters(F.substring("text", 1, 40)).alias("folded"))
+
+
+@query("x3_whole_documents", "", """SELECT doc_id, CAST(length(strip_accents(text)) AS BIGINT) AS n_chars, sha256(strip_accents(text)) AS folded_sha256 FROM documents""")
+def whole_documents(t: Tables):
+    """Every document, its whole text folded; the digest stands for the text."""
+    folded = udfs.folded_letters("text")
+    return t.raw("documents").select("doc_id", folded.alias("folded")).select(
+        "doc_id", F.char_length("folded").cast("long").alias("n_chars"), F.sha2("folded", 256).alias("folded_sha256"))
