@@ -215,6 +215,17 @@ def segments(t: Tables):
     return M.customer_segments(t.customers, summary, "customer_id")
 
 
+@query("m12_customer_summary", "ord cust", """WITH c AS (SELECT customer_id FROM cust UNION ALL SELECT -customer_id FROM cust WHERE customer_id % 10 = 3),
+    s AS (SELECT customer_id, COUNT(order_id) AS orders_count, COALESCE(CAST(SUM(amount) AS DOUBLE), 0.0) AS lifetime_value FROM c LEFT JOIN ord USING (customer_id) GROUP BY 1)
+    SELECT *, CASE orders_count WHEN 0 THEN 'unknown' ELSE CASE WHEN lifetime_value = (SELECT MAX(lifetime_value) FROM s) THEN 'VIP' WHEN orders_count = 1 THEN 'regular' ELSE 'loyal' END END AS segment FROM s""")
+def customer_summary(t: Tables):
+    # every order counts; customers without orders are added ones, with negative ids
+    ids = t.customers.select("customer_id")
+    added = ids.filter(F.pmod("customer_id", F.lit(10)) == 3).select((-F.col("customer_id")).alias("customer_id"))
+    summary = t.orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders_count"), F.sum("amount").alias("lifetime_value"))
+    return M.customer_segments(ids.unionByName(added), summary, "customer_id")
+
+
 @query("m13_top_deal", "trade", """WITH r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY secid, day, side ORDER BY value DESC, shipped_at, order_id, item_id, product_id, seller_id) AS rn FROM trade)
     SELECT secid, day, side, CAST(value AS DOUBLE) AS value, quantity, order_id, item_id, seller_id FROM r WHERE rn = 1""")
 def top_deal(t: Tables):
