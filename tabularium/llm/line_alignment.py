@@ -5,7 +5,8 @@ one (the smallest id); through a rare line, held by at most `RARE` documents, a
 So a line costs at most two pairs per holder however many hold it, and no line is left out. Every pair is aligned by
 patience diff over line hashes: lines that occur once on both sides and rise together are anchors, and the parts between
 them are aligned in the same way. Blocks of aligned lines are deleted from the later document if they hold a line of
-`LEAST_LINE` characters; the first holder of a line keeps it.
+`LEAST_LINE` characters. Such a line that has no place in the alignment, as it occurs twice or crosses another, is a
+block of its own. So each goes from all documents but its first holder.
 
 Only line hashes travel to the pairs; texts are moved once, to meet the deletions for them. A line that very many share
 makes a hot side of a join, which adaptive execution splits, and is folded before any grouping.
@@ -80,16 +81,18 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(a: list[int], b: list[int], sizes: list[int], least: int) -> list[int]:
-    """Line numbers of b in blocks, neighbours on both sides, that hold a line of `least` characters."""
-    out, block, last = [], [], None
+    """Line numbers of b in blocks, neighbours on both sides, that hold a line of `least` characters; other lines of
+    `least` characters that a holds are blocks of one line."""
+    held = set(a)
+    out, block, last = {j for j, x in enumerate(b) if sizes[j] >= least and x in held}, [], None
     for i, j in [*patience(a, b), (-1, -1)]:
         if last is not None and (i, j) != (last[0] + 1, last[1] + 1):
             if max(sizes[x] for x in block) >= least:
-                out += block
+                out.update(block)
             block = []
         block.append(j)
         last = (i, j)
-    return out
+    return sorted(out)
 
 
 def deletions(docs: DataFrame, id_col: str, text_col: str, least: int = LEAST_LINE, rare: int = RARE) -> DataFrame:
