@@ -1,9 +1,12 @@
 """Main text of HTML pages by text-to-tag ratio.
 
 Events of the standard library's streaming parser give the page as lines: runs of text between block tags. Menus, page
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are told by tag, role or the
-words of class and id, and their lines have ratio 0. A line's ratio is its characters over its tags. The ratios are
-smoothed with a Gaussian, and lines at or above the standard deviation of the smoothed ratios form the content clusters.
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are told by tag, role, or a
+class or id made up of such words, and their lines have ratio 0. On a page with no article or main element outside them,
+a class or id hides no element that holds most of the text, or an article or main and more text than stands outside. A
+line's ratio is its characters over its tags, twice the median at most, so that one long line does not lift the threshold.
+The ratios are smoothed with a Gaussian, and lines at or above the standard deviation of the smoothed ratios form the
+content clusters.
 A cluster selects its region: the outermost article or main element it lies in, with all lines there, however short; on a
 page without such elements, the lines from its first to its last.
 
@@ -44,38 +47,49 @@ NO_CONTENT_WORDS = frozenset(
     "notification outbrain pager pagination popup promo promoted recommendations related replies respond share sharing "
     "sidebar signup social sponsor sponsored subscribe taboola toolbar widget".split())
 COMMENT_WORDS = frozenset("comment comments discussion disqus replies respond".split())
+PLACE_WORDS = frozenset("area bar bottom box container inner left list main primary right secondary section site slot top wrap wrapper".split())
 
 
 class Lines(HTMLParser):
-    """Collects [text, tags, region, content?] per line."""
+    """Collects [text, tags, region, content?, mark] per line. A mark is an element with a class or id that hides, by its
+    place in `marks`; the first stands for none."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int]] = []  # tag, without content?, region
+        self.lines: list[tuple[str, int, int, bool, int]] = []
+        self.open: list[tuple[str, bool, int, int]] = []  # tag, without content?, region, mark
+        self.marks: list[list] = [[0, False]]  # the mark around it, holds an article or main?
         self.text: list[str] = []
         self.tags = self.regions = 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, hidden, region = self.open[-1] if self.open else ("", False, 0)
-            self.lines.append((text, self.tags, region, not hidden))
+            _, hidden, region, mark = self.open[-1] if self.open else ("", False, 0, 0)
+            self.lines.append((text, self.tags, region, not hidden, mark))
         self.text, self.tags = [], 0
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p" and any(t == "p" for t, _, _ in self.open):
+        if tag == "p" and any(t == "p" for t, *_ in self.open):
             self._close("p")
         if tag not in INLINE:
             self._end_line()
         self.tags += 1
         if tag in VOID:
             return
-        _, hidden, region = self.open[-1] if self.open else ("", False, 0)
-        if not hidden and not region and (tag in REGIONS or ("role", "main") in attrs):
-            self.regions += 1
-            region = self.regions
-        self.open.append((tag, hidden or without_content(tag, dict(attrs)), region))
+        _, hidden, region, mark = self.open[-1] if self.open else ("", False, 0, 0)
+        found = dict(attrs)
+        marked = marked_by_words(tag, found)
+        if not hidden and (tag in REGIONS or ("role", "main") in attrs):
+            if not region:
+                self.regions += 1
+                region = self.regions
+            if not marked:
+                self.marks[mark][1] = True
+        if marked:
+            self.marks.append([mark, False])
+            mark = len(self.marks) - 1
+        self.open.append((tag, hidden or without_content(tag, found), region, mark))
 
     def handle_startendtag(self, tag, attrs):
         if tag not in INLINE:
@@ -86,7 +100,7 @@ class Lines(HTMLParser):
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name == tag:
-                if any(t not in INLINE for t, _, _ in self.open[i:]):
+                if any(t not in INLINE for t, *_ in self.open[i:]):
                     self._end_line()
                 del self.open[i:]
                 return
@@ -110,12 +124,40 @@ class Lines(HTMLParser):
 
 
 def without_content(tag: str, attrs: dict[str, str | None]) -> bool:
-    if tag in NO_CONTENT or "hidden" in attrs or attrs.get("role") in NO_CONTENT_ROLES:
-        return True
+    return tag in NO_CONTENT or "hidden" in attrs or attrs.get("role") in NO_CONTENT_ROLES
+
+
+def marked_by_words(tag: str, attrs: dict[str, str | None]) -> bool:
+    """A class or the id is made up of such words: cookie-notice or sidebar-left, not has-sidebar or social-science."""
     if tag in ("html", "body", "main"):
         return False
-    words = re.findall(r"[a-z]+", f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower())
-    return not (COMMENT_WORDS if tag == "article" else NO_CONTENT_WORDS).isdisjoint(words)
+    words = COMMENT_WORDS if tag == "article" else NO_CONTENT_WORDS
+    for name in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split():
+        parts = set(re.findall(r"[a-z]+", name))
+        if parts & words and parts <= words | PLACE_WORDS:
+            return True
+    return False
+
+
+def content(parser: Lines) -> list[bool]:
+    """Whether each line is content."""
+    lines, marks = parser.lines, parser.marks
+    plain = [ok and not mark for _, _, _, ok, mark in lines]
+    if any(ok and line[2] for ok, line in zip(plain, lines)):
+        return plain
+    chars, around = [0] * len(marks), [m for m, _ in marks]
+    holds = [h for _, h in marks]
+    for text, _, _, ok, mark in lines:
+        chars[mark] += len(text) * ok
+    outside, total = chars[0], sum(chars)
+    for m in range(len(marks) - 1, 0, -1):  # a mark comes after those around it
+        if around[m]:
+            chars[around[m]] += chars[m]
+            holds[around[m]] |= holds[m]
+    hides = [False] * len(marks)
+    for m in range(1, len(marks)):
+        hides[m] = hides[around[m]] or not (2 * chars[m] > total or holds[m] and chars[m] > outside)
+    return [ok and not hides[mark] for _, _, _, ok, mark in lines]
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -128,18 +170,20 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     lines = parser.lines
-    in_region = any(region and content for _, _, region, content in lines)
-    use = np.array([content and bool(region or not in_region) for _, _, region, content in lines], bool)
+    shown = content(parser)
+    in_region = any(ok and line[2] for ok, line in zip(shown, lines))
+    use = np.array([ok and bool(line[2] or not in_region) for ok, line in zip(shown, lines)], bool)
     if not use.any():
         return ""
-    ratios = np.array([len(text) / max(1, tags) for text, tags, _, _ in lines]) * use
+    ratios = np.array([len(text) / max(1, tags) for text, tags, *_ in lines]) * use
+    ratios = np.minimum(ratios, 2 * np.median(ratios[use]))
     even = smoothed(ratios)
     cluster = np.flatnonzero(use & (even >= even.std()) & (even > 0))
     if not len(cluster):
         cluster = np.flatnonzero(use & (even == even[use].max()))
     if in_region:
         chosen = {lines[i][2] for i in cluster}
-        return " ".join(text for (text, _, region, _), ok in zip(lines, use) if ok and region in chosen)
+        return " ".join(text for (text, _, region, *_), ok in zip(lines, use) if ok and region in chosen)
     return " ".join(lines[i][0] for i in range(cluster[0], cluster[-1] + 1) if use[i])
 
 
