@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm import (
-    bbit_minhash, block_anchors, line_alignment, pivot_topk, prefix_bpe, secret_markov, text_density, url_ratio, weak_rules, window_packing,
+    bbit_minhash, block_anchors, line_alignment, pivot_topk, prefix_bpe, query_dag, refined_whitening, secret_markov,
+    text_density, url_ratio, weak_rules, window_packing,
 )
 from tabularium.session import written
 
@@ -84,13 +85,25 @@ def op10_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op11_query_dag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = query_dag.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+def op12_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = refined_whitening.whiten(table(spark, sf_dir, "embeddings"), 8)
+    return done.withColumn("deviation", F.col("deviation").try_cast("long")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op4_bbit_minhash, op5_text_density, op6_line_alignment,
                               op7_secret_markov, op8_block_anchors, op9_weak_rules,
-                              op10_window_packing)
+                              op10_window_packing, op11_query_dag, op12_refined_whitening)
 }
-# Fixed value: a word
+# A word, a term, and the letters that terms fold
 WORDS = r"'[^\x20\x09-\x0D]+'"
+TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE_SQL: dict[str, str] = {
     "op2_pivot_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -109,4 +122,12 @@ ORACLE_SQL: dict[str, str] = {
     twice AS (SELECT doc_id, pos FROM h WHERE m IN (SELECT m FROM h GROUP BY m HAVING COUNT(*) > 1)), gone AS (SELECT doc_id, list(DISTINCT k) AS ks FROM (SELECT doc_id, unnest(range(pos, pos + 35)) AS k FROM twice) GROUP BY doc_id)
     SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(len(ks), 0) AS BIGINT) AS n_removed,
     sha256(array_to_string(CASE WHEN ks IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(ks, k)) END, ' ')) AS kept_sha256 FROM d LEFT JOIN gone g ON g.doc_id = d.doc_id""",
+    "op11_query_dag": f"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all({FOLDED}, {TERMS})) AS term FROM documents),
+    f AS (SELECT doc_id, term, COUNT(*) AS tf FROM t GROUP BY doc_id, term), d AS (SELECT doc_id, CAST(SUM(tf) AS BIGINT) AS size FROM f GROUP BY doc_id),
+    c AS (SELECT COUNT(*) AS docs, CAST(SUM(size) AS BIGINT) AS total FROM d), i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({FOLDED}, {TERMS})) AS term FROM benchmark),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight FROM f, c WHERE term IN (SELECT term FROM i) GROUP BY term, docs),
+    v AS (SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * size * docs) // total))) AS value FROM f JOIN w USING (term) JOIN d USING (doc_id), c),
+    s AS (SELECT item_id, doc_id, CAST(SUM(value) AS BIGINT) AS score FROM i JOIN v USING (term) GROUP BY item_id, doc_id HAVING SUM(value) > 0),
+    r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s)
+    SELECT * FROM r WHERE rank <= 50""",
 }
