@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm import (
-    bbit_minhash, block_anchors, line_alignment, pivot_topk, prefix_bpe, query_dag, refined_whitening, secret_markov,
+    bbit_minhash, block_anchors, block_max_votes, line_alignment, pivot_topk, prefix_bpe, query_dag, refined_whitening, secret_markov,
     text_density, url_ratio, weak_rules, window_packing,
 )
 from tabularium.session import written
@@ -95,10 +95,15 @@ def op12_refined_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("deviation", F.col("deviation").try_cast("long")).withColumnRenamed("id", "vec_id")
 
 
+def op13_block_max_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = block_max_votes.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~block_max_votes.held_out())
+    return done.select(F.col("id").alias("doc_id"), block_max_votes.held_out("id").alias("held_out"), "score", "predicted", "evidence")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_ratio, op2_pivot_topk, op3_prefix_bpe, op4_bbit_minhash, op5_text_density, op6_line_alignment,
                               op7_secret_markov, op8_block_anchors, op9_weak_rules,
-                              op10_window_packing, op11_query_dag, op12_refined_whitening)
+                              op10_window_packing, op11_query_dag, op12_refined_whitening, op13_block_max_votes)
 }
 # A word, a term, and the letters that terms fold
 WORDS = r"'[^\x20\x09-\x0D]+'"

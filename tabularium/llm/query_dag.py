@@ -172,11 +172,12 @@ def counted(docs: DataFrame, doc_id: str, text: str, vocabulary: list[str]) -> D
 
 def ranked(held: DataFrame, dag: Dag, ids: np.ndarray, weight: np.ndarray, n_docs: int, n_terms: int, k: int) -> DataFrame:
     """(item, doc, score): the k best of each item among the documents of a task."""
-    plan = held.sparkSession.sparkContext.broadcast((dag, ids, weight))
+    plan = held.sparkSession.sparkContext.broadcast((vars(dag), ids, weight))  # arrays; the class comes with the task
     step = max(16, min(512, BLOCK_CELLS // (dag.n_terms + len(dag.sets) + len(dag.items))))
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dag, ids, weight = plan.value
+        sets, ids, weight = plan.value
+        dag = Dag(**sets)
         least = np.ones(len(ids), np.int64)
         kept = [np.empty(0, np.int64)] * 3
         for batch in batches:

@@ -223,10 +223,10 @@ def whiten(rows: DataFrame, k: int = 8, id_col: str = "vec_id", vec_col: str = "
     valid = valid.filter(F.size("v") == most.dim)
     model = fit(valid, most.dim, most.n)
     k = min(k, most.dim)
-    sent = spark.sparkContext.broadcast(model)
+    sent = spark.sparkContext.broadcast(vars(model))  # arrays; the class comes with the task
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Fit(**sent.value)
         scale = np.where(m.values[:k] > 0, m.values[:k], np.inf) ** -0.5
         turn = m.vectors[:, :k] * scale
         mean = np.array([x / m.n for x in m.rest])
