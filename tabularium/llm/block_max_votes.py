@@ -2,7 +2,7 @@
 
 Terms are words (lower-cased runs of letters and digits) and their beginnings of 3 to 6 characters. A vector holds the
 terms that tell the labels apart: the `FEATURES` of highest log-likelihood ratio, `LEAST_GAIN` or more, among those that
-toxic examples hold more often. Counts are weighted (1 + ln tf) * ln((1 + N) / (1 + df)) with document frequencies over all
+toxic examples hold `LEAST_ODDS` times as often as others (so a common word stays out, however many examples there are). Counts are weighted (1 + ln tf) * ln((1 + N) / (1 + df)) with document frequencies over all
 documents, and vectors have length 1.
 
 Examples with equal vectors are one entry with its counts. Entries are sorted by their heaviest terms and cut into blocks; the index
@@ -40,6 +40,7 @@ from tabularium.session import written
 EXAMPLES = 16_384
 FEATURES = 1024
 LEAST_GAIN = 16.0
+LEAST_ODDS = 5
 NEIGHBOURS = 15
 NEAREST = 0.1
 BLOCK = 64
@@ -100,13 +101,13 @@ def counted_terms(known: DataFrame) -> DataFrame:
 
 
 def chosen_terms(counts: DataFrame, pos: int, neg: int) -> list[str]:
-    """Terms that toxic examples hold more often, by falling log-likelihood ratio."""
+    """Terms that toxic examples hold much more often, by falling log-likelihood ratio."""
     n = pos + neg
     with_it = F.col("pos") + F.col("neg")
     cells = [(F.col("pos"), with_it * pos / n), (F.col("neg"), with_it * neg / n),
              (pos - F.col("pos"), (n - with_it) * pos / n), (neg - F.col("neg"), (n - with_it) * neg / n)]
     gain = reduce(lambda a, b: a + b, (F.when(o > 0, 2 * o * F.ln(o / e)).otherwise(0.0) for o, e in cells))
-    best = (counts.filter((F.col("pos") > 1) & (F.col("pos") * neg > F.col("neg") * pos)).withColumn("gain", gain)
+    best = (counts.filter((F.col("pos") > 1) & (F.col("pos") * neg >= F.col("neg") * (LEAST_ODDS * pos))).withColumn("gain", gain)
             .filter(F.col("gain") >= LEAST_GAIN).orderBy(F.col("gain").desc(), "term").limit(FEATURES))
     return [r.term for r in best.collect()]
 

@@ -82,7 +82,7 @@ def test_whole_table(spark):
     known = [(labels[i], set(held[i])) for i in train]
     pos, neg = (Counter(t for y, h in known if y == v for t in h) for v in (1, 0))
     n_pos, n_neg = sum(y for y, _ in known), sum(1 - y for y, _ in known)
-    vocabulary = sorted(t for t in pos if pos[t] > 1 and pos[t] * n_neg > neg[t] * n_pos and brute_gain(t, known) >= bmv.LEAST_GAIN)
+    vocabulary = sorted(t for t in pos if pos[t] > 1 and pos[t] * n_neg >= bmv.LEAST_ODDS * neg[t] * n_pos and brute_gain(t, known) >= bmv.LEAST_GAIN)
     assert 0 < len(vocabulary) <= bmv.FEATURES
     idf = np.array([np.log((1 + len(docs)) / (1 + sum(t in h for h in held.values()))) + 1e-6 for t in vocabulary])
     of = {i: [(n, h[t]) for n, t in enumerate(vocabulary) if h[t]] for i, h in held.items()}
