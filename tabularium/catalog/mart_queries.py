@@ -10,7 +10,9 @@ from tabularium.functions import text, timeops
 from tabularium.operators.joins import semi_join
 from tabularium.operators.ordered import exact_percentile
 from tabularium.plans import marts as M
-from tabularium.session import written
+from tabularium.session import scratch_path, written
+from tabularium.sources import storage
+from tabularium.sources.stored import StoredTable
 from tabularium.tables import Tables, dbl, lng
 
 DIMS = """dc AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_sk, * FROM cust), dp AS (SELECT ROW_NUMBER() OVER (ORDER BY product_id) AS product_sk, * FROM prod),
@@ -78,11 +80,13 @@ def fact_payments(t: Tables):
 
 @query("m4_accumulating_snapshot", "fin", "SELECT order_id, purchased_at, estimated_at, delivered_at, CASE WHEN delivered_at IS NULL THEN 'purchased' ELSE 'delivered' END AS milestone FROM fin")
 def accumulating(t: Tables):
-    from tabularium.plans.loads import merge
+    # orders are opened in a stored table; deliveries change the rows of their files
     cols = ["order_id", "purchased_at", "estimated_at", "delivered_at", "milestone"]
     opened = t.finance.select("order_id", "purchased_at", "estimated_at", F.lit(None).cast("timestamp_ntz").alias("delivered_at"), F.lit("purchased").alias("milestone"))
     done = t.finance.filter(F.col("delivered_at").isNotNull()).withColumn("milestone", F.lit("delivered")).select(cols)
-    return merge(opened, done, "order_id", ["delivered_at", "milestone"])
+    table = StoredTable.create(opened, scratch_path(t.spark, "milestones"), ["order_id"])
+    table.merge(done, "order_id", ["delivered_at", "milestone"])
+    return table.read()
 
 
 @query("m5_periodic_snapshot", "ord cust", """SELECT CAST(date_trunc('month', purchased_at) AS DATE) AS snapshot_month, state, COUNT(*) AS orders_count, CAST(SUM(amount) AS DOUBLE) AS revenue FROM ord JOIN cust USING (customer_id) GROUP BY 1, 2""")
@@ -272,15 +276,19 @@ def seller_mart(t: Tables):
 
 @query("m17_incremental_refresh", "trade", f"""WITH {BARS} SELECT 'day' AS mart, secid, day, trades, CAST(value AS DOUBLE) AS value FROM bars UNION ALL SELECT 'month', secid, CAST(date_trunc('month', day) AS DATE), CAST(SUM(trades) AS BIGINT), CAST(SUM(value) AS DOUBLE) FROM bars GROUP BY 2, 3""")
 def incremental_refresh(t: Tables):
+    # trades of two weeks arrive late; facts and marts are stored by month
     late = (F.col("side") == "A") & (F.col("day") >= F.lit("2000-05-01").cast("date")) & (F.col("day") < F.lit("2000-05-15").cast("date"))
-    trades = t.trades
-    days = M.daily_bars(trades.filter(~late))
-    fresh_days = M.refresh_days(days, trades, trades.filter(late), ["secid", "day"], M.daily_bars)
-    changed_months = trades.filter(late).select("secid", F.trunc("day", "month").alias("month"))
-    with_month = fresh_days.withColumn("month", F.trunc("day", "month"))
-    fresh_months = M.refresh_days(M.monthly_bars(days), with_month, changed_months, ["secid", "month"], lambda d: M.monthly_bars(d.drop("month")))
-    a = fresh_days.select(F.lit("day").alias("mart"), "secid", "day", "trades", dbl("value").alias("value"))
-    return a.unionByName(fresh_months.select(F.lit("month").alias("mart"), "secid", F.col("month").alias("day"), "trades", dbl("value").alias("value")))
+    facts, days, months = (scratch_path(t.spark, p) for p in ("trades-by-month", "bars-by-month", "months"))
+    trades = t.trades.withColumn("month", M.month_text())
+    storage.write_partitioned(trades.filter(~late), facts, ["month"])
+    M.store_bars(storage.read_partitioned(t.spark, facts), days, months)
+    change = written(trades.filter(late), "late-trades")
+    storage.write_partitioned(change, facts, ["month"], "append")
+    M.refresh_stored_bars(t.spark, facts, days, months, change)
+    a, b = storage.read_partitioned(t.spark, days), storage.read_partitioned(t.spark, months)
+    first = F.to_date(F.concat("month", F.lit("-01"))).alias("day")
+    return a.select(F.lit("day").alias("mart"), "secid", "day", "trades", dbl("value").alias("value")).unionByName(
+        b.select(F.lit("month").alias("mart"), "secid", first, "trades", dbl("value").alias("value")))
 
 
 @query("m18_mart_catalog", "ord item", f"""WITH v AS (SELECT 'orders' AS mart, 1::BIGINT AS version, 'READY' AS status, COUNT(*) AS row_count, COUNT(DISTINCT order_id) AS key_count, CAST(SUM({HALVES.replace(' m,', " md5(CAST(order_id AS VARCHAR) || '|' || order_status),").replace('(m,', "(md5(CAST(order_id AS VARCHAR) || '|' || order_status),")}) AS VARCHAR) AS checksum FROM ord WHERE order_status <> 'P'

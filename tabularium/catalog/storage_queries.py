@@ -9,8 +9,10 @@ from tabularium.catalog.quality_queries import HALVES
 from tabularium.catalog.registry import query
 from tabularium.operators.projection import between_half_open
 from tabularium.operators.quality import text_checksum
+from tabularium.plans.loads import swap_slice
 from tabularium.session import scratch_path
 from tabularium.sources import storage as S
+from tabularium.sources.stored import StoredTable
 from tabularium.tables import Tables, dbl, lng
 
 
@@ -116,6 +118,14 @@ def partitioned_sink(t: Tables):
     return totals(S.read_partitioned(t.spark, path), lng("y").alias("y"), lng("m").alias("m"))
 
 
+@query("io9_text_partitions", "ord", f"SELECT lpad(CAST(customer_id % 12 AS VARCHAR), 3, '0') AS code, {TOTALS} FROM ord GROUP BY 1")
+def text_partitions(t: Tables):
+    """Partition values that look like numbers stay texts: 007 is not 7."""
+    path = scratch_path(t.spark, "by-code")
+    S.write_partitioned(t.orders.withColumn("code", F.lpad((F.col("customer_id") % 12).cast("string"), 3, "0")), path, ["code"])
+    return totals(S.read_partitioned(t.spark, path), "code")
+
+
 @query("io10_default_partition", "ord", f"""SELECT 'before' AS step, CASE WHEN year(purchased_at) BETWEEN 1996 AND 1998 THEN 'y' || year(purchased_at) ELSE 'default' END AS part, {TOTALS} FROM ord GROUP BY 2
     UNION ALL SELECT 'after', CASE WHEN year(purchased_at) BETWEEN 1996 AND 1999 THEN 'y' || year(purchased_at) ELSE 'default' END, {TOTALS} FROM ord GROUP BY 2""")
 def default_partition(t: Tables):
@@ -137,17 +147,23 @@ def dynamic_overwrite(t: Tables):
     S.write_partitioned(monthly(t), path, ["month"])
     changed = monthly(t).filter(between_half_open(F.col("purchased_at"), ntz("1998-01-01"), ntz("1999-01-01")))
     S.overwrite_partitions(changed.withColumn("amount", (F.col("amount") * 2).cast("decimal(18,2)")), path, ["month"])
-    return totals(S.read_partitioned(t.spark, path), F.col("month").cast("string").alias("month"))
+    return totals(S.read_partitioned(t.spark, path), "month")
 
 
 @query("io12_staged_swap", "ord", f"""SELECT strftime(purchased_at, '%Y-%m') AS month, {TOTALS} FROM (SELECT purchased_at, CASE WHEN strftime(purchased_at, '%Y-%m') = '2001-07' THEN amount + 1 ELSE amount END AS amount FROM ord
     WHERE NOT (strftime(purchased_at, '%Y-%m') = '2001-07' AND order_status = 'P')) GROUP BY 1""")
 def staged_swap(t: Tables):
-    path = scratch_path(t.spark, "swap")
-    S.write_partitioned(monthly(t), path, ["month"])
+    table = StoredTable.create(monthly(t), scratch_path(t.spark, "swap"), ["month"])
     staged = monthly(t).filter("month = '2001-07' AND order_status <> 'P'").withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
-    S.swap_partition(t.spark, path, staged, "month", "2001-07")
-    return totals(S.read_partitioned(t.spark, path), F.col("month").cast("string").alias("month"))
+    swap_slice(table, staged, "month", "2001-07")
+    first = table.current()
+    try:
+        swap_slice(table, monthly(t).filter("month >= '2001-07'"), "month", "2001-07")
+    except ValueError:  # the staged rows are of other months too, so the slice stays
+        pass
+    swap_slice(table, monthly(t).filter("month = '2001-08'").withColumn("amount", F.col("amount") * 0), "month", "2001-08")
+    table.revert(first.number)  # the way back
+    return totals(table.read(), "month")
 
 
 @query("io13_alter_partitions", "ord", f"""SELECT 'before' AS step, order_status, {TOTALS} FROM ord GROUP BY 2 UNION ALL SELECT 'after', order_status, {TOTALS} FROM ord WHERE order_status = 'F' GROUP BY 2""")
@@ -175,7 +191,7 @@ def partition_profile(t: Tables):
     path = scratch_path(t.spark, "profiled")
     S.write_partitioned(monthly(t), path, ["month"])
     report = S.partition_profile(S.read_partitioned(t.spark, path), "month")
-    return report.filter("files > 0 AND bytes > 0").select(F.col("month").cast("string").alias("month"), "rows_count")
+    return report.filter("files > 0 AND bytes > 0").select("month", "rows_count")
 
 
 @query("io16_file_profile", "", "SELECT COUNT(*) AS rows_count, true AS has_files, true AS bytes_add_up, true AS share_is_a_share FROM lineitem")

@@ -1,4 +1,4 @@
-"""Batch loads. A Parquet table has no MERGE: a changed table is a new frame, written aside and swapped in.
+"""Batch loads: as frames (a changed table is a new frame) and into stored tables, of which only some files change.
 
 Frames that stand for a keyed target have one row per key, so joins on the key do not multiply.
 """
@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from tabularium.functions.text import row_hash
 from tabularium.operators import quality as Q
+from tabularium.operators.grouping import one_per_key
 from tabularium.operators.projection import between_half_open
 from tabularium.session import scratch_path, written
+from tabularium.sources.stored import StoredTable
 
 
 def land(df: DataFrame, batch_id: str, source: str, hashed: Sequence[str], load_time: bool = False) -> DataFrame:
@@ -38,15 +40,6 @@ def missing_rows(target: DataFrame, src: DataFrame, key: str) -> DataFrame:
     return new.join(known, F.col(key).eqNullSafe(F.col("_k")), "left_anti")
 
 
-def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """Of several rows of a key the one that is greatest column by column."""
-    rest = [c for c in df.columns if c != key]
-    if not rest:
-        return df.distinct()
-    return df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(
-        *[F.col("_row")[c].alias(c) if c != key else F.col(key) for c in df.columns])
-
-
 def append(spark: SparkSession, path: str, new: DataFrame) -> int:
     """Add rows to a Parquet table without touching its files; returns how many."""
     seen = Observation()
@@ -60,6 +53,11 @@ def append_new(spark: SparkSession, path: str, src: DataFrame, key: str) -> int:
     return append(spark, path, written(missing_rows(target, src, key), "new-rows"))
 
 
+def append_missing(table: StoredTable, src: DataFrame, key: str) -> int:
+    """As `append_new`, published as one version: a run that dies half way adds nothing."""
+    return table.append(missing_rows(table.read(), src, key), note="insert new")
+
+
 def merge(target: DataFrame, src: DataFrame, key: str, compare: Sequence[str], note: str | None = None) -> DataFrame:
     """Upsert: changed keys take the source row, equal ones stay, new ones are added.
 
@@ -83,6 +81,30 @@ def reload_slice(target: DataFrame, src: DataFrame, col: str, low: Column, high:
     return target.filter(~F.coalesce(inside, F.lit(False))).unionByName(src.filter(inside).select(target.columns))
 
 
+def reload_stored_slice(table: StoredTable, src: DataFrame, col: str, low: Column, high: Column) -> None:
+    """One half-open period of a stored table taken from the source; files without rows of the period stay."""
+    inside = between_half_open(F.col(col), low, high)
+    table.replace_where(inside, src.filter(inside), note="reload slice")
+
+
+def swap_slice(table: StoredTable, staged: DataFrame, col: str, value: str) -> int:
+    """A staged slice in place of the rows of one value; returns its rows.
+
+    The slice is checked where it is staged: it may hold only the value asked for, and not be empty. A slice that fails
+    leaves the table as it was, and `table.revert` brings an old slice back.
+    """
+    placed = []
+
+    def check(rows: DataFrame) -> None:
+        n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col(col).eqNullSafe(F.lit(value))).alias("foreign")).first()
+        if n["foreign"] or not n["n"]:
+            raise ValueError(f"staged slice does not match {col}={value}: {n['foreign']} of {n['n']} rows differ")
+        placed.append(n["n"])
+
+    table.replace_where(F.col(col) == value, staged, check, note=f"swap {col}={value}")
+    return placed[0]
+
+
 def full_refresh(df: DataFrame, keys: Sequence[str], sums: Sequence[str], texts: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Build the result aside and compare it with its source: (new table, reconciliation)."""
     fresh = written(df, "refresh")
@@ -123,6 +145,33 @@ def advance_after(mark: DataFrame, loaded: DataFrame, at: str, key: str, write:
     return advance(mark, loaded, at, key, succeeded=True)
 
 
+def stored_mark(table: StoredTable, at: str, key: str) -> DataFrame:
+    """The mark that the current version of a table was published with, as `mark_of` gives it."""
+    mark = table.current().mark
+    kind = {c: table.schema[c].dataType for c in (at, key)}
+    return table.spark.range(1).select(F.lit(mark.get("last_at")).cast(kind[at]).alias("last_at"),
+                                       F.lit(mark.get("last_id")).cast(kind[key]).alias("last_id"))
+
+
+def mark_text(mark: DataFrame) -> dict[str, str | None]:
+    """A mark as it is kept in a version's record."""
+    return mark.select(*[F.col(c).cast("string") for c in ("last_at", "last_id")]).first().asDict()
+
+
+def load_increment(table: StoredTable, src: DataFrame, at: str, key: str, late: bool = False) -> int:
+    """Append the rows after the table's mark and move the mark, in one record; returns how many.
+
+    The mark is worked out from the rows as they were written. A run that dies before the record leaves mark and rows as
+    they were, so the next run loads the same rows once.
+    """
+    base, mark = table.current(), stored_mark(table, at, key)
+    files, n = table.put(increment(src, mark, at, key, late))
+    if n:
+        moved = mark_text(advance(mark, table.read_files(files), at, key, succeeded=True))
+        table.publish(base, (*base.files, *files), moved, "increment")
+    return n
+
+
 def increment_overlap(target: DataFrame, src: DataFrame, at: str, key: str, overlap: Column) -> DataFrame:
     """Re-read the tail of the source and add the keys the target lacks: a late row lands once.
 
@@ -231,8 +280,18 @@ def apply_operations(accounts: DataFrame, operations: DataFrame) -> DataFrame:
 def snapshot(target: DataFrame, facts: DataFrame, key: str, at: str, as_of: str) -> DataFrame:
     """Counts per key up to the end of a date; replaces the slice of that date in the target."""
     day = F.lit(as_of).cast("date")
+    return target.filter(~F.col("as_of_date").eqNullSafe(day)).unionByName(counts_until(facts, key, at, day).select(target.columns))
+
+
+def store_snapshot(table: StoredTable, facts: DataFrame, key: str, at: str, as_of: str) -> None:
+    """As `snapshot` into a stored table: only files of that date are replaced."""
+    day = F.lit(as_of).cast("date")
+    table.replace_where(F.col("as_of_date") == day, counts_until(facts, key, at, day), note=f"snapshot {as_of}")
+
+
+def counts_until(facts: DataFrame, key: str, at: str, day: Column) -> DataFrame:
     counts = facts.filter(F.to_date(at) <= day).groupBy(key).agg(F.count(F.lit(1)).alias("orders_count"))
-    return target.filter(~F.col("as_of_date").eqNullSafe(day)).unionByName(counts.withColumn("as_of_date", day).select(target.columns))
+    return counts.withColumn("as_of_date", day)
 
 
 # ---- layered load ---------------------------------------------------------------------

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabularium.operators import ordered
 from tabularium.operators.grouping import topn_per_group, with_group_agg
 from tabularium.operators.quality import dedup_keep, text_checksum
+from tabularium.session import written
+from tabularium.sources import storage
 
 UNKNOWN = "__UNKNOWN__"
 
@@ -199,11 +201,52 @@ def seasonality(bars: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("active_days"), F.sum("trades").alias("trades"), F.sum("value").alias("value"))
 
 
-def refresh_days(mart: DataFrame, facts: DataFrame, changed: DataFrame, keys: Sequence[str], build) -> DataFrame:
-    """The mart with only the keys that `changed` touches built again from the facts."""
-    touched = changed.select(*keys).distinct()
-    fresh = build(facts.join(touched, list(keys), "left_semi"))
-    return mart.join(touched, list(keys), "left_anti").unionByName(fresh.select(mart.columns))
+def store_bars(trades: DataFrame, days_path: str, months_path: str) -> None:
+    """Daily and monthly bars as stored marts, one directory per month; `trades` has the month as a text, `month`."""
+    days = written(daily_bars(trades).withColumn("month", month_text()), "bars")
+    storage.write_partitioned(days, days_path, ["month"])
+    storage.write_partitioned(stored_months(days), months_path, ["month"])
+
+
+def month_text() -> Column:
+    return F.date_format("day", "yyyy-MM")
+
+
+def stored_months(days: DataFrame) -> DataFrame:
+    return monthly_bars(days.drop("month")).withColumn("month", F.date_format("month", "yyyy-MM"))
+
+
+def refresh_bars(facts: DataFrame, days: DataFrame, change: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Daily bars of the months that a change touches, and those months.
+
+    Bars of touched days are built from the facts, other days of these months come from the stored mart: both reads
+    are limited to the months' directories. `change` holds the rows that came, went or changed; its days are collected,
+    of which there are as many as the calendar has.
+    """
+    touched = change.select("month", "day").distinct().collect()
+    months, dates = sorted({r.month for r in touched}), sorted({r.day for r in touched})
+    in_months, in_days = F.col("month").isin(months), F.col("day").isin(dates)
+    fresh = daily_bars(facts.filter(in_months & in_days)).withColumn("month", month_text())
+    return days.filter(in_months & ~in_days).unionByName(fresh.select(days.columns)), months
+
+
+def refresh_stored_bars(spark: SparkSession, facts_path: str, days_path: str, months_path: str, change: DataFrame) -> list[str]:
+    """Bring stored daily and monthly bars up to a change of the facts; returns the months whose directories were replaced.
+
+    The cost follows from the touched months, not from the history. A month without trades loses its directory. Running
+    again with the same change gives the same marts, so a run that died between the marts is run again.
+    """
+    facts, days = (storage.read_partitioned(spark, p) for p in (facts_path, days_path))
+    fresh, months = refresh_bars(facts, days, change)
+    fresh = written(fresh, "fresh-bars")  # the mart is read before its directories are replaced
+    if not months:
+        return []
+    left = {r.month for r in fresh.select("month").distinct().collect()}  # at most the touched months
+    storage.overwrite_partitions(fresh, days_path, ["month"])
+    storage.overwrite_partitions(stored_months(fresh), months_path, ["month"])
+    for path in (days_path, months_path):
+        storage.remove_partitions(spark, path, "month", [m for m in months if m not in left])
+    return months
 
 
 def catalog_entry(mart: DataFrame, name: str, version: int, status: str, keys: Sequence[str], texts: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from tabularium.session import scratch_path, scratch_root, written
 
 CORRUPT = "_corrupt"
+SCHEMA_FILE = "_schema.json"  # readers skip names that begin with an underscore
 FILE_BYTES = 128 << 20  # size a compacted file is meant to have
 BUCKET_ROWS = 5_000_000  # rows of one bucket, and of one key
 
@@ -29,8 +31,10 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 def read_partitioned(spark: SparkSession, root: str, *parts: str, schema: T.StructType | None = None) -> DataFrame:
     """All of `root`, or only some of its directories with the partition columns kept.
 
-    Without a schema Spark guesses the types of partition values, which turns the text 007 into 7.
+    Without a schema the one that `write_partitioned` left in `root` counts. Where there is none Spark guesses the types
+    of partition values, which turns the text 007 into 7.
     """
+    schema = schema if schema is not None else stored_schema(spark, root)
     reader = spark.read.option("basePath", root)
     reader = reader.schema(schema) if schema is not None else reader
     return reader.parquet(*([f"{root}/{p}" for p in parts] or [root]))
@@ -105,7 +109,31 @@ def spread_for(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, cols: Sequence[str], mode: str = "errorifexists") -> None:
+    """Rows by partition directories, with the schema beside them: directory names do not tell a text from a number."""
     spread_for(df, cols).write.mode(mode).partitionBy(*cols).parquet(path)
+    if mode != "append" or stored_schema(df.sparkSession, path) is None:
+        fs, at = folder(df.sparkSession, path, SCHEMA_FILE)
+        out = fs.create(at, True)
+        out.write(bytearray(df.schema.json().encode()))
+        out.close()
+
+
+def stored_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """The schema that `write_partitioned` left beside the rows."""
+    fs, at = folder(spark, root, SCHEMA_FILE)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def folder(spark: SparkSession, path: str, name: str):
+    """File system and path of an entry below `path`, wherever Spark can read that."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> None:
@@ -113,6 +141,13 @@ def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str]) -> None:
     spread_for(df, cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
+def remove_partitions(spark: SparkSession, path: str, col: str, values: Sequence[str]) -> None:
+    """Directories of values that have no rows any more."""
+    for value in values:
+        fs, at = folder(spark, path, f"{col}={value}")
+        fs.delete(at, True)
+
+
 def route_default(col: Column, ranges: Mapping[str, tuple], default: str = "default") -> Column:
     """Name of the half-open range that holds the value; all else goes to the default part."""
     label = None
@@ -122,25 +157,6 @@ def route_default(col: Column, ranges: Mapping[str, tuple], default: str = "defa
     return F.lit(default) if label is None else label.otherwise(default)
 
 
-def swap_partition(spark: SparkSession, path: str, staged: DataFrame, col: str, value: str) -> int:
-    """Put a staged slice in place of one partition; returns its rows.
-
-    The slice is written aside first; it may hold only the partition asked for, and the
-    target has to show the same number of rows afterwards.
-    """
-    aside = scratch_path(spark, "slice")
-    write_parquet(staged, aside)
-    slice_ = spark.read.schema(staged.schema).parquet(aside)
-    counts = slice_.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col(col).eqNullSafe(F.lit(value))).alias("foreign")).first()
-    if counts["foreign"] or not counts["n"]:
-        raise ValueError(f"staged slice does not match {col}={value}: {counts['foreign']} of {counts['n']} rows differ")
-    overwrite_partitions(slice_, path, [col])
-    placed = read_partitioned(spark, path, schema=staged.schema).filter(F.col(col) == value).count()
-    if placed != counts["n"]:
-        raise RuntimeError(f"partition {col}={value} has {placed} rows, expected {counts['n']}")
-    return placed
-
-
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Same rows under a new directory, in files of about `file_bytes` each: their number follows from the bytes."""
     rows = read_parquet(spark, source)

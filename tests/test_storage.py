@@ -33,17 +33,6 @@ def test_quoted_fields(spark):
     assert [r["name"] for r in S.read_csv(spark, path, "id int, name string").orderBy("id").collect()] == ["a, b", 'say "hi"']
 
 
-def test_swap_checks_the_slice(spark):
-    path = scratch_path(spark, "swap")
-    rows = spark.range(10).withColumn("m", F.when(F.col("id") < 5, "a").otherwise("b"))
-    S.write_partitioned(rows, path, ["m"])
-    with pytest.raises(ValueError):
-        S.swap_partition(spark, path, rows, "m", "a")
-    with pytest.raises(ValueError):
-        S.swap_partition(spark, path, rows.limit(0), "m", "a")
-    assert S.swap_partition(spark, path, rows.filter("id < 2"), "m", "a") == 2
-    assert {r["m"]: r["count"] for r in S.read_partitioned(spark, path).groupBy("m").count().collect()} == {"a": 2, "b": 5}
-
 
 def test_dynamic_overwrite_twice(spark):
     path = scratch_path(spark, "dyn")
