@@ -108,7 +108,7 @@ def reload_slice(t: Tables):
     return plain(table.read())
 
 
-@query("e6_full_refresh", "ord", """SELECT COUNT(*) AS source_rows, COUNT(*) AS target_rows, CAST(SUM(amount) AS DOUBLE) AS source_amount, CAST(SUM(amount) AS DOUBLE) AS target_amount, 0::BIGINT AS missing_keys, 0::BIGINT AS extra_keys, true AS equal FROM ord""")
+@query("e6_full_refresh", "ord", """SELECT COUNT(*) AS source_rows, COUNT(*) AS target_rows, CAST(SUM(amount) AS DOUBLE) AS source_amount, CAST(SUM(amount) AS DOUBLE) AS target_amount, 0::BIGINT AS missing_keys, 0::BIGINT AS extra_keys, 0::BIGINT AS differing_keys, true AS equal FROM ord""")
 def full_refresh(t: Tables):
     _, report = L.full_refresh(t.orders, ["order_id"], ["amount"], ["order_id", "customer_id", "order_status"])
     return report.drop("source_checksum", "target_checksum")

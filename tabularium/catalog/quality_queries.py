@@ -103,11 +103,21 @@ def latest_alive(t: Tables):
 HALVES = "CAST(CAST('0x' || substr(m, 1, 16) AS UBIGINT) AS HUGEINT) + CAST('0x' || substr(m, 17, 16) AS UBIGINT)"
 
 
+def row_text_sql(*cols: str) -> str:
+    """SQL form of `text.row_text`."""
+    return " || ".join(f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+
+
+def checksum_sql(*cols: str) -> str:
+    """SQL form of `quality.text_checksum`."""
+    return f"SUM(list_transform([md5({row_text_sql(*cols)})], lambda m: {HALVES})[1])"
+
+
 @query("q9_reconcile", "ord", f"""WITH b AS (SELECT order_id, amount, nullif(CASE WHEN priority = '1-URGENT' THEN 'P' ELSE order_status END, 'O') AS order_status FROM ord WHERE amount > 5000),
-    h AS (SELECT 'a' AS s, order_id, amount, md5(CAST(order_id AS VARCHAR) || '|' || order_status) AS m FROM ord UNION ALL SELECT 'b', order_id, amount, md5(CAST(order_id AS VARCHAR) || '|' || COALESCE(order_status, '<null>')) FROM b),
-    x AS (SELECT s, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount, CAST(SUM({HALVES}) AS VARCHAR) AS c FROM h GROUP BY s), gone AS (SELECT COUNT(*) AS k FROM ord WHERE order_id NOT IN (SELECT order_id FROM b))
-    SELECT 'changed' AS load, a.n AS source_rows, a.amount AS source_amount, a.c AS source_checksum, b.n AS target_rows, b.amount AS target_amount, b.c AS target_checksum, k AS missing_keys, 0::BIGINT AS extra_keys, false AS equal FROM x a, x b, gone WHERE a.s = 'a' AND b.s = 'b'
-    UNION ALL SELECT 'same', n, amount, c, n, amount, c, 0, 0, true FROM x WHERE s = 'a'""")
+    x AS (SELECT COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount, CAST({checksum_sql('order_id', 'order_status')} AS VARCHAR) AS c FROM ord), y AS (SELECT COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount, CAST({checksum_sql('order_id', 'order_status')} AS VARCHAR) AS c FROM b),
+    k AS (SELECT COUNT(*) FILTER (WHERE b.order_id IS NULL) AS gone, COUNT(*) FILTER (WHERE b.order_id IS NOT NULL AND b.order_status IS DISTINCT FROM ord.order_status) AS other FROM ord LEFT JOIN b USING (order_id))
+    SELECT 'changed' AS load, x.n AS source_rows, x.amount AS source_amount, x.c AS source_checksum, y.n AS target_rows, y.amount AS target_amount, y.c AS target_checksum, gone AS missing_keys, 0::BIGINT AS extra_keys, other AS differing_keys, false AS equal FROM x, y, k
+    UNION ALL SELECT 'same', n, amount, c, n, amount, c, 0, 0, 0, true FROM x""")
 def reconcile(t: Tables):
     changed = F.nullif(F.when(F.col("priority") == "1-URGENT", "P").otherwise(F.col("order_status")), F.lit("O"))
     reloaded = t.orders.filter("amount > 5000").select("order_id", "amount", changed.alias("order_status"))
@@ -116,6 +126,18 @@ def reconcile(t: Tables):
     return one.unionByName(same)
 
 
+@query("q9_exchanged_values", "ord", """WITH e AS (SELECT customer_id, MIN(order_id) AS lo, MAX(order_id) AS hi FROM ord GROUP BY 1), p AS (SELECT lo AS order_id, hi AS other FROM e WHERE lo < hi UNION ALL SELECT hi, lo FROM e WHERE lo < hi),
+    x AS (SELECT COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount FROM ord)
+    SELECT n AS source_rows, n AS target_rows, amount AS source_amount, amount AS target_amount, 0::BIGINT AS missing_keys, 0::BIGINT AS extra_keys, (SELECT COUNT(*) FROM p JOIN ord a USING (order_id) JOIN ord b ON b.order_id = p.other WHERE a.amount <> b.amount) AS differing_keys, false AS equal FROM x""")
+def exchanged_values(t: Tables):
+    """The first and last order of every customer exchange their amounts: all totals agree, the keys do not."""
+    ends = t.orders.groupBy("customer_id").agg(F.min("order_id").alias("lo"), F.max("order_id").alias("hi"),
+                                               F.min_by("amount", "order_id").alias("first"), F.max_by("amount", "order_id").alias("last"))
+    swapped = F.when(F.col("order_id") == F.col("lo"), F.col("last")).when(F.col("order_id") == F.col("hi"), F.col("first")).otherwise(F.col("amount"))
+    loaded = t.orders.join(ends, "customer_id").select("order_id", swapped.alias("amount"))
+    return Q.reconcile(t.orders, loaded, ["order_id"], ["amount"], ["order_id"]).drop("source_checksum", "target_checksum")
+
+
 @query("q10_grain", "ord item", """SELECT 'orders' AS table_name, COUNT(*) AS rows_count, COUNT(DISTINCT order_id) AS unique_keys, COUNT(*) = COUNT(DISTINCT order_id) AS grain_is_unique FROM ord
     UNION ALL SELECT 'items', COUNT(*), COUNT(DISTINCT (order_id, item_id)), COUNT(*) = COUNT(DISTINCT (order_id, item_id)) FROM item""")
 def grain(t: Tables):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularium.catalog.quality_queries import HALVES
+from tabularium.catalog.quality_queries import checksum_sql
 from tabularium.catalog.registry import query
 from tabularium.operators.projection import between_half_open
 from tabularium.operators.quality import text_checksum
@@ -204,8 +204,7 @@ def file_profile(t: Tables):
                         F.col("largest_share").between(1 / F.col("file_count"), F.lit(1.0)).alias("share_is_a_share"))
 
 
-@query("io17_compaction", "item", f"""SELECT CAST(SUM({HALVES}) AS VARCHAR) AS checksum, COUNT(*) AS rows_count, true AS fewer_files
-    FROM (SELECT md5(CAST(order_id AS VARCHAR) || '|' || item_id || '|' || product_id) AS m FROM item)""")
+@query("io17_compaction", "item", f"""SELECT CAST({checksum_sql('order_id', 'item_id', 'product_id')} AS VARCHAR) AS checksum, COUNT(*) AS rows_count, true AS fewer_files FROM item""")
 def compaction(t: Tables):
     many, few = scratch_path(t.spark, "many"), scratch_path(t.spark, "few")
     t.items.select("order_id", "item_id", "product_id", "price").repartition("order_id", "item_id").write.option("maxRecordsPerFile", 1000).parquet(many)

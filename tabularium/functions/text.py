@@ -68,3 +68,9 @@ def row_hash(*cols: Column, null_text: str | None = None) -> Column:
     if null_text is not None:
         texts = [F.coalesce(c, F.lit(null_text)) for c in texts]
     return F.md5(F.concat_ws("|", *texts))
+
+
+def row_text(*cols: Column) -> Column:
+    """A text that tells any two rows apart: every field with its length in front, `-` for NULL."""
+    fields = [c.cast("string") for c in cols]
+    return F.concat(*[F.coalesce(F.concat(F.length(f).cast("string"), F.lit(":"), f), F.lit("-")) for f in fields])

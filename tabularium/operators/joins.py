@@ -104,6 +104,62 @@ def join_cardinality(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key).withColumn("joined_rows", F.col("left_rows") * F.col("right_rows"))
 
 
+LEVELS = 40  # halvings of the segments of one key: room for 2**40 of them
+
+
+def disjoint_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str, attrs: Sequence[str],
+                      max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
+    """Versions cut so that at most one is valid at any time: of several, the one that began last; then the longer one.
+
+    Keys whose versions follow each other stay as they are. For the others every start and end is a cut, and the pieces
+    between cuts are numbered per key. A version covers a run of pieces, which is put together from at most two dyadic
+    blocks per level; per block the best version is kept, and a piece takes the best of the blocks it lies in. So a key
+    with m versions costs m log m rows that are folded by (key, block), never all of its rows in one task. Versions that
+    end before they begin, and NULL keys or starts, are left out.
+    """
+    end = F.col(valid_to)
+    own = dim.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull() & (end.isNull() | (end > F.col(valid_from))))
+    own = own.select(key, valid_from, valid_to, *[a for a in attrs if a not in (key, valid_from, valid_to)])
+    order = [F.col(valid_from).asc(), end.asc_nulls_last()]
+    following = ordered.scan(own.select(key, valid_from, valid_to), [key], order, ordered.lead("_next", F.col(valid_from)), max_group=max_group)
+    crossed = written(following.filter(F.col("_next").isNotNull() & (end.isNull() | (F.col("_next") < end))).select(key).distinct(), "crossed-keys")
+    if not crossed.limit(1).count():
+        return own
+
+    plain, rest = own.join(crossed, key, "left_anti"), own.join(crossed, key, "left_semi")
+    cuts = rest.select(key, F.explode(F.array_distinct(F.array_compact(F.array(valid_from, valid_to)))).alias("_at")).distinct()
+    pieces = ordered.scan(cuts, [key], [F.col("_at").asc()], ordered.row_number("_n"), ordered.lead("_until", F.col("_at")), max_group=max_group)
+    pieces = written(pieces.select(key, "_at", "_until", (F.col("_n") - 1).alias("_n")), "pieces")
+    size = pieces.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_size"))
+
+    best = F.struct(F.col(valid_from).alias("at"), end.isNull().alias("open"), end.alias("until"), F.xxhash64(*attrs).alias("tie"))
+    runs = rest.select(key, best.alias("_best"), F.struct(*attrs).alias("_attrs"))
+    first, last = [pieces.select(F.col(key).alias(f"_k{i}"), F.col("_at").alias(f"_at{i}"), F.col("_n").alias(f"_n{i}")) for i in (0, 1)]
+    runs = runs.join(first, (F.col(key) == F.col("_k0")) & (F.col("_best.at") == F.col("_at0")))
+    runs = runs.join(last, (F.col(key) == F.col("_k1")) & (F.col("_best.until") == F.col("_at1")), "left")
+    runs = runs.join(size, F.col(key) == F.col("_k")).withColumn("_hi", F.coalesce("_n1", "_size"))
+
+    def blocks(level: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        low, high = (F.call_function("shiftright", c, level) for c in (F.col("_n0") + step - 1, F.col("_hi")))
+        left, right = (low < high) & (low % 2 == 1), (low < high) & (high % 2 == 1)
+        return F.array_compact(F.array(
+            F.when(left, F.struct(level.alias("level"), low.alias("block"))),
+            F.when(right, F.struct(level.alias("level"), (high - 1).alias("block")))))
+
+    levels = F.sequence(F.lit(0), F.lit(LEVELS))
+    covered = runs.select(key, "_best", "_attrs", F.inline(F.flatten(F.transform(levels, blocks))))
+    covered = covered.groupBy(key, "level", "block").agg(F.max("_best").alias("_best"), F.max_by("_attrs", "_best").alias("_attrs"))
+
+    up = F.sequence(F.lit(0), F.least(F.ceil(F.log2(F.col("_size"))).cast("int") + 1, F.lit(LEVELS)))
+    chains = pieces.join(size, F.col(key) == F.col("_k")).select(key, "_at", "_until", "_n", F.explode(up).alias("level"))
+    chains = chains.withColumn("block", F.expr("shiftright(_n, level)"))
+    won = chains.join(covered, [key, "level", "block"]).groupBy(key, "_at", "_until").agg(F.max_by("_attrs", "_best").alias("_attrs"))
+    cut = won.select(F.col(key), F.col("_at").alias(valid_from), F.col("_until").alias(valid_to),
+                     *[F.col("_attrs")[a].alias(a) for a in own.columns if a not in (key, valid_from, valid_to)])
+    return plain.unionByName(cut)
+
+
 def asof_join(fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: str, valid_to: str | None,
               attrs: Sequence[str], tie: Sequence[str], how: str = "inner",
               max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
@@ -111,13 +167,15 @@ def asof_join(fact: DataFrame, dim: DataFrame, key: str, at: str, valid_from: st
 
     Facts and versions are put in one time order per key and the last version is carried
     forward, so a key with many facts and many versions gives no pairs. `tie` identifies a
-    fact among those of one key and time. A NULL key matches nothing. Versions of a key must
-    not overlap; of versions with the same start the one that lasts longest counts.
+    fact among those of one key and time. A NULL key matches nothing. Where versions of a key
+    overlap, the one that began last counts, and the longer of two that began together.
     """
-    if valid_to is None:
-        until = F.lit(None).cast(dim.schema[valid_from].dataType)
-    else:
+    if valid_to is not None:
+        own = dim.select(*dict.fromkeys([key, valid_from, valid_to, *attrs]))
+        dim = disjoint_versions(own, key, valid_from, valid_to, list(attrs), max_group)
         until = F.col(valid_to)
+    else:
+        until = F.lit(None).cast(dim.schema[valid_from].dataType)
     version = F.struct(until.alias("until"), *attrs)
     facts = fact.select(
         F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(1).alias("_kind"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.functions import timeops
-from tabularium.functions.text import row_hash
+from tabularium.functions.text import row_text
 from tabularium.operators import ordered
 from tabularium.operators.grouping import topn_per_group
 
@@ -37,33 +37,50 @@ def not_in(col: str, domain: Sequence) -> Column:
     return ~F.col(col).isin(*domain)
 
 
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value, n) for all columns from one scan and one shuffle.
+
+    `value` is the text and what orders it: numbers, times and booleans by size, texts by text. A row becomes one pair
+    per column, and equal pairs are folded before the shuffle.
+    """
+    def pair(name: str) -> Column:
+        kind, value = df.schema[name].dataType, F.col(name)
+        number = F.lit(None).cast("decimal(38,10)")
+        if isinstance(kind, (T.IntegralType, T.DecimalType)):
+            number = value.cast("decimal(38,10)")
+        elif isinstance(kind, T.BooleanType):
+            number = value.cast("int").cast("decimal(38,10)")
+        elif isinstance(kind, T.DateType):
+            number = F.unix_date(value).cast("decimal(38,10)")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            number = F.unix_micros(value.cast("timestamp")).cast("decimal(38,10)")
+        real = value.cast("double") if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else F.lit(None).cast("double")
+        text = value.cast("string")
+        return F.struct(F.lit(name).alias("column_name"), F.when(value.isNotNull(), F.struct(
+            number.alias("number"), real.alias("real"), text.alias("text"))).alias("value"))
+
+    return df.select(F.inline(F.array(*[pair(c) for c in cols]))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: rows, nulls, distinct values, bounds, longest text, most frequent value.
 
-    Each column is folded to value counts first; the figures come from the counts. A scan
-    reads one column at a time.
+    All columns are folded to value counts in one pass; the figures come from the counts.
     """
-    def one(name: str) -> DataFrame:
-        value = F.col(name)
-        counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
-        top = F.min_by(value, F.when(value.isNotNull(), F.struct(-F.col("_n"), value)))
-        return counts.agg(
-            F.sum("_n").alias("rows_count"), F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), F.lit(0)).alias("nulls"),
-            F.count(value).alias("distinct_values"), F.min(value).cast("string").alias("lowest"),
-            F.max(value).cast("string").alias("highest"), F.max(F.length(value.cast("string"))).cast("long").alias("longest"),
-            top.cast("string").alias("top_value"), F.max(F.when(value.isNotNull(), F.col("_n"))).alias("top_rows"),
-        ).select(F.lit(name).alias("column_name"), "*")
-
-    return reduce(lambda a, b: a.unionByName(b), [one(c) for c in cols])
+    value, text = F.col("value"), F.col("value.text")
+    top = F.min_by(text, F.when(value.isNotNull(), F.struct(-F.col("n"), value)))
+    return value_counts(df, cols).groupBy("column_name").agg(
+        F.sum("n").alias("rows_count"), F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count(value).alias("distinct_values"), F.min(value)["text"].alias("lowest"), F.max(value)["text"].alias("highest"),
+        F.max(F.length(text)).cast("long").alias("longest"), top.alias("top_value"),
+        F.max(F.when(value.isNotNull(), F.col("n"))).alias("top_rows"))
 
 
 def frequent_values(df: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
-    """The `n` most frequent values of each column."""
-    def one(name: str) -> DataFrame:
-        counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("rows_count")).orderBy(F.col("rows_count").desc(), name).limit(n)
-        return counts.select(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value"), "rows_count")
-
-    return reduce(lambda a, b: a.unionByName(b), [one(c) for c in cols])
+    """The `n` most frequent values of each column, ties to the smaller one; NULL counts as a value."""
+    order = [F.col("n").desc(), F.col("value").asc_nulls_first()]
+    best = topn_per_group(value_counts(df, cols), ["column_name"], order, n)
+    return best.select("column_name", F.col("value.text").alias("value"), F.col("n").alias("rows_count"))
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,9 +134,9 @@ def checksum(*cols: Column) -> Column:
 def text_hash(*cols: Column) -> Column:
     """Both 64-bit halves of md5 over the row text, added: a hash that other engines can repeat.
 
-    NULL has a text of its own, so that a NULL that moves to another column changes the hash.
+    No two rows share a row text: a value or NULL that moves to another column, or a field boundary that moves, changes it.
     """
-    digest = row_hash(*cols, null_text="<null>")
+    digest = F.md5(row_text(*cols))
     halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
     return halves[0] + halves[1]
 
@@ -130,9 +147,10 @@ def text_checksum(*cols: Column) -> Column:
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], sums: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    """One row: counts, keys missing or extra in `b`, sums and checksums of both sides; `equal` if all agree.
+    """One row: counts, sums and checksums of both sides; keys missing, extra or differing in `b`; `equal` without any.
 
-    Both sides are folded per key in one grouping, then over the keys.
+    Both sides are folded per key in one grouping and compared there: values that two keys exchange leave every total as
+    it was. The rows of a key are compared as a set with repeats, by the sum of their hashes.
     """
     cols = list(dict.fromkeys([*keys, *sums, *texts]))
     both = a.select(*cols, F.lit("source").alias("_side")).unionByName(b.select(*cols, F.lit("target").alias("_side")))
@@ -146,14 +164,16 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str], sums: Sequence[st
         *[F.count_if(F.col("_side") == s).alias(f"{s}_rows") for s in sides],
         *[of(s, F.col(c)).alias(f"{s}_{c}") for s in sides for c in sums],
         *[of(s, F.col("_hash").cast("decimal(38,0)")).alias(f"{s}_checksum") for s in sides])
+    figures = ["rows", "checksum", *sums]
+    alike = reduce(lambda a, b: a & b, [F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in figures])
+    both_sides = (F.col("source_rows") > 0) & (F.col("target_rows") > 0)
     one = per_key.agg(
         *[F.coalesce(F.sum(f"{s}_rows"), F.lit(0)).alias(f"{s}_rows") for s in sides],
         *[F.sum(f"{s}_{c}").cast("double").alias(f"{s}_{c}") for s in sides for c in sums],
         *[F.sum(f"{s}_checksum").cast("string").alias(f"{s}_checksum") for s in sides],
-        F.count_if(F.col("target_rows") == 0).alias("missing_keys"), F.count_if(F.col("source_rows") == 0).alias("extra_keys"))
-    figures = ["rows", "checksum", *sums]
-    same = reduce(lambda a, b: a & b, [F.col(f"source_{c}").eqNullSafe(F.col(f"target_{c}")) for c in figures])
-    return one.withColumn("equal", same & (F.col("missing_keys") == 0) & (F.col("extra_keys") == 0))
+        F.count_if(F.col("target_rows") == 0).alias("missing_keys"), F.count_if(F.col("source_rows") == 0).alias("extra_keys"),
+        F.count_if(both_sides & ~alike).alias("differing_keys"))
+    return one.withColumn("equal", (F.col("missing_keys") == 0) & (F.col("extra_keys") == 0) & (F.col("differing_keys") == 0))
 
 
 def grain(df: DataFrame, keys: Sequence[str]) -> DataFrame:

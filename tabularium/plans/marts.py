@@ -125,6 +125,26 @@ def scd2_history(changes: DataFrame, key: str, attrs: Sequence[str], at: str, ti
     return spans.select(key, *attrs, F.col(at).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 
+def scd2_late(dim: DataFrame, seen: DataFrame, arrived: DataFrame, key: str, attrs: Sequence[str], at: str, tie: Sequence[str],
+              max_group: int = ordered.MAX_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(versions, log) after changes that may be dated before versions already there.
+
+    `seen` is the log of all changes so far, each kept although its attributes repeat the version before: a late change
+    that falls between two equal ones splits their version, and the second of them starts a version again. Only the
+    histories of keys that arrived are built anew, from their part of the log; other keys keep their versions. In any
+    order of arrival the result is `scd2_history` of the whole log, and rows that arrive again change nothing.
+    """
+    columns = list(dict.fromkeys([key, *attrs, at, *tie]))
+    keys = arrived.select(F.col(key).alias("_k")).distinct()
+    touched = F.col(key).eqNullSafe(F.col("_k"))
+    fresh = arrived.select(*columns).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in columns])
+    known = seen.join(keys, touched, "left_semi").select(*[F.col(c).alias(f"_s_{c}") for c in columns])
+    log = written(seen.select(*columns).unionByName(fresh.join(known, same, "left_anti")), "change-log")
+    built = scd2_history(log.join(keys, touched, "left_semi"), key, attrs, at, tie, max_group)
+    return dim.join(keys, touched, "left_anti").select(built.columns).unionByName(built), log
+
+
 # ---- summaries -------------------------------------------------------------------------
 
 def customer_segments(customers: DataFrame, summary: DataFrame, key: str) -> DataFrame:

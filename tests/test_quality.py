@@ -105,3 +105,30 @@ def test_reconciliation_sees_moved_nulls_and_sums(spark):
     def equal(other):
         return Q.reconcile(a, other, ["k"], ["amount"], ["p", "q"]).first()["equal"]
     assert equal(a) and not equal(b) and not equal(c)
+
+
+@pytest.mark.parametrize("source,target", [
+    ([(1, "a", "b", 5), (2, "c", "d", 7)], [(1, "a", "b", 7), (2, "c", "d", 5)]),  # amounts exchanged between keys
+    ([(1, "a", "b", 5), (2, "c", "d", 5)], [(1, "c", "d", 5), (2, "a", "b", 5)]),  # texts exchanged between keys
+    ([(1, "a|b", "c", 5)], [(1, "a", "b|c", 5)]), ([(1, None, "c", 5)], [(1, "<null>", "c", 5)]), ([(1, "-", None, 5)], [(1, None, "-", 5)]),
+    ([(1, "1:a", "", 5)], [(1, "1:a1:", "", 5)]), ([(1, "a", "b", 5)] * 2, [(1, "a", "b", 5), (1, "a", "c", 5)])])
+def test_reconciliation_compares_per_key(spark, source, target):
+    ddl = "k int, p string, q string, amount int"
+    a, b = spark.createDataFrame(source, ddl), spark.createDataFrame(target, ddl)
+    got = Q.reconcile(a, b, ["k"], ["amount"], ["p", "q"]).first()
+    assert not got["equal"] and got["differing_keys"] > 0 and got["missing_keys"] == got["extra_keys"] == 0
+    assert Q.reconcile(b, b.repartition(3), ["k"], ["amount"], ["p", "q"]).first()["equal"]
+
+
+def test_profile_orders_values_by_type_in_one_pass(spark):
+    df = spark.sql("""SELECT * FROM VALUES (10, 2.5D, '10', DATE'2024-02-01', true, 1.10), (9, -1e30D, '9', DATE'1999-12-31', false, 20.00), (9, NULL, NULL, NULL, NULL, NULL),
+        (-9223372036854775808, double('nan'), 'x', DATE'2024-02-01', true, 3.00) AS t(i, d, s, day, b, m)""")
+    got = {r["column_name"]: r for r in Q.profile(df, df.columns).collect()}
+    assert [(got[c]["lowest"], got[c]["highest"]) for c in df.columns] == [
+        ("-9223372036854775808", "10"), ("-1.0E30", "NaN"), ("10", "x"), ("1999-12-31", "2024-02-01"), ("false", "true"), ("1.10", "20.00")]
+    assert got["i"]["top_value"] == "9" and got["day"]["top_rows"] == 2 and got["s"]["nulls"] == 1 and got["i"]["distinct_values"] == 3
+    plan = Q.profile(df, df.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LocalTableScan") == 1 and plan.count("hashpartitioning") == 2
+    assert Q.profile(df.limit(0), ["i"]).count() == 0
+    top = {(r["column_name"], r["value"]) for r in Q.frequent_values(df, ["i", "s"], 1).collect()}
+    assert top == {("i", "9"), ("s", None)}
