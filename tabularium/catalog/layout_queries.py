@@ -49,6 +49,20 @@ def skew_profile(t: Tables):
     return layout.skew(parts).withColumn("max_over_avg", F.round("max_over_avg", 6)).withColumn("skew_pct", F.round("skew_pct", 6))
 
 
+@query("o5_real_partitions", "item", """SELECT 'by order' AS placement, 16::BIGINT AS parts, COUNT(*) AS rows_count, true AS forecast_holds, 'even' AS verdict FROM item
+    UNION ALL SELECT 'by flag', 16, COUNT(*), true, 'skewed' FROM item""")
+def real_partitions(t: Tables):
+    """Rows of each of Spark's partitions, after placing and as forecast from key counts; few flags leave most parts empty."""
+    out = []
+    for label, key in (("by order", "order_id"), ("by flag", "flag")):
+        placed = layout.partition_rows(t.items.select(key).repartition(16, key))
+        both = layout.hash_parts(t.items, [key], 16).join(placed.withColumnRenamed("rows_count", "placed"), "part_no", "left").na.fill({"placed": 0})
+        measured = both.agg(F.count(F.lit(1)).alias("parts"), F.sum("placed").alias("rows_count"), F.bool_and(F.col("placed") == F.col("rows_count")).alias("forecast_holds"),
+                            F.when(F.max("placed") > 2 * F.avg("placed"), "skewed").otherwise("even").alias("verdict"))
+        out.append(measured.select(F.lit(label).alias("placement"), "*"))
+    return out[0].unionByName(out[1])
+
+
 @query("o6_compare_keys", "item", " UNION ALL ".join(f"""SELECT '{k}' AS candidate, COUNT(*) AS distinct_keys, ROUND(MAX(n) / SUM(n), 9) AS hottest_share,
     CASE WHEN COUNT(*) < 16 THEN 'too few values' WHEN MAX(n) * 16 > 1.5 * SUM(n) THEN 'skewed' ELSE 'even' END AS verdict FROM (SELECT COUNT(*) AS n FROM item GROUP BY {k})""" for k in ("order_id", "product_id", "flag", "product_id,seller_id")))
 def compare_keys(t: Tables):

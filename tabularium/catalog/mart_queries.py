@@ -227,13 +227,10 @@ def order_finance(t: Tables):
         dbl("freight_value").alias("freight_value"), dbl("payment_value").alias("payment_value"), "delivered_late")
 
 
-@query("m12_customer_segments", "ord cust", """WITH s AS (SELECT customer_id, COUNT(order_id) AS orders_count, COALESCE(CAST(SUM(amount) AS DOUBLE), 0.0) AS lifetime_value FROM cust LEFT JOIN (SELECT * FROM ord WHERE customer_id % 10 <> 3) USING (customer_id) GROUP BY 1)
+@query("m12_customer_segments", "ord cust", """WITH s AS (SELECT customer_id, COUNT(order_id) AS orders_count, COALESCE(CAST(SUM(amount) AS DOUBLE), 0.0) AS lifetime_value FROM cust LEFT JOIN ord USING (customer_id) GROUP BY 1)
     SELECT *, CASE orders_count WHEN 0 THEN 'unknown' ELSE CASE WHEN lifetime_value = (SELECT MAX(lifetime_value) FROM s) THEN 'VIP' WHEN orders_count = 1 THEN 'regular' ELSE 'loyal' END END AS segment FROM s""")
 def segments(t: Tables):
-    # every order counts; the orders of a tenth of the customers belong to nobody
-    owner = F.when(F.pmod("customer_id", F.lit(10)) != 3, F.col("customer_id"))
-    summary = t.orders.groupBy(owner.alias("customer_id")).agg(F.count(F.lit(1)).alias("orders_count"), F.sum("amount").alias("lifetime_value"))
-    summary = summary.filter(F.col("customer_id").isNotNull())
+    summary = t.orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders_count"), F.sum("amount").alias("lifetime_value"))
     return M.customer_segments(t.customers, summary, "customer_id")
 
 
@@ -283,7 +280,25 @@ def listing_marts(t: Tables):
     stats = rows.groupBy("category").agg(
         F.count(F.lit(1)).alias("listings"), F.countDistinct("seller_id").alias("sellers"), dbl(F.min("price")).alias("min_price"), dbl(F.max("price")).alias("max_price"),
         (dbl(F.sum("price")) / F.count(F.lit(1))).alias("avg_price"), (dbl(F.count_if(F.col("freight") == 0)) / F.count(F.lit(1))).alias("free_shipping_share"))
-    return stats.join(exact_percentile(rows, ["category"], "price", 0.5, "median_price"), "category")
+    median = exact_percentile(rows, ["category"], "price", 0.5, "median_price").withColumnRenamed("category", "_c")
+    return stats.join(median, F.col("category").eqNullSafe(F.col("_c")), "left").drop("_c")  # listings without a category are one too
+
+
+@query("m16_normalised_prices", "item prod", """WITH r AS (SELECT flag AS currency, starts, CAST(1 + (CAST(strftime(starts, '%Y') AS INTEGER) * 4 + quarter(starts)) % 9 * 0.05 + ascii(flag) % 5 * 0.1 AS DECIMAL(9,4)) AS rate FROM (SELECT DISTINCT flag, date_trunc('quarter', shipped_at) AS starts FROM item) WHERE flag <> 'N'),
+    x AS (SELECT p.category, i.price, i.flag, CASE WHEN flag = 'N' THEN CAST(1 AS DECIMAL(9,4)) ELSE (SELECT rate FROM r WHERE r.currency = i.flag AND r.starts = date_trunc('quarter', i.shipped_at)) END AS rate FROM item i JOIN prod p USING (product_id))
+    SELECT category, flag AS currency, COUNT(*) AS listings, CAST(SUM(price) AS DOUBLE) AS listed, CAST(SUM(ROUND(price * rate, 2)) AS DOUBLE) AS normalised FROM x GROUP BY 1, 2""")
+def normalised_prices(t: Tables):
+    """Listing prices in one currency, by the rate that held on the day; a rate holds until the next one of its currency."""
+    rows = t.items.select("product_id", "order_id", "item_id", "seller_id", "price", "quantity", "freight", "shipped_at", F.col("flag").alias("currency"))
+    rows = rows.join(t.products.select("product_id", "category"), "product_id")
+    starts = F.date_trunc("quarter", "shipped_at").cast("timestamp_ntz")
+    step = F.pmod(F.year("starts") * 4 + F.quarter("starts"), F.lit(9)) * F.lit("0.05").cast("decimal(3,2)")
+    rates = (t.items.filter("flag <> 'N'").select(F.col("flag").alias("currency"), starts.alias("starts")).distinct()
+             .withColumn("rate", (1 + step + F.ascii("currency") % 5 * F.lit("0.1").cast("decimal(2,1)")).cast("decimal(9,4)")))
+    priced = M.normalised(rows, rates, "price", "currency", "shipped_at", "starts", "N",
+                          ["order_id", "item_id", "product_id", "seller_id", "price", "quantity", "freight"])
+    return priced.groupBy("category", "currency").agg(F.count(F.lit(1)).alias("listings"), dbl(F.sum("price")).alias("listed"),
+                                                      dbl(F.sum("price_normalised")).alias("normalised"))
 
 
 @query("m16_seller_mart", "item seller", """SELECT s.seller_id, s.state, COUNT(i.order_id) AS listings, CAST(SUM(i.price) AS DOUBLE) AS revenue, CAST(COUNT(*) FILTER (WHERE i.freight = 0) AS DOUBLE) / COUNT(*) AS free_shipping_share FROM seller s JOIN item i USING (seller_id) GROUP BY 1, 2""")
@@ -325,10 +340,15 @@ def mart_catalog(t: Tables):
     p AS (SELECT DISTINCT order_id, seller_id FROM item) SELECT p.order_id, p.seller_id, CAST(f.payment_value AS DOUBLE) AS order_total, r.seller_rank, s.state_orders, date_diff('day', f.purchased_at, f.delivered_at) AS delivery_days
     FROM p JOIN fin f USING (order_id) JOIN cust c USING (customer_id) JOIN s USING (state) JOIN r USING (seller_id)""")
 def enrichment(t: Tables):
-    placed = t.finance.join(t.customers.select("customer_id", "state"), "customer_id")
-    states = placed.groupBy("state").agg(F.count(F.lit(1)).alias("state_orders"))
-    rows = t.items.select("order_id", "seller_id").distinct().join(placed, "order_id").join(states, "state")
-    return rows.join(M.seller_ranks(t.items).select("seller_id", "seller_rank"), "seller_id").select(
+    # both sides are read twice, items and orders once: sums per order and seller serve ranks and orders
+    sold = written(t.items.groupBy("order_id", "seller_id").agg(F.sum("price").alias("price"), F.sum("freight").alias("freight"),
+                                                                F.max("shipped_at").alias("shipped_at")), "sold")
+    totals = sold.groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight")).alias("payment_value"), F.max("shipped_at").alias("delivered_at"))
+    orders = t.orders.select("order_id", "customer_id", "purchased_at").join(t.customers.select("customer_id", "state"), "customer_id")
+    placed = written(orders.join(totals, "order_id", "left"), "placed")
+    states = placed.groupBy(F.col("state").alias("_s")).agg(F.count(F.lit(1)).alias("state_orders"))
+    rows = sold.select("order_id", "seller_id").join(placed, "order_id").join(states, F.col("state").eqNullSafe(F.col("_s")))
+    return rows.join(M.seller_ranks(sold).select("seller_id", "seller_rank"), "seller_id").select(
         "order_id", "seller_id", dbl("payment_value").alias("order_total"), "seller_rank", "state_orders",
         timeops.calendar_days(F.col("delivered_at"), F.col("purchased_at")).alias("delivery_days"))
 

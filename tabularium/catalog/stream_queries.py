@@ -81,7 +81,7 @@ def idempotent_sink(t: Tables):
     for put in puts:
         put()
         valid = ST.clean_events(ST.source(t.spark, src, rows.schema)).filter("is_valid").drop("is_valid", "email")
-        out = ST.upsert_stream(valid, target, checkpoint, "id", [F.col("event_date").asc(), F.col("user_name").asc()])
+        out = ST.upsert_stream(valid, target, checkpoint, "id", ["event_date", "user_name"])
     return out.withColumn("age", lng("age"))
 
 

@@ -11,11 +11,11 @@ from tabularium.functions import udfs
 from tabularium.tables import Tables, dbl
 
 
-@query("x1_sql_function", "item", """SELECT order_id, item_id, product_id, seller_id, CAST(ROUND(price * CAST(1.2 AS DECIMAL(3,1)), 2) AS DOUBLE) AS with_tax, 'order ' || order_id AS label FROM item""")
+@query("x1_sql_function", "item", """SELECT order_id, item_id, product_id, seller_id, CAST(ROUND(price * CAST(1.2 AS DECIMAL(3,1)), 2) AS DOUBLE) AS with_tax, printf('%s-%010d', flag, order_id) AS label FROM item""")
 def sql_function(t: Tables):
     udfs.create_sql_functions(t.spark)
     return t.items.select("order_id", "item_id", "product_id", "seller_id", dbl(F.expr("gross_price(price, 20)")).alias("with_tax"),
-                          F.expr("joined_name('  order ', cast(order_id AS string))").alias("label"))
+                          F.expr("order_label(flag, order_id)").alias("label"))
 
 
 @query("x2_table_function", "item", """SELECT product_id, COUNT(*) AS items_count, CAST(SUM(quantity) AS BIGINT) AS pieces FROM item WHERE quantity BETWEEN 10 AND 20 GROUP BY product_id""")
@@ -28,9 +28,9 @@ def table_function(t: Tables):
     return t.spark.sql(f"SELECT * FROM {name}(10)")
 
 
-@query("x3_vectorised_function", "", """SELECT doc_id, strip_accents(substr(text, 1, 40)) AS folded FROM documents WHERE lang <> 'de'""")
+@query("x3_vectorised_function", "", """SELECT doc_id, strip_accents(text) AS folded FROM documents""")
 def vectorised_function(t: Tables):
-    return t.raw("documents").filter("lang <> 'de'").select("doc_id", udfs.folded_letters(F.substring("text", 1, 40)).alias("folded"))
+    return t.raw("documents").select("doc_id", udfs.folded_letters("text").alias("folded"))
 
 
 @query("x3_whole_documents", "", """SELECT doc_id, CAST(length(strip_accents(text)) AS BIGINT) AS n_chars, sha256(strip_accents(text)) AS folded_sha256 FROM documents""")

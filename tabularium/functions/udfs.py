@@ -7,10 +7,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# name -> parameters, result type, and the column expression of tabularium.functions.text it stands for
+# name -> parameters, result type, body
 _DEC = "DECIMAL(18,2)"
 SQL_FUNCTIONS = {
-    "joined_name": ("given STRING, family STRING", "STRING", "concat_ws(' ', nullif(btrim(given), ''), nullif(btrim(family), ''))"),
+    "order_label": ("kind STRING, number BIGINT", "STRING", "upper(left(kind, 1)) || '-' || lpad(CAST(number AS STRING), 10, '0')"),
     "gross_price": (f"net {_DEC}, percent DECIMAL(9,4)", _DEC, "round(net + net * percent / 100, 2)"),
     "relative_change": (f"was {_DEC}, now {_DEC}", _DEC, "CASE WHEN was <> 0 THEN round((now / was - 1) * 100, 2) END"),
 }

@@ -85,9 +85,9 @@ def with_group_agg(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column
 
 
 def collect_ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-                    chunk: int = 1000, max_group: int = ordered.MAX_GROUP_ROWS) -> DataFrame:
+                    chunk: int = 1000, max_group: int = ordered.MAX_GROUP_ROWS, distinct: bool = False) -> DataFrame:
     """Ordered arrays per key, cut in chunks: see `ordered.in_chunks`."""
-    return ordered.in_chunks(df, keys, order, value, name, chunk, max_group)
+    return ordered.in_chunks(df, keys, order, value, name, chunk, max_group, distinct)
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:

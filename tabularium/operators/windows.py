@@ -21,6 +21,18 @@ def ranks(df: DataFrame, value: str, tie: Sequence[str], descending: bool = True
     return rows.join(table, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
+def both_numbers(df: DataFrame, value: str, tie: str, up: str, down: str) -> DataFrame:
+    """Row numbers by rising and by falling `value`, ties by rising `tie` in both, from one placement of the rows.
+
+    With n equal values of which the row is number i, up + down = rows + 1 - n + 2 i - 1.
+    """
+    placed = ordered.sliced(df, [value], [F.col(tie).asc()])
+    rows = ordered.scan_slices(_keep_place(placed, [value], ordered.row_number("_i")), [], ordered.row_number(up))
+    rows = with_group_agg(rows, [value], {"_n": F.count(F.lit(1))})
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return rows.withColumn(down, total - F.col(up) - F.col("_n") + 2 * F.col("_i")).drop("_i", "_n")
+
+
 def ntile(number: Column, total: Column, tiles: int) -> Column:
     """Tile of a 1-based row number: the first `total % tiles` tiles hold one row more."""
     size = F.floor(total / F.lit(tiles))

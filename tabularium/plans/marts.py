@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabularium.operators import ordered
 from tabularium.operators.grouping import topn_per_group, with_group_agg
+from tabularium.operators.joins import asof_join
 from tabularium.operators.quality import dedup_keep, text_checksum
 from tabularium.session import written
 from tabularium.sources import storage
@@ -157,6 +158,17 @@ def customer_segments(customers: DataFrame, summary: DataFrame, key: str) -> Dat
         F.coalesce(F.col("lifetime_value").cast("double"), F.lit(0.0)).alias("lifetime_value"), segment.alias("segment"))
 
 
+def normalised(rows: DataFrame, rates: DataFrame, price: str, currency: str, at: str, starts: str, base: str, tie: Sequence[str]) -> DataFrame:
+    """Rows with `<price>_normalised`: the price times the rate of its currency that holds at `at`, at two digits.
+
+    rates(currency, starts, rate): a rate holds until the next one of its currency. Prices in `base` stay; without a
+    currency or a rate the result is NULL, so that no price is taken for another currency's.
+    """
+    valued = asof_join(rows, rates, currency, at, starts, None, ["rate"], tie, "left")
+    rate = F.when(F.col(currency) == base, F.lit(1).cast("decimal(9,4)")).otherwise(F.col("rate"))
+    return valued.withColumn(f"{price}_normalised", F.round(F.col(price) * rate, 2)).drop("rate")
+
+
 def top_deal(trades: DataFrame) -> DataFrame:
     """The whole trade of greatest value per ticker, day and side; ties go to the earliest, then by ids."""
     order = [F.col("value").desc(), *[F.col(c).asc() for c in ("shipped_at", "order_id", "item_id", "product_id", "seller_id")]]
@@ -294,4 +306,5 @@ def seller_ranks(items: DataFrame) -> DataFrame:
     """Sellers by revenue; equal revenue shares a rank."""
     revenue = items.groupBy("seller_id").agg(F.sum("price").alias("seller_revenue"))
     ranks = ordered.value_ranks(revenue, "seller_revenue", descending=True)
-    return revenue.join(ranks.select("seller_revenue", F.col("value_dense_rank").alias("seller_rank")), "seller_revenue")
+    ranks = ranks.select(F.col("seller_revenue").alias("_r"), F.col("value_dense_rank").alias("seller_rank"))
+    return revenue.join(ranks, F.col("seller_revenue").eqNullSafe(F.col("_r"))).drop("_r")  # sellers without revenue rank last

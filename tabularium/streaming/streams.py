@@ -5,15 +5,15 @@ Event times are TIMESTAMP: watermarks do not take TIMESTAMP_NTZ.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabularium.functions import text
-from tabularium.operators.quality import dedup_keep
 
 # Actions a site event may have
 SITE_ACTIONS = ("login", "logout", "view", "click", "purchase")
@@ -61,23 +61,32 @@ def clean_events(events: DataFrame) -> DataFrame:
     return typed.withColumn("is_valid", valid).drop("_name_length")
 
 
-def upsert_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[Column]) -> DataFrame:
-    """Append only rows whose key the target lacks; a batch that is run again adds nothing."""
+def upsert_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order: Sequence[str]) -> DataFrame:
+    """Append the first batch's smallest row of every key, in `order`; later rows of a key add nothing.
+
+    The stream's keyed state, kept in its checkpoint, knows which keys were there before a batch, so a batch reads nothing
+    of the target however large that is. Each batch has a directory of its own that a repeated batch replaces. A target
+    that other checkpoints wrote (after a lost one, say) is met by its keys as they are at that time, which do not grow.
+    One stream writes at a time. State holds one row per key; for many keys use the RocksDB state store.
+    """
     spark, schema = stream.sparkSession, stream.schema
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("append").parquet(path)  # the target exists before the first batch
-
-    def write(batch: DataFrame, _: int) -> None:
-        rows = dedup_keep(batch, [key], *order).persist()
-        bounds = rows.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-        if bounds["lo"] is not None:
-            # the key range of the batch skips the files of older keys
-            known = batch.sparkSession.read.schema(schema).parquet(path).select(key).filter(F.col(key).between(bounds["lo"], bounds["hi"]))
-            rows.join(known, key, "left_anti").select(schema.names).write.mode("append").parquet(path)
-        rows.unpersist()
-
-    drain_batches(stream, checkpoint, write)
-    return spark.read.schema(schema).parquet(path)
+    run = "c" + hashlib.md5(checkpoint.encode()).hexdigest()[:16]
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/run={run}/batch=none")  # the target exists from the start
+    others = spark.read.schema(schema).parquet(path).filter(F.col("run") != run).select(F.col(key).alias("_known"))
+    has_others = others.limit(1).count() > 0
+
+    best = F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], F.struct(*schema.names).alias("_row")))
+    timed = stream.withColumn("_moment", F.current_timestamp())  # one per batch, also when it is repeated
+    seen = timed.groupBy(F.col(key).alias("_key")).agg(best.alias("_best"), F.min("_moment").alias("_first"), F.max("_moment").alias("_last"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.filter(F.col("_first") == F.col("_last")).select("_best._row.*")
+        if has_others:
+            rows = rows.join(others, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
+        rows.select(schema.names).write.mode("overwrite").parquet(f"{path}/run={run}/batch={number}")
+
+    drain_batches(seen, checkpoint, write, mode="update")
+    return spark.read.schema(schema).parquet(path).select(schema.names)
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

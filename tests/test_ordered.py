@@ -146,3 +146,22 @@ def test_slices_follow_from_the_rows(spark):
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert ordered.slices_for(spark.range(1000), slice_rows=10) == 100
     assert ordered.slices_for(spark.range(10)) == least
+
+
+@pytest.mark.parametrize("chunk,max_group", [(1000, 1_000_000), (3, 1_000_000), (3, 0)])
+def test_distinct_values_stay_at_their_first_place(spark, chunk, max_group):
+    values = {k: [v for _, v in rows] for k, rows in {"a": [(i, f"v{i * 7 % 10}") for i in range(40)], "b": [(0, "x"), (1, None), (2, "x"), (3, None)], None: [(0, "q")]}.items()}
+    df = spark.createDataFrame([(k, i, v) for k, vs in values.items() for i, v in enumerate(vs)], "k string, i int, v string").repartition(5)
+    for distinct in (True, False):
+        out = grouping.collect_ordered(df, ["k"], ["i"], F.col("v"), "vs", chunk, max_group, distinct).collect()
+        got = {}
+        for r in sorted(out, key=lambda r: r["chunk_no"]):
+            assert len(r["vs"]) <= chunk
+            got.setdefault(r["k"], []).extend(r["vs"])
+        assert got == {k: list(dict.fromkeys(vs)) if distinct else vs for k, vs in values.items()}
+
+
+def test_small_keys_are_sorted_once(spark):
+    df = spark.range(100).select((F.col("id") % 9).alias("k"), "id")
+    plan = grouping.collect_ordered(df, ["k"], ["id"], F.col("id"), "ids")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
