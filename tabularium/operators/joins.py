@@ -122,9 +122,10 @@ def disjoint_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str,
     own = own.select(key, valid_from, valid_to, *[a for a in attrs if a not in (key, valid_from, valid_to)])
     order = [F.col(valid_from).asc(), end.asc_nulls_last()]
     following = ordered.scan(own.select(key, valid_from, valid_to), [key], order, ordered.lead("_next", F.col(valid_from)), max_group=max_group)
-    crossed = written(following.filter(F.col("_next").isNotNull() & (end.isNull() | (F.col("_next") < end))).select(key).distinct(), "crossed-keys")
+    crossed = following.filter(F.col("_next").isNotNull() & (end.isNull() | (F.col("_next") < end))).select(key)
     if not crossed.limit(1).count():
         return own
+    crossed = written(crossed.distinct(), "crossed-keys")
 
     plain, rest = own.join(crossed, key, "left_anti"), own.join(crossed, key, "left_semi")
     cuts = rest.select(key, F.explode(F.array_distinct(F.array_compact(F.array(valid_from, valid_to)))).alias("_at")).distinct()
