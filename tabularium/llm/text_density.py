@@ -20,6 +20,7 @@ with their parent. Repeated rows are read alike; an empty table gives an empty r
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -58,6 +59,10 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool, int]] = []
         self.open: list[tuple[str, bool, int, int]] = []  # tag, without content?, region, mark
+        # where in `open` a tag stands, and where blocks and regions do, so that no end tag walks a deep page
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.outer: list[int] = []
         self.marks: list[list] = [[0, False]]  # the mark around it, holds an article or main?
         self.text: list[str] = []
         self.tags = self.regions = 0
@@ -70,7 +75,7 @@ class Lines(HTMLParser):
         self.text, self.tags = [], 0
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p" and any(t == "p" for t, *_ in self.open):
+        if tag == "p":
             self._close("p")
         if tag not in INLINE:
             self._end_line()
@@ -89,6 +94,8 @@ class Lines(HTMLParser):
         if marked:
             self.marks.append([mark, False])
             mark = len(self.marks) - 1
+        for at in (self.places[tag], *([self.blocks] if tag not in INLINE else []), *([self.outer] if tag in REGIONS else [])):
+            at.append(len(self.open))
         self.open.append((tag, hidden or without_content(tag, found), region, mark))
 
     def handle_startendtag(self, tag, attrs):
@@ -97,17 +104,20 @@ class Lines(HTMLParser):
         self.tags += 1
 
     def _close(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name == tag:
-                if any(t not in INLINE for t, *_ in self.open[i:]):
-                    self._end_line()
-                del self.open[i:]
-                return
-            if tag in INLINE and name not in INLINE:
-                return
-            if tag == "p" and name in REGIONS:
-                return
+        """End the last open element of this name and what stands in it; a block keeps an inline tag open, a region a p."""
+        if not self.places[tag]:
+            return
+        place = self.places[tag][-1]
+        if tag in INLINE and self.blocks and self.blocks[-1] > place or tag == "p" and self.outer and self.outer[-1] > place:
+            return
+        if self.blocks and self.blocks[-1] >= place:
+            self._end_line()
+        while len(self.open) > place:
+            name = self.open.pop()[0]
+            self.places[name].pop()
+            for at in (self.blocks, self.outer):
+                if at and at[-1] == len(self.open):
+                    at.pop()
 
     def handle_endtag(self, tag):
         if tag not in INLINE:

@@ -1,5 +1,7 @@
 """Pages of which a class or one long line must not hide the text."""
 
+import time
+
 import pytest
 
 from tabularium.llm.text_density import main_text
@@ -28,3 +30,12 @@ def test_one_long_paragraph_hides_no_short_ones():
     short = [f"Short paragraph {i} of the page." for i in range(12)]
     lines = [*short[:6], "word " * 4000 + "end", *short[6:]]
     assert main_text("<body><div>" + "".join(f"<p>{x}</p>" for x in lines) + "</div></body>") == " ".join(lines)
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>" * 20_000 + "x", "<div>" * 20_000 + "</section>" * 20_000 + "x", "<p><article>" + "<div>" * 20_000 + "<p>t</p>" * 20_000,
+    "<div><p>" * 20_000 + "</div>" * 20_000 + "x", "<b>" * 20_000 + "<div>" + "</b>" * 20_000 + "x", "<div class='ad'>" * 20_000 + "<main>x"])
+def test_deep_pages_take_a_time_in_proportion(page):
+    began = time.process_time()
+    assert isinstance(main_text(page), str)
+    assert time.process_time() - began < 5
