@@ -9,8 +9,11 @@ Queries are a stated set and are set against all rows in blocks: blocks of queri
 blocks and a task takes one pair of blocks at a time. Only pivots and seeds (bounded samples, `PIVOTS` and `SEEDS` rows)
 are collected. Each block of queries starts from the k-th score over the seeds, which is a score of k real candidates.
 
-Edge cases: a vector that is null, or holds a null, non-finite or over-large component (|256 x| >= 2**22, where 64-bit
-scores stop being exact), and a row with a null id take no part. Vectors of different length are not compared. Rows that
+Vectors with a component of |256 x| >= 2**22 (`LARGEST`), beyond which the bounds are not safe in doubles, take a second
+path: candidates whose score in doubles is within its error of the k-th are scored again in whole numbers of any size.
+
+Edge cases: a vector that is null, or holds a null or non-finite component, and a row with a null id take no part.
+Components and scores beyond 64 bits stop at the ends of their range. Vectors of different length are not compared. Rows that
 have the query's id are its own. Repeated rows count once: a (query, candidate, score) is listed once. A query without
 candidates gives no row, as does an empty table. Other columns are ignored.
 """
@@ -32,17 +35,23 @@ SCALE = 256
 LARGEST = 2 ** 22
 
 
-def integer_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id long, dim int, v array<int>) of the rows that take part."""
-    bad = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) >= LARGEST / SCALE))
-    v = F.transform("_v", lambda x: F.floor(x * SCALE).cast("int"))
+def finite_vectors(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id long, _v array<double>, wide boolean) of the rows that take part."""
+    bad = F.exists("_v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    wide = F.exists("_v", lambda x: F.abs(x) >= LARGEST / SCALE)
     return (rows.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("_v"))
-            .filter(F.col("id").isNotNull() & F.col("_v").isNotNull() & ~bad)
-            .select("id", F.size("_v").alias("dim"), v.alias("v")))
+            .filter(F.col("id").isNotNull() & F.col("_v").isNotNull() & ~bad).withColumn("wide", wide))
+
 
+def integers(rows: DataFrame, kind: str) -> DataFrame:
+    """(id, dim int, v) with components as `int` or, held within 63 bits, as `long`."""
+    most = float(1 << 62)
+    v = F.transform("_v", lambda x: F.floor(F.least(F.greatest(x * SCALE, F.lit(-most)), F.lit(most))).cast(kind))
+    return rows.select("id", F.size("_v").alias("dim"), v.alias("v"))
 
-def matrix(column: pa.Array, n: int, dim: int) -> np.ndarray:
-    return np.asarray(column.flatten()).astype(np.int32).reshape(n, dim)
+
+def matrix(column: pa.Array, n: int, dim: int, kind=np.int32) -> np.ndarray:
+    return np.asarray(column.flatten()).astype(kind).reshape(n, dim)
 
 
 def fitted(points: np.ndarray, dim: int) -> np.ndarray:
@@ -69,15 +78,16 @@ def spread(points: np.ndarray, n: int) -> np.ndarray:
     return points[chosen]
 
 
-def blocks(rows: DataFrame, size: int, pivots) -> DataFrame:
-    """Rows of one length packed together with their distances to the pivots."""
+def blocks(rows: DataFrame, size: int, pivots=None) -> DataFrame:
+    """Rows of one length packed together with their distances to the pivots; without pivots, as 64-bit integers."""
+    kind = np.int64 if pivots is None else np.int32
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
         def out(dim: int) -> pa.RecordBatch:
             ids, x = (np.concatenate(c) for c in zip(*held.pop(dim)))
-            table = distances(x, fitted(pivots.value, dim))
+            table = distances(x, fitted(pivots.value, dim)) if pivots is not None else np.empty(0)
             return pa.RecordBatch.from_arrays(
                 [pa.array([dim], pa.int32()), pa.array([ids.tobytes()], pa.binary()),
                  pa.array([x.tobytes()], pa.binary()), pa.array([table.tobytes()], pa.binary())],
@@ -87,7 +97,7 @@ def blocks(rows: DataFrame, size: int, pivots) -> DataFrame:
             dims = np.asarray(batch.column(1))
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                ids, x = np.asarray(part.column(0)), matrix(part.column(2), part.num_rows, dim)
+                ids, x = np.asarray(part.column(0)), matrix(part.column(2), part.num_rows, dim, kind)
                 for i in range(0, len(ids), size):
                     held.setdefault(dim, []).append((ids[i:i + size], x[i:i + size]))
                     if sum(len(p[0]) for p in held[dim]) >= size:
@@ -120,10 +130,46 @@ def best_of(q: np.ndarray, own: int, ids: np.ndarray, x: np.ndarray, bound: np.n
     return best_id[kept], best[kept]
 
 
+def exact_best(own: int, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rough: np.ndarray, slack: float, k: int) -> list[tuple[int, int]]:
+    """(score, id) of the k best candidates; `rough` are scores in doubles, wrong by at most `slack`."""
+    near = np.flatnonzero(ids != own)
+    if len(near) > k and len(np.unique(ids)) == len(ids):
+        near = near[rough[near] >= -np.partition(-rough[near], k - 1)[k - 1] - 2 * slack]
+    query, top = q.tolist(), (1 << 63) - 1
+    found = {(max(-top - 1, min(top, sum(a * b for a, b in zip(query, x[i].tolist())))), int(ids[i])) for i in near}
+    return sorted(found, key=lambda f: (-f[0], f[1]))[:k]
+
+
+def wide_search(asked: DataFrame, held: DataFrame, k: int, slots: int) -> DataFrame:
+    """query_id, id, score as `search` finds them, for components of any size."""
+    asked = blocks(integers(asked, "long"), QUERY_ROWS).select(
+        "dim", "ids", "x", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
+    held = blocks(integers(held, "long"), BLOCK_ROWS).select(
+        "dim", F.col("ids").alias("c_ids"), F.col("x").alias("c_x"), F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int").alias("slot"))
+
+    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, c_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["c_ids"], np.int64)
+                x = np.frombuffer(row["x"], np.int64).reshape(len(ids), row["dim"])
+                c = np.frombuffer(row["c_x"], np.int64).reshape(len(c_ids), row["dim"])
+                c_ids, c = (u := np.unique(np.column_stack([c_ids, c]), axis=0))[:, 0], u[:, 1:]  # repeated rows once
+                near, far = c.astype(np.float64), x.astype(np.float64)
+                longest = np.sqrt((near * near).sum(1)).max()
+                slack = (row["dim"] + 4) * 2.0 ** -51 * longest * np.sqrt((far * far).sum(1))
+                out = [(int(i), n, s) for i, q, f, e in zip(ids, x, far, slack)
+                       for s, n in exact_best(int(i), q, c_ids, c, near @ f, float(e), k)]
+                yield pa.RecordBatch.from_arrays([pa.array([o[j] for o in out], pa.int64()) for j in range(3)], ["query_id", "id", "score"])
+
+    pairs = asked.join(held, ["dim", "slot"]).select("dim", "ids", "x", "c_ids", "c_x")
+    return pairs.mapInArrow(evaluate, "query_id long, id long, score long")
+
+
 def search(rows: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """query_id, rank, id, score: the k highest inner products of every row for which `queries` (over id) holds."""
     spark = rows.sparkSession
-    valid = integer_vectors(rows, id_col, vec_col)
+    finite = finite_vectors(rows, id_col, vec_col)
+    valid = integers(finite.filter("NOT wide"), "int")
     seeds = valid.orderBy(F.xxhash64("id"), "id").limit(SEEDS).collect()  # SEEDS rows
     width = max((r.dim for r in seeds), default=0)
     # ids may be as large as longs are, vectors are doubles: a seed is (id, vector)
@@ -184,6 +230,10 @@ def search(rows: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id",
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(s)], ["query_id", "id", "score"])
 
     found = pairs.mapInArrow(evaluate, "query_id long, id long, score long")
+    wide = finite.filter("wide")
+    if wide.limit(1).count():  # every pair with a wide side
+        asked = finite.filter(queries)
+        found = found.union(wide_search(asked, wide, k, slots)).union(wide_search(asked.filter("wide"), finite.filter("NOT wide"), k, slots))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     return (found.withColumn("rank", F.dense_rank().over(order)).filter(F.col("rank") <= k)
             .groupBy("query_id", "rank", "id", "score").agg(F.lit(1).alias("_")).drop("_"))

@@ -60,3 +60,17 @@ def test_bound_order_stops_exactly():
     got, score = pivot_topk.best_of(q, 7, ids, x, bound, -np.inf, 5, step=16)
     want = sorted((-float(s), i) for i, s in enumerate(x @ q) if i != 7)[:5]
     assert list(zip(-score, got)) == want
+
+
+def test_large_components(spark):
+    """Vectors of any finite size take part, as queries and as candidates, with exact scores."""
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(80)]
+    rows += [(100 + i, [rng.choice([1.0, 5e4, 3e6]) * rng.uniform(-1, 1) for _ in range(4)]) for i in range(60)]
+    rows += [(200, [16384.0, 0.0, 0.0, 0.0]), (201, [16384.0, 0.0, 0.0, 1 / 256]), (202, [16384.0, 0.0, 0.0, 1 / 256]), (203, [-16384.0, 0.0, 0.0, 0.0]), rows[90], rows[90],
+             (204, [2e6, 0.0, 0.0, 0.0]), (205, [2e6, 1 / 256, 0.0, 0.0]), (300, [2e5, 3.0]), (301, [1.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    once = [r for i, r in enumerate(rows) if r not in rows[:i]]
+    assert rows_of(pivot_topk.search(frame, F.col("id") % 10 == 0)) == brute(once, lambda i: i % 10 == 0)
+    top = pivot_topk.search(spark.createDataFrame([(1, [1e300]), (2, [-1e300]), (3, [1.0])], frame.schema), F.lit(True))
+    assert {(r.query_id, r.id): r.score for r in top.collect()}[1, 2] == -(1 << 63)
