@@ -1,10 +1,11 @@
 """URL filter: rules first, then the likelihood ratio of two character models.
 
 Two smoothed variable-order Markov models are trained on the URLs that a rule accepts and on those that a rule
-rejects, over every row. A character is predicted from up to three characters before it; each order is interpolated
+rejects, but for one in `HELD_OUT` by the hash of its text, on which the threshold is chosen: models look better on the
+URLs they have seen than on others. A character is predicted from up to three characters before it; each order is interpolated
 with the next shorter one by the number of distinct characters seen after the context (Witten-Bell). A URL no rule fits
-is judged by (log P(url | accepted) - log P(url | rejected)) / length against a threshold calibrated on all labelled
-rows.
+is judged by (log P(url | accepted) - log P(url | rejected)) / length against that threshold. Where the held-out part
+lacks a kind, all labelled rows train and calibrate.
 
 The model is one table over folded characters: `SYMBOLS ** 4` cells whatever the input, which bounds what is collected
 and broadcast (10 MB). Counts come from the whole input and are folded before the shuffle.
@@ -28,6 +29,7 @@ START, END, OTHER = 0, 1, 39
 SYMBOLS = 40  # start, end, a-z, digit, ten marks, other
 ORDER = 3
 BIN = 100  # score bins per unit, for the calibration
+HELD_OUT = 4  # one labelled text in so many calibrates
 CLIP = 10  # scores are counted within -CLIP..CLIP
 
 
@@ -118,8 +120,9 @@ def train(labelled: DataFrame) -> np.ndarray:
     folded = (labelled.select("accepted", "text").mapInArrow(count, "accepted boolean, code long, n long")
               .groupBy("accepted", "code").agg(F.sum("n").alias("n")))
     counts = np.zeros((2, SYMBOLS ** (ORDER + 1)))
-    for kind, code, n in folded.collect():  # at most 2 * SYMBOLS ** 4 rows
-        counts[int(kind), code] = n
+    found = folded.toArrow()  # at most 2 * SYMBOLS ** 4 rows
+    kind, code, n = (np.asarray(found[c].combine_chunks().to_numpy(zero_copy_only=False)) for c in ("accepted", "code", "n"))
+    counts[kind.astype(int), code] = n
     if not counts.any(axis=1).all():
         return np.zeros(counts.shape[1], np.float32)
     return (log_probabilities(counts[1]) - log_probabilities(counts[0])).astype(np.float32)
@@ -140,20 +143,44 @@ def scorer(rows: DataFrame, ratios: np.ndarray):
     return score
 
 
-def calibrate(scored: DataFrame) -> float:
-    """The threshold with the least mean error over both kinds of labelled rows (accepted, score), nearest to 0."""
+@dataclass(frozen=True)
+class Threshold:
+    """Scores from `least` on are accepted; the shares of held-out rows of either kind that this gets wrong."""
+
+    least: float
+    missed: float = 0.0  # accepted rows below
+    passed: float = 0.0  # rejected rows at or above
+
+
+def calibrate(scored: DataFrame) -> Threshold | None:
+    """The threshold with the least mean error over both kinds of labelled rows (accepted, score), nearest to 0.
+
+    None if a kind is missing.
+    """
     cell = F.floor(F.least(F.greatest("score", F.lit(-float(CLIP))), F.lit(float(CLIP))) * BIN).cast("int")
     hist = np.zeros((2, 2 * CLIP * BIN + 1))
     for kind, at, n in scored.groupBy("accepted", cell.alias("at")).count().collect():  # at most two rows a bin
         hist[int(kind), at + CLIP * BIN] = n
     if not hist.any(axis=1).all():
-        return 0.0
+        return None
     share = hist / hist.sum(1, keepdims=True)
     missed = np.concatenate([[0.0], np.cumsum(share[1])])  # accepted rows below the edge
     passed = 1.0 - np.concatenate([[0.0], np.cumsum(share[0])])  # rejected rows at or above it
     edges = (np.arange(len(missed)) - CLIP * BIN) / BIN
     error = np.round(missed + passed, 12)
-    return float(min(edges[error == error.min()], key=abs))
+    best = min(np.flatnonzero(error == error.min()), key=lambda i: abs(edges[i]))
+    return Threshold(float(edges[best]), float(missed[best]), float(max(0.0, passed[best])))
+
+
+def fit(labelled: DataFrame):
+    """A scorer of texts and its threshold, from rows (accepted, text)."""
+    apart = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
+    score = scorer(labelled, train(labelled.filter(~apart)))
+    found = calibrate(labelled.filter(apart).select("accepted", score("text").alias("score")))
+    if found is None:
+        score = scorer(labelled, train(labelled))
+        found = calibrate(labelled.select("accepted", score("text").alias("score"))) or Threshold(0.0)
+    return score, found
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -164,9 +191,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
     rows = rows.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
     labelled = rows.filter("_rule IS NOT NULL").select((F.col("_rule.verdict") == "allow").alias("accepted"),
                                                        F.col("_text").alias("text"))
-    score = scorer(rows, train(labelled))
-    threshold = calibrate(labelled.select("accepted", score("text").alias("score")))
+    score, threshold = fit(labelled)
     scored = rows.withColumn("score", score("_text"))
-    own = F.when(F.col("score") >= threshold, "allow").otherwise("block")
+    own = F.when(F.col("score") >= threshold.least, "allow").otherwise("block")
     return scored.select(F.col(id_col), "host", "path", F.col("_rule.text").alias("rule"),
                          F.coalesce("_rule.verdict", own).alias("verdict"), "score")

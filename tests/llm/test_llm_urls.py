@@ -56,3 +56,58 @@ def test_held_out_accuracy(spark):
     free = url_ratio.judge(pages, rules).filter("rule IS NULL").withColumn("truth", F.when(F.col("page_id") < 400, "allow").otherwise("block"))
     right, total = free.filter("verdict = truth").count(), free.count()
     assert total > 300 and right / total > 0.97
+
+
+def test_threshold_is_chosen_on_urls_the_models_have_not_seen(spark):
+    """Both error rates of the held-out part are those that URLs of neither part have."""
+    import random
+
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(4, 8)))
+    urls = [(k, f"x.example.net/{word('abcdefghij' if k else 'bcdefghijk')}") for _ in range(3000) for k in (True, False)]
+    labelled = spark.createDataFrame(urls[:4000], "accepted boolean, text string")
+    score, threshold = url_ratio.fit(labelled)
+    fresh = spark.createDataFrame(urls[4000:], "accepted boolean, text string").select("accepted", score("text").alias("score")).collect()
+    missed = [r.score < threshold.least for r in fresh if r.accepted]
+    passed = [r.score >= threshold.least for r in fresh if not r.accepted]
+    assert 0.05 < threshold.missed < 0.5 and 0.05 < threshold.passed < 0.5
+    assert abs(sum(missed) / len(missed) - threshold.missed) < 0.08 and abs(sum(passed) / len(passed) - threshold.passed) < 0.08
+
+
+def test_models_against_plain_python(spark):
+    """Scores of the whole table from counts and interpolation worked out anew."""
+    import math
+    from collections import Counter
+
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url").collect()
+    fold, verdicts = url_ratio.fold_table(), {r.text: r.verdict for r in RULES}
+    text = {p.page_id: p.url.split("://", 1)[1] if "://" in p.url else p.url for p in pages}
+    frame = spark.createDataFrame([(i, t) for i, t in text.items()], "i long, text string")
+    apart = {r.i for r in frame.filter(F.pmod(F.xxhash64("text"), F.lit(url_ratio.HELD_OUT)) == 0).collect()}
+    seen = {True: Counter(), False: Counter()}
+    for p in pages:
+        rule = by_hand(p.url)[2]
+        if rule and p.page_id not in apart:
+            s = b"\0\0\0" + text[p.page_id].encode().translate(fold) + b"\1"
+            for i in range(3, len(s)):
+                for order in range(4):
+                    seen[verdicts[rule] == "allow"][s[i - order:i], s[i]] += 1
+    after = {k: {} for k in seen}
+    for k, counts in seen.items():
+        for (context, _), n in counts.items():
+            total, kinds = after[k].get(context, (0, 0))
+            after[k][context] = total + n, kinds + 1
+
+    def log_p(k, s, i):
+        p = 1 / url_ratio.SYMBOLS
+        for order in range(4):
+            total, kinds = after[k].get(s[i - order:i], (0, 0))
+            kinds = max(kinds, 1)
+            p = (seen[k][s[i - order:i], s[i]] + kinds * p) / (total + kinds)
+        return math.log(p)
+
+    got = {r.page_id: r.score for r in QUERIES["op1_url_ratio"](spark, SF_DIR).collect()}
+    for i, t in text.items():
+        s = b"\0\0\0" + t.encode().translate(fold) + b"\1"
+        want = sum(log_p(True, s, j) - log_p(False, s, j) for j in range(3, len(s))) / (len(s) - 3)
+        assert abs(got[i] - want) < 1e-4
