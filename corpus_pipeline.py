@@ -2,6 +2,13 @@
 
 Each stage reads all that its predecessor kept, as Parquet, and its decisions take effect: rejected documents go, aligned
 lines are deleted, one document of each near-duplicate group stays, secrets are replaced, and what is left is packed.
+
+Edge cases, for each stage on its own: quality_rules rejects null and empty texts, as they have too few words; the others
+keep them as they are (packing gives a document without text its closing id alone). line_dedup drops a document of
+which the lines that went leave no word, never one that had none. Texts are taken whole, however long. Repeated rows are
+judged alike and stay or go together; of copies under different ids line_dedup and near_dedup keep the smallest id. Rows
+with a null id are judged like others. Nulls in other columns, and further columns whatever their names, are passed on; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations
