@@ -7,9 +7,12 @@ the similarity. Candidates whose estimate is too low by more than five standard
 drop a link); all others are confirmed on their full sets.
 
 Texts with equal sets form a class and are represented by their smallest id. Within a bucket no pairs are listed: one
-member is compared with all others, and bands differ in the order it is chosen by, so that a text meets several. Members that this leaves in different components have not been
-compared with each other; for them, candidates come from an exact prefix filter over their rarest shingles, so that texts
-that share only what very many share are not paired. So no link among candidates is lost, and a group costs its size.
+member is compared with all others, and bands differ in the order it is chosen by, so that a text meets several. If this
+leaves members in different components, which have not been compared with each other, the member with most links becomes
+the centre of its bucket, and each other member is described by the items in which it deviates from the centre. Two
+members that are not linked with it can only be linked if they share deviations; how many follows from their sizes, and
+an exact prefix filter over the rarest ones gives the candidates (`open_pairs`). So no link among candidates is lost, and
+what all copies share makes no pairs.
 
 Only texts that share a bucket are moved, once, and each pair is confirmed on its own. Hot buckets and hot
 representatives are sides of plain joins, which adaptive execution splits. The one thing collected is a table of
@@ -138,56 +141,85 @@ class Linker:
         with_texts = likely.join(a, "a").join(b, "b").select("a", "b", "_a", "_b")
         return written(with_texts.mapInArrow(confirm, "a long, b long"), "confirmed")
 
-    def open_pairs(self, members: DataFrame) -> DataFrame:
-        """Pairs (a, b) of (id, component) with different components that can be links, by an exact prefix filter.
-
-        Two sets with a similarity of `percent` share one of the rarest items of either, if as many are taken as may be
-        missing from the other, and one. Rarity is by counts per slot of the item's hash, any fixed order being exact.
-        """
-        rows = members.join(self.texts, "id").select("id", "component", "_text")
-        words, percent = self.words, self.percent
-        shift = np.uint64(64 - SLOT_BITS)
-
-        def sets(texts: list[str]) -> Iterator[np.ndarray]:
-            hashes, begin = word_hashes(texts, lower=True)
-            for i in range(len(texts)):
-                yield np.unique(shingles(hashes[begin[i]:begin[i + 1]], words))
+    def deviations(self, pairs: DataFrame) -> DataFrame:
+        """a, b, their set sizes, and `keys`: hashes of (a, item, side) for the items that only one of the two sets holds."""
+        a, b = (self.texts.select(F.col("id").alias(c), F.col("_text").alias(f"_{c}")) for c in "ab")
+        words = self.words
 
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = np.zeros(1 << SLOT_BITS, np.int64)
-            for _, texts in runs(batches, 2, BATCH_CHARS):
-                items = np.concatenate(list(sets(texts)))
-                held += np.bincount((items >> shift).astype(np.int64), minlength=len(held))
-            at = np.flatnonzero(held)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(held[at])], ["slot", "n"])
+        def items_of(text: str) -> np.ndarray:
+            return np.unique(shingles(word_hashes([text or ""], lower=True)[0], words))
 
-        counted = rows.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last, centre = None, None  # rows come in the order of a
+            for batch in batches:
+                sizes, others, keys = [], [], []
+                for node, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "_a", "_b"))):
+                    if last != node:
+                        last, centre = node, items_of(x)
+                    own = items_of(y)
+                    seed = mixed(np.array([2 * node, 2 * node + 1], np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                    lacks = np.setdiff1d(centre, own, assume_unique=True)
+                    adds = np.setdiff1d(own, centre, assume_unique=True)
+                    keys.append(np.concatenate([mixed(lacks ^ seed[0]), mixed(adds ^ seed[1])]).view(np.int64))
+                    sizes.append(len(centre)), others.append(len(own))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()),
+                     pa.array(keys, pa.list_(pa.int64()))], ["a", "b", "n_a", "n_b", "keys"])
+
+        with_texts = pairs.join(b, "b").join(a.hint("merge"), "a").select("a", "b", "_a", "_b")
+        return written(with_texts.mapInArrow(run, "a long, b long, n_a long, n_b long, keys array<long>"), "deviations")
+
+    def open_pairs(self, held: DataFrame) -> DataFrame:
+        """Pairs of members (b) of one centre (a) with different components that can be links.
+
+        Let c = (100 - percent) / (100 + percent). Sets x and y are linked if and only if they differ in at most
+        c (|x| + |y|) items. With X and Y the deviations from their centre r, that difference is |X| + |Y| - 2 |X & Y|, so a
+        link shares at least (|X| + |Y| - c (|x| + |y|)) / 2 deviations. Two members linked with r are in its component; of
+        any other pair one, x, has |X| > c (|x| + |r|), which leaves more than (|Y| - c (|y| - |r|)) / 2 for y. Deviations
+        are put in one order, rare ones first, and only as many of them are compared as that count allows to be missing,
+        and one; the place of the first that is shared bounds the rest. What all copies share is no deviation, so it
+        makes no pairs. Rarity is by counts per slot of the key's hash, any fixed order being exact.
+        """
+        percent, low, high = self.percent, 100 - self.percent, 100 + self.percent
+        slot = F.shiftrightunsigned("key", 64 - SLOT_BITS).cast("int").alias("slot")
+        counted = held.select(F.explode("keys").alias("key")).groupBy(slot).agg(F.count(F.lit(1)).alias("n"))
         table = np.zeros(1 << SLOT_BITS, np.int64)
         found = counted.toArrow()  # at most 2 ** SLOT_BITS rows
         table[np.asarray(found.column("slot").combine_chunks())] = np.asarray(found.column("n").combine_chunks())
-        shared = rows.sparkSession.sparkContext.broadcast(table)
+        shared = held.sparkSession.sparkContext.broadcast(table)
+        shift = np.uint64(64 - SLOT_BITS)
 
         def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, texts in runs(batches, 2, BATCH_CHARS):
-                keys, of, sizes = [], [], []
-                for i, items in enumerate(sets(texts)):
-                    most = len(items) - -(-percent * len(items) // 100) + 1
-                    order = np.lexsort((items, shared.value[(items >> shift).astype(np.int64)]))[:most]
-                    keys.append(items[order].view(np.int64))
-                    of.append(np.full(len(order), i))
-                    sizes.append(np.full(len(order), len(items)))
+            for batch in batches:
+                keys, place, of, ends = [], [], [], ([], [])
+                n_a, n_b = (np.asarray(batch.column(c)) for c in ("n_a", "n_b"))
+                for i, own in enumerate(batch.column("keys")):
+                    own = np.asarray(own.values)
+                    size, n, centre = len(own), int(n_b[i]), int(n_a[i])
+                    apart = high * size > low * (n + centre)
+                    as_x = size - max(1, size - low * n // percent) + 1 if apart else 0
+                    as_y = size - max(1, (high * size - low * (n - centre)) // (2 * high) + 1) + 1
+                    most = max(as_x, as_y, 0)
+                    order = np.lexsort((own, shared.value[(own.view(np.uint64) >> shift).astype(np.int64)]))[:most]
+                    keys.append(own[order]), place.append(np.arange(most)), of.append(np.full(most, i))
+                    ends[0].append(np.arange(most) < as_x), ends[1].append(np.arange(most) < as_y)
                 of = pa.array(np.concatenate(of))
+                sizes = pa.array([len(x) for x in batch.column("keys")], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), part.column(0).take(of), part.column(1).take(of),
-                     pa.array(np.concatenate(sizes))], ["item", "id", "component", "n"])
-
-        held = rows.mapInArrow(rarest, "item long, id long, component long, n long")
-        met = held.groupBy("item").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter(
-            "_low < _high").select("item")
-        held = written(held.join(met, "item"), "rare-items")
-        other = held.select("item", F.col("id").alias("b"), F.col("component").alias("_c"), F.col("n").alias("_n"))
-        fit = (F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent) & (F.col("component") < F.col("_c"))
-        return held.join(other, "item").filter(fit).select(F.col("id").alias("a"), "b").distinct()
+                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(place)), pa.array(np.concatenate(ends[0])),
+                     pa.array(np.concatenate(ends[1])), sizes.take(of), *(batch.column(c).take(of) for c in ("b", "n_b", "component"))],
+                    ["key", "place", "as_x", "as_y", "size", "id", "n", "component"])
+
+        rows = held.mapInArrow(rarest, "key long, place long, as_x boolean, as_y boolean, size long, id long, n long, component long")
+        met = rows.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
+                                      F.max("as_x").alias("_x")).filter("_low < _high AND _x").select("key")
+        rows = written(rows.join(met, "key"), "rare-deviations")
+        x = rows.filter("as_x").drop("as_x", "as_y")
+        y = rows.filter("as_y").select("key", *[F.col(c).alias(f"_{c}") for c in ("place", "size", "id", "n", "component")])
+        fit = (F.col("component") != F.col("_component")) & (F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent) & (
+            F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place")) * 2 * high
+            >= (F.col("size") + F.col("_size")) * high - (F.col("n") + F.col("_n")) * low)
+        return x.join(y, "key").filter(fit).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
 
 
 def link_classes(docs: DataFrame, kept: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -201,13 +233,25 @@ def link_classes(docs: DataFrame, kept: DataFrame, words: int, percent: int, id_
     links = linker.links(held.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")))
     found = components(links)
     # a bucket of two is done; in others, members that have not been compared may be of different components
-    left = held.filter("n > 2 AND id <> first").join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "id", F.coalesce("component", "id").alias("component"))
-    unlike = left.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
-    left = written(left.join(unlike.select("bucket"), "bucket").select("id", "component").distinct(), "open")
+    labelled = held.filter("n > 2 AND id <> first").join(found.withColumnRenamed("node", "id"), "id", "left").select(
+        "bucket", F.coalesce("component", "id").alias("component"))
+    unlike = labelled.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
+    left = written(held.join(unlike.select("bucket"), "bucket").select("bucket", "id"), "open")
     if not left.limit(1).count():
         return found
-    return components(links.union(linker.links(linker.open_pairs(left))))
+    # the member of a bucket with most links is its centre
+    degrees = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+    best = F.max_by("id", F.struct(F.coalesce("degree", F.lit(0)), -F.col("id")))
+    centres = left.join(degrees, "id", "left").groupBy("bucket").agg(best.alias("a"))
+    pairs = left.join(centres, "bucket").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    apart = linker.deviations(pairs)
+    near = F.size("keys") * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    links = links.union(apart.filter(near).select("a", "b"))
+    found = components(links)
+    apart = apart.join(found.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    unlike = apart.groupBy("a").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
+    apart = written(apart.join(unlike.select("a"), "a"), "apart")
+    return components(links.union(linker.links(linker.open_pairs(apart))))
 
 
 def groups(docs: DataFrame, words: int = 2, percent: int = SIMILARITY, id_col: str = "doc_id",
