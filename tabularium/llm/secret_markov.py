@@ -1,7 +1,7 @@
 """Secret scan in DataFrame functions only: fixed shapes, then two character Markov models.
 
 Fixed shapes (assignments, access keys, long hex runs) give the base spans. A further span of kind `random` is a long
-identifier-like run, outside the base spans, whose characters follow each other as in random strings rather than as in
+identifier-like run, not within one base span, whose characters follow each other as in random strings rather than as in
 ordinary identifiers: the log-likelihood ratio of two first-order models must reach `LEAST_RATIO`, which stands for the
 odds that a run is ordinary. Both models are trained from labelled strings of the table itself: all base spans are the
 random ones; runs in text with the base spans taken out are the ordinary ones, from the `SAMPLE` documents with the
@@ -10,7 +10,8 @@ smallest key hash, whatever the size of the table. Scanning covers every charact
 Positions are code points, ends exclusive. Spark finds all matches and all gaps of a pattern in two passes; a running sum
 of their lengths places them. Patterns are tried only on texts that can hold them. Rows are not shuffled.
 
-Edge cases: a null text is empty and has no spans. Base spans may overlap; all stay. Without a base span anywhere, or
+Edge cases: a null text is empty and has no spans. Base spans may overlap; all stay. A
+random run that reaches beyond a base span is a span of its own, so that the rest of the secret is marked too. Without a base span anywhere, or
 without ordinary runs, no model can be trained and no span is added. Repeated rows are scanned alike; an empty table
 gives an empty result. Other columns are ignored by `scan` and kept by `redact`, whatever their names.
 """
@@ -151,7 +152,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head:
 
         more = matches(text, RUN, text.rlike(RUN), random)
     rows = rows.select(kept, "n_assign", "n_access", "n_hex", "base", more.alias("_more"))
-    free = F.filter("_more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    free = F.filter("_more", lambda m: ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])))
     return rows.select(kept, "n_assign", "n_access", "n_hex", "base",
                        F.sort_array(F.concat(F.col("base"), with_kind(free, 3))).alias("spans"))
 
