@@ -1,6 +1,7 @@
 """Operators over documents against brute force, with their edge cases."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -86,6 +87,27 @@ def test_groups_of_chained_copies(spark):
     assert {tuple(r) for r in bbit_minhash.groups(frame).collect()} == brute_groups(dict(rows), 2)
 
 
+def test_groups_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """Edits of one text, many too far from it to be linked: every link is found, and few pairs are looked at."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(140)]
+    rows = []
+    for i in range(500):
+        share = rng.choice([0.01, 0.03, 0.05, 0.08, 0.11])
+        rows.append((i, " ".join(f"e{rng.randrange(400)}" if rng.random() < share else w for w in words)))
+    seen = []
+    links = bbit_minhash.Linker.links
+
+    def counted(self, pairs):
+        seen.append(pairs.distinct().count())
+        return links(self, pairs)
+
+    monkeypatch.setattr(bbit_minhash.Linker, "links", counted)
+    got = {tuple(r) for r in bbit_minhash.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_groups(dict(rows), 2)
+    assert len(seen) == 2 and seen[1] < 500 * 499 / 2 / 20
+
+
 def test_estimate_is_close(spark):
     a, b = [f"w{i}" for i in range(1000)], [f"w{i}" for i in range(100, 1100)]
     frame = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "doc_id long, text string")
@@ -174,7 +196,6 @@ def test_secrets_edges(edges):
 
 def test_random_runs_are_told_from_identifiers(spark):
     """Held-out accuracy: the models see other secrets and other names."""
-    import random
 
     rng = random.Random(4)
     chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
