@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+import unicodedata
+from collections.abc import Iterator
+from itertools import pairwise
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +33,29 @@ def create_table_function(spark: SparkSession, name: str, parameters: str, colum
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({parameters}) RETURNS TABLE({columns}) RETURN {body}")
 
 
-@F.pandas_udf(T.StringType())
-def folded_letters(value: pd.Series) -> pd.Series:
-    """Text in Unicode's compatibility form without accents, over Arrow batches: no built-in function folds them."""
-    plain = value.str.normalize("NFKD")
-    return plain.str.replace("[\u0300-\u036f]", "", regex=True)
+MARKS = re.compile("[\u0300-\u036f]")
+PART_CHARS = 1_000_000  # characters folded together
+
+
+def in_parts(values: pa.Array, most: int = PART_CHARS) -> Iterator[pa.Array]:
+    """Runs of texts that add up to about `most` characters; a longer text ends its run."""
+    sizes = pc.fill_null(pc.utf8_length(values), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype="int64") // most
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(values)]
+    for start, end in pairwise(cuts):
+        yield values.slice(start, end - start)
+
+
+def fold(text: str | None) -> str | None:
+    return text if text is None or text.isascii() else MARKS.sub("", unicodedata.normalize("NFKD", text))
+
+
+@F.arrow_udf(T.StringType())
+def folded_letters(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Text in Unicode's compatibility form without accents, over Arrow batches: no built-in function folds them.
+
+    A batch holds thousands of texts of any length, so only a part of it is unpacked at a time.
+    """
+    for values in batches:
+        for part in in_parts(values):
+            yield pa.array([fold(v.as_py()) for v in part], pa.string())

@@ -1,8 +1,13 @@
-"""What a query holds or sends must not grow with its tables: the exact counts beside estimates."""
+"""What a query holds or sends must not grow with its tables: batches of texts, broadcasts of versions, sketches."""
 
 import datetime as dt
 
+import pyarrow as pa
+import pytest
+from test_whole_texts import folded as fold
+
 from tabularium.catalog import load_all
+from tabularium.functions import udfs
 
 
 def test_exact_counts_carry_no_sketches(spark, tmp_path):
@@ -14,3 +19,11 @@ def test_exact_counts_carry_no_sketches(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [
         ("order_id", 299, True), ("customer_id", 40, True), ("order_status", 3, True), ("purchased_at", 50, True), ("priority", 0, True)]
     assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("sizes", [[600_000] * 5, [3_000_000, 0, 1, None, 10], [None, None], []])
+def test_texts_are_folded_in_parts(sizes):
+    texts = [None if n is None else ("é" + "ö" * n)[:n] for n in sizes]
+    parts = list(udfs.folded_letters.func(iter([pa.array(texts, pa.string())])))
+    assert [t for p in parts for t in p.to_pylist()] == [fold(t) for t in texts]
+    assert all(len(p) < 2 or sum(map(len, filter(None, p.to_pylist()[1:]))) <= udfs.PART_CHARS for p in parts)
