@@ -116,6 +116,9 @@ def disjoint_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str,
     blocks per level; per block the best version is kept, and a piece takes the best of the blocks it lies in. So a key
     with m versions costs m log m rows that are folded by (key, block), never all of its rows in one task. Versions that
     end before they begin, and NULL keys or starts, are left out.
+
+    What is joined here grows with the versions and packs into small files, from whose size Spark would take it for small
+    enough to broadcast; so these joins are merges.
     """
     end = F.col(valid_to)
     own = dim.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull() & (end.isNull() | (end > F.col(valid_from))))
@@ -127,7 +130,7 @@ def disjoint_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str,
         return own
     crossed = written(crossed.distinct(), "crossed-keys")
 
-    plain, rest = own.join(crossed, key, "left_anti"), own.join(crossed, key, "left_semi")
+    plain, rest = [hinted_join(own, crossed, [key], "merge", how) for how in ("left_anti", "left_semi")]
     cuts = rest.select(key, F.explode(F.array_distinct(F.array_compact(F.array(valid_from, valid_to)))).alias("_at")).distinct()
     pieces = ordered.scan(cuts, [key], [F.col("_at").asc()], ordered.row_number("_n"), ordered.lead("_until", F.col("_at")), max_group=max_group)
     pieces = written(pieces.select(key, "_at", "_until", (F.col("_n") - 1).alias("_n")), "pieces")
@@ -136,9 +139,9 @@ def disjoint_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str,
     best = F.struct(F.col(valid_from).alias("at"), end.isNull().alias("open"), end.alias("until"), F.xxhash64(*attrs).alias("tie"))
     runs = rest.select(key, best.alias("_best"), F.struct(*attrs).alias("_attrs"))
     first, last = [pieces.select(F.col(key).alias(f"_k{i}"), F.col("_at").alias(f"_at{i}"), F.col("_n").alias(f"_n{i}")) for i in (0, 1)]
-    runs = runs.join(first, (F.col(key) == F.col("_k0")) & (F.col("_best.at") == F.col("_at0")))
-    runs = runs.join(last, (F.col(key) == F.col("_k1")) & (F.col("_best.until") == F.col("_at1")), "left")
-    runs = runs.join(size, F.col(key) == F.col("_k")).withColumn("_hi", F.coalesce("_n1", "_size"))
+    runs = runs.join(first.hint("merge"), (F.col(key) == F.col("_k0")) & (F.col("_best.at") == F.col("_at0")))
+    runs = runs.join(last.hint("merge"), (F.col(key) == F.col("_k1")) & (F.col("_best.until") == F.col("_at1")), "left")
+    runs = runs.join(size.hint("merge"), F.col(key) == F.col("_k")).withColumn("_hi", F.coalesce("_n1", "_size"))
 
     def blocks(level: Column) -> Column:
         step = F.call_function("shiftleft", F.lit(1).cast("long"), level)
@@ -153,9 +156,9 @@ def disjoint_versions(dim: DataFrame, key: str, valid_from: str, valid_to: str,
     covered = covered.groupBy(key, "level", "block").agg(F.max("_best").alias("_best"), F.max_by("_attrs", "_best").alias("_attrs"))
 
     up = F.sequence(F.lit(0), F.least(F.ceil(F.log2(F.col("_size"))).cast("int") + 1, F.lit(LEVELS)))
-    chains = pieces.join(size, F.col(key) == F.col("_k")).select(key, "_at", "_until", "_n", F.explode(up).alias("level"))
+    chains = pieces.join(size.hint("merge"), F.col(key) == F.col("_k")).select(key, "_at", "_until", "_n", F.explode(up).alias("level"))
     chains = chains.withColumn("block", F.expr("shiftright(_n, level)"))
-    won = chains.join(covered, [key, "level", "block"]).groupBy(key, "_at", "_until").agg(F.max_by("_attrs", "_best").alias("_attrs"))
+    won = hinted_join(chains, covered, [key, "level", "block"], "merge").groupBy(key, "_at", "_until").agg(F.max_by("_attrs", "_best").alias("_attrs"))
     cut = won.select(F.col(key), F.col("_at").alias(valid_from), F.col("_until").alias(valid_to),
                      *[F.col("_attrs")[a].alias(a) for a in own.columns if a not in (key, valid_from, valid_to)])
     return plain.unionByName(cut)

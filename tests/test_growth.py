@@ -8,6 +8,7 @@ from test_whole_texts import folded as fold
 
 from tabularium.catalog import load_all
 from tabularium.functions import udfs
+from tabularium.operators import joins
 
 
 def test_exact_counts_carry_no_sketches(spark, tmp_path):
@@ -27,3 +28,11 @@ def test_texts_are_folded_in_parts(sizes):
     parts = list(udfs.folded_letters.func(iter([pa.array(texts, pa.string())])))
     assert [t for p in parts for t in p.to_pylist()] == [fold(t) for t in texts]
     assert all(len(p) < 2 or sum(map(len, filter(None, p.to_pylist()[1:]))) <= udfs.PART_CHARS for p in parts)
+
+
+def test_overlapping_versions_are_not_broadcast(spark):
+    dim = spark.createDataFrame([(k, 10 * i, 10 * i + 15, f"{k}:{i}") for k in range(5) for i in range(4)], "k int, lo int, hi int, v string")
+    cut = joins.disjoint_versions(dim, "k", "lo", "hi", ["v"])
+    assert cut.filter("k = 3").orderBy("lo").collect()[:3] == [(3, 0, 10, "3:0"), (3, 10, 15, "3:1"), (3, 15, 20, "3:1")]
+    cut = joins.disjoint_versions(dim, "k", "lo", "hi", ["v"])
+    assert "Broadcast" not in cut._jdf.queryExecution().executedPlan().toString()
