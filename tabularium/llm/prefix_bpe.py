@@ -167,12 +167,12 @@ class TextEncoder:
 
     def __init__(self, encoder: PrefixEncoder, pattern: str):
         self.encoder, self.find = encoder, regex.compile(pattern).findall
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...] | None] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes | None] = {}
 
     def _learn_pieces(self, wanted: set[str]) -> None:
         if len(self.pieces) + len(wanted) > KEPT_PIECES:
-            self.pieces = {}
+            self.pieces = {k: self.pieces[k] for k in wanted.intersection(self.pieces)}
         before, last, walk = b"", [-1], self.encoder.walk_back
         for text in sorted(wanted.difference(self.pieces)):
             piece, shared = text.encode(), 0
@@ -182,12 +182,12 @@ class TextEncoder:
                 shared += 1
             del last[shared + 1:]
             self.encoder.last_tokens(piece, last)
-            self.pieces[text] = tuple(walk(last))
+            self.pieces[text] = array("I", walk(last)).tobytes()
             before = piece
 
     def _learn_chunks(self, wanted: set[str]) -> None:
         if len(self.chunks) + len(wanted) > KEPT_CHUNKS:
-            self.chunks = {}
+            self.chunks = {k: self.chunks[k] for k in wanted.intersection(self.chunks)}
         cut: dict[str, list[str]] = {}
         for chunk in wanted.difference(self.chunks):
             body = chunk[1:] if chunk[:1] == " " else chunk
@@ -198,20 +198,24 @@ class TextEncoder:
         self._learn_pieces(set(chain.from_iterable(cut.values())))
         get = self.pieces.__getitem__
         for chunk, pieces in cut.items():
-            self.chunks[chunk] = get(pieces[0]) if len(pieces) == 1 else tuple(chain.from_iterable(map(get, pieces)))
+            self.chunks[chunk] = get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces))
 
-    def _whole(self, text: str) -> list[int]:
+    def _whole(self, text: str) -> bytes:
         pieces = self.find(text)
         self._learn_pieces(set(pieces))
-        return list(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        return (array("I", ids).tolist() for ids in self.packed(texts))
+
+    def packed(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text as unsigned 32-bit integers."""
         cut = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if t and "\0" not in t else None
                for t in texts]
         self._learn_chunks(set(chain.from_iterable(filter(None, cut))))
         for text, chunks in zip(texts, cut):
             found = list(map(self.chunks.__getitem__, chunks)) if chunks else [None]
-            yield (self._whole(text) if text else []) if None in found else list(chain.from_iterable(found))
+            yield (self._whole(text) if text else b"") if None in found else b"".join(found)
 
 
 def slices(sizes: pa.Array, most: int) -> Iterator[tuple[int, int]]:
@@ -235,7 +239,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         for batch in batches:
             for at, n in slices(pc.utf8_length(batch.column(1)), BATCH_CHARS):
                 part = batch.slice(at, n)
-                ids = [array("I", x).tobytes() for x in texts.encode([t or "" for t in part.column(1).to_pylist()])]
+                ids = list(texts.packed([t or "" for t in part.column(1).to_pylist()]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], [id_col, "ids"])
 
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
